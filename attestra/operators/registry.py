@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 REGISTRY_COLUMNS = (
@@ -18,33 +18,55 @@ REGISTRY_COLUMNS = (
 
 
 def baseline(batches: DataFrame, registry: DataFrame, strict_enum: bool = False) -> DataFrame:
-    """Add ``previous_version`` and ``baseline_kind`` (none / identical / diff) to each batch.
+    """Add ``previous_version``, ``previous_run_id`` and ``baseline_kind`` to each batch.
 
-    ``batches``: one row per source with ``source, api_version, fingerprint``.  The fingerprint
-    covers paths and types only; ``strict_enum`` compares even identical shapes, so that a new
-    label within one version is reported as well.
+    ``batches``: ``source, api_version, fingerprint, run_id, seq``; a batch is compared with the one
+    landed before it from the same source, here or earlier.  Kinds: ``none`` (first batch),
+    ``identical`` (same version, same shape) and ``diff``.  The fingerprint covers paths and types
+    only; ``strict_enum`` compares identical shapes too, so a new label is reported as well.
     """
-    latest = registry.where("is_latest").select(
+    landed = registry.where("is_latest").select(
         "source",
-        F.col("api_version").alias("previous_version"),
-        F.col("fingerprint").alias("previous_fingerprint"),
+        "api_version",
+        "fingerprint",
+        F.col("last_run_id").alias("run_id"),
+        F.lit(-1).cast("bigint").alias("seq"),
+    )
+    arriving = batches.select("source", "api_version", "fingerprint", "run_id", F.col("seq").cast("bigint").alias("seq"))
+    # One row per batch of a source: a list of landings, not of records.
+    before = Window.partitionBy("source").orderBy("seq")
+    chained = landed.unionByName(arriving).select(
+        "source",
+        "run_id",
+        "seq",
+        *[F.lag(c).over(before).alias(f"previous_{c}") for c in ("api_version", "fingerprint", "run_id", "seq")],
     )
     same = (F.col("previous_version") == F.col("api_version")) & (
         F.col("previous_fingerprint") == F.col("fingerprint")
     )
-    return batches.join(latest, "source", "left").withColumn(
-        "baseline_kind",
-        F.when(F.col("previous_version").isNull(), "none")
-        .when(same & F.lit(not strict_enum), "identical")
-        .otherwise("diff"),
+    return (
+        batches.join(
+            chained.where("seq >= 0")
+            .drop("seq")
+            .withColumnRenamed("previous_api_version", "previous_version"),
+            ["source", "run_id"],
+        )
+        .withColumn(
+            "baseline_kind",
+            F.when(F.col("previous_version").isNull(), "none")
+            .when(same & F.lit(not strict_enum), "identical")
+            .otherwise("diff"),
+        )
+        .withColumn("from_registry", F.col("previous_seq") == -1)
+        .drop("previous_seq")
     )
 
 
 def upsert(registry: DataFrame, batches: DataFrame) -> DataFrame:
-    """The registry after ``batches`` (one landed batch per source): latest row per key.
+    """The registry after ``batches`` (in ``seq`` order per source): latest row per key.
 
-    ``first_seen`` is kept from the oldest row, everything else comes from the new batch, and
-    the batch becomes its source's latest version.
+    ``first_seen`` is kept from the oldest row, everything else comes from the newest batch, and
+    the last batch of a source becomes its latest version.
     """
     arriving = batches.select(
         "source",
@@ -54,20 +76,18 @@ def upsert(registry: DataFrame, batches: DataFrame) -> DataFrame:
         F.col("ingested_at").alias("last_seen"),
         F.col("run_id").alias("last_run_id"),
         F.col("record_count").cast("bigint").alias("record_count"),
-        F.lit(True).alias("is_latest"),
-        F.lit(1).alias("_age"),
-    )
-    known = registry.select(*REGISTRY_COLUMNS, F.lit(0).alias("_age"))
-    newest = F.max_by(
-        F.struct("fingerprint", "last_seen", "last_run_id", "record_count", "is_latest", "_age"), "_age"
+        F.lit(False).alias("is_latest"),
+        (F.col("seq") + 1).cast("bigint").alias("_age"),
     )
+    known = registry.select(*REGISTRY_COLUMNS, F.lit(0).cast("bigint").alias("_age"))
+    newest = F.struct("fingerprint", "last_seen", "last_run_id", "record_count", "is_latest", "_age")
     merged = (
         known.unionByName(arriving)
         .groupBy("source", "api_version")
-        .agg(newest.alias("n"), F.min_by("first_seen", "_age").alias("first_seen"))
+        .agg(F.max_by(newest, "_age").alias("n"), F.min_by("first_seen", "_age").alias("first_seen"))
     )
-    touched = batches.select("source").distinct().withColumn("_touched", F.lit(True))
-    return merged.join(touched, "source", "left").select(
+    last = arriving.groupBy("source").agg(F.max("_age").alias("_last"))
+    return merged.join(last, "source", "left").select(
         "source",
         "api_version",
         "n.fingerprint",
@@ -75,12 +95,18 @@ def upsert(registry: DataFrame, batches: DataFrame) -> DataFrame:
         "n.last_seen",
         "n.last_run_id",
         "n.record_count",
-        F.when(F.col("_touched"), F.col("n._age") == 1).otherwise(F.col("n.is_latest")).alias("is_latest"),
+        F.when(F.col("_last").isNotNull(), F.col("n._age") == F.col("_last"))
+        .otherwise(F.col("n.is_latest"))
+        .alias("is_latest"),
     )
 
 
 def upsert_inventory(known: DataFrame, arriving: DataFrame) -> DataFrame:
-    """Replace the inventory of every (source, api_version) that arrives anew."""
-    replaced = arriving.select("source", "api_version").distinct()
-    kept = known.join(replaced, ["source", "api_version"], "left_anti")
-    return kept.unionByName(arriving.select(*known.columns))
+    """Replace the inventory of every (source, api_version) that arrives; the last batch wins.
+
+    ``arriving`` has the columns of ``known`` plus ``seq``.
+    """
+    last = arriving.groupBy("source", "api_version").agg(F.max("seq").alias("seq"))
+    newest = arriving.join(last, ["source", "api_version", "seq"], "left_semi")
+    kept = known.join(last, ["source", "api_version"], "left_anti")
+    return kept.unionByName(newest.select(*known.columns))

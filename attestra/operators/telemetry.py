@@ -11,8 +11,8 @@ from attestra.operators.ordering import nth_in_group
 
 
 def p95_rank(n: Column) -> Column:
-    """1-based nearest rank: ``min(n - 1, floor(0.95 n)) + 1``, in whole numbers."""
-    return F.least(n - 1, F.floor(n * 95 / F.lit(100))) + 1
+    """1-based nearest rank: ``min(n - 1, floor(0.95 n)) + 1``."""
+    return F.least(n - 1, F.floor(n * F.lit(0.95))) + 1
 
 
 def counters(observations: DataFrame, name: str = "name", value: str = "value") -> DataFrame:

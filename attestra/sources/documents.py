@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attestra.functions.json_values import file_stem, run_id
+from attestra.functions.json_values import run_id
 
 
 def snapshot_sources(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """The exact bytes of every source file with their SHA-256 and the run id they define."""
-    files = spark.read.format("binaryFile").load(paths)
+    return snapshot(spark.read.format("binaryFile").load(paths))
+
+
+def snapshot(files: DataFrame) -> DataFrame:
+    """The same for any (also streaming) ``binaryFile`` rows."""
     digest = F.sha2(F.col("content"), 256)
     return files.select(
         F.col("path"),
@@ -33,49 +37,37 @@ def _records_array(document: Column, records_field: str) -> Column:
     return F.coalesce(parsed[records_field], F.array().cast("array<string>"))
 
 
-def explode_documents(documents: DataFrame, text: str = "document", records_field: str = "clauses") -> DataFrame:
-    """One row per record of a document: ``record_index`` and the record's own JSON text.
-
-    Adds ``source``, ``api_version`` (``unknown`` where the metadata does not say) and
-    ``records_in_source``; all other columns are kept, the document text is dropped.
-    """
+def parse_documents(documents: DataFrame, text: str = "document", records_field: str = "clauses") -> DataFrame:
+    """One row per document: ``source``, ``source_api_version`` (``unknown`` where the metadata does
+    not say), ``source_metadata``, ``records_in_source`` and the raw record texts in ``records``."""
     meta = F.from_json(F.col(text), "metadata struct<source:string,api_version:string>")["metadata"]
     raw_meta = F.from_json(F.col(text), "metadata string")["metadata"]
     others = [c for c in documents.columns if c != text]
-    return (
-        documents.select(
-            *others,
-            F.coalesce(meta["source"], F.lit("unknown")).alias("source"),
-            F.coalesce(meta["api_version"], F.lit("unknown")).alias("source_api_version"),
-            raw_meta.alias("source_metadata"),
-            _records_array(F.col(text), records_field).alias("_records"),
-        )
-        .withColumn("records_in_source", F.size("_records").cast("bigint"))
-        .select(
-            *others,
-            "source",
-            "source_api_version",
-            "source_metadata",
-            "records_in_source",
-            F.posexplode("_records").alias("record_index", "payload"),
-        )
-        .withColumn("record_index", F.col("record_index").cast("bigint"))
+    return documents.select(
+        *others,
+        F.coalesce(meta["source"], F.lit("unknown")).alias("source"),
+        F.coalesce(meta["api_version"], F.lit("unknown")).alias("source_api_version"),
+        raw_meta.alias("source_metadata"),
+        _records_array(F.col(text), records_field).alias("records"),
+    ).withColumn("records_in_source", F.size("records").cast("bigint"))
+
+
+def explode_documents(documents: DataFrame, text: str = "document", records_field: str = "clauses") -> DataFrame:
+    """One row per record of a document: ``record_index`` and the record's own JSON text."""
+    parsed = parse_documents(documents, text, records_field)
+    others = [c for c in parsed.columns if c != "records"]
+    return parsed.select(*others, F.posexplode("records").alias("record_index", "payload")).withColumn(
+        "record_index", F.col("record_index").cast("bigint")
     )
 
 
-def read_documents(spark: SparkSession, paths: str | list[str], records_field: str = "clauses") -> DataFrame:
-    """Records of every document under ``paths`` with file, digest and run id.
-
-    The digest is of the file's exact bytes; the text is decoded as UTF-8.
-    """
-    files = snapshot_sources(spark, paths)
-    documents = files.select(
-        "source_file",
-        "source_sha256",
-        "run_id",
-        F.decode("content", "UTF-8").alias("document"),
+def file_documents(files: DataFrame) -> DataFrame:
+    """Snapshot rows as documents: text decoded as UTF-8, digest and run id of the exact bytes."""
+    return files.select(
+        "source_file", "source_sha256", "run_id", F.decode("content", "UTF-8").alias("document")
     )
-    return explode_documents(documents, "document", records_field)
 
 
-__all__ = ["snapshot_sources", "explode_documents", "read_documents", "file_stem"]
+def read_documents(spark: SparkSession, paths: str | list[str], records_field: str = "clauses") -> DataFrame:
+    """Records of every document under ``paths`` with file, digest and run id."""
+    return explode_documents(file_documents(snapshot_sources(spark, paths)), "document", records_field)
