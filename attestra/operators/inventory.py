@@ -11,70 +11,65 @@ from attestra import fixed_values as fixed
 from attestra.functions.json_values import type_name
 from attestra.session import broadcast_if_small, cut_lineage
 
-NODE = "struct<path:string,node:variant,kind:string,open:boolean,emit:boolean>"
+TYPES = ("array", "bool", "float", "int", "object", "str")
 
 
 def _is_container(kind: Column) -> Column:
     return kind.startswith("OBJECT") | kind.startswith("ARRAY")
 
 
-def _children(path: Column, node: Column, kind: Column) -> Column:
-    """One level down.  Array items share ``path[]``; container items are opened, not listed."""
-
-    def entry(child_path: Column, child: Column, from_array: bool) -> Column:
-        # Bind the item's type text once: it walks the item.
-        return F.transform(
-            F.array(F.schema_of_variant(child)),
-            lambda k: F.struct(
-                child_path.alias("path"),
-                child.alias("node"),
-                k.alias("kind"),
-                _is_container(k).alias("open"),
-                (~_is_container(k) if from_array else F.lit(True)).alias("emit"),
-            ),
-        )[0]
-
-    members = F.transform(
-        F.map_entries(node.cast("map<string,variant>")),
-        lambda e: entry(F.when(path == "", e["key"]).otherwise(F.concat(path, F.lit("."), e["key"])), e["value"], False),
-    )
-    items = F.transform(
-        node.cast("array<variant>"), lambda item: entry(F.concat(path, F.lit("[]")), item, True)
-    )
-    return F.when(kind.startswith("OBJECT"), members).otherwise(items)
-
-
 def flatten(records: DataFrame, keys: Sequence[str] = (), payload: str = "payload", max_depth: int = 8) -> DataFrame:
     """One row per field occurrence: ``(keys..., path, kind, text, truncated)``.
 
-    One scan: each depth level is a generator over the same row stream.  Containers below
-    ``max_depth`` are reported with ``truncated = true`` instead of being skipped.
+    One scan: every depth level is a generator over the same row stream, inside one code-generated
+    stage.  Array items share ``path[]``; container items are opened but not listed themselves.
+    Containers below ``max_depth`` are reported with ``truncated = true`` instead of being skipped.
     """
-    root = F.try_parse_json(F.col(payload))
+    tvf = records.sparkSession.tvf
     rows = records.select(
         *keys,
-        F.lit("").alias("path"),
-        root.alias("node"),
-        F.schema_of_variant(root).alias("kind"),
-        F.lit(True).alias("open"),
-        F.lit(False).alias("emit"),
-    ).where(_is_container(F.col("kind")))
-    here = F.struct(
-        F.col("path"), F.col("node"), F.col("kind"), F.lit(False).alias("open"), F.lit(True).alias("emit")
-    ).cast(NODE)
+        F.lit(None).cast("string").alias("path"),
+        F.lit(None).cast("string").alias("kind"),
+        F.lit(None).cast("string").alias("text"),
+        F.try_parse_json(F.col(payload)).alias("node"),
+    )
+    key, value = F.col("key"), F.col("value")
     for _ in range(max_depth):
-        below = _children(F.col("path"), F.col("node"), F.col("kind")).cast(f"array<{NODE}>")
-        none = F.array().cast(f"array<{NODE}>")
-        expanded = F.when(
-            F.col("open"), F.concat(F.when(F.col("emit"), F.array(here)).otherwise(none), below)
-        ).otherwise(F.array(here))
-        rows = rows.select(*keys, F.explode(expanded).alias("n")).select(*keys, "n.*")
-    return rows.select(
-        *keys,
-        "path",
-        "kind",
-        F.when(F.col("kind") == "STRING", F.col("node").cast("string")).alias("text"),
-        F.col("open").alias("truncated"),
+        # Rows without a node pass through; a child's value is never null (JSON null is a variant).
+        level = rows.lateralJoin(tvf.variant_explode_outer(F.col("node").outer())).where(
+            F.col("node").isNull() | value.isNotNull()
+        )
+        level = level.select(
+            *keys,
+            F.when(value.isNull(), F.col("path"))
+            .when(key.isNull(), F.concat("path", F.lit("[]")))
+            .when(F.col("path").isNull(), key)
+            .otherwise(F.concat("path", F.lit("."), key))
+            .alias("path"),
+            F.when(value.isNull(), F.col("kind")).otherwise(F.schema_of_variant(value)).alias("kind"),
+            "text",
+            key,
+            value,
+        )
+        opened = value.isNotNull() & _is_container(F.col("kind"))
+        level = level.select(
+            *keys,
+            "path",
+            "kind",
+            F.when(value.isNull(), F.col("text"))
+            .when(F.col("kind") == "STRING", value.cast("string"))
+            .alias("text"),
+            F.when(opened, value).alias("node"),
+            (opened & key.isNotNull()).alias("both"),
+        )
+        # A listed container stands for itself and is opened in a second copy.
+        copies = F.when(F.col("both"), F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(False)))
+        rows = level.select("*", F.explode(copies).alias("own")).select(
+            *keys, "path", "kind", "text", F.when(~F.col("own"), F.col("node")).alias("node")
+        )
+    # A payload that is no container leaves one row without a path.
+    return rows.where(F.col("path").isNotNull()).select(
+        *keys, "path", "kind", "text", F.col("node").isNotNull().alias("truncated")
     )
 
 
@@ -84,41 +79,46 @@ def inventory(
     """Per path: types, present and null counts, and the values of low-cardinality strings.
 
     Two passes.  The first also estimates distinct short strings per path; a path with at most
-    the limit can never be estimated much above it, so the second pass collects values only
-    for the few paths below twice the limit and identifiers never reach a shuffle.
+    the limit can never be estimated much above it (so few values leave most of the sketch's
+    registers empty), so the second pass collects values only for the few paths below twice the
+    limit and identifiers never reach a shuffle.  Types travel as a bit mask.
     """
     fields = flatten(records, keys, payload, max_depth)
     kind = type_name(F.col("kind"))
     short = F.when(F.length("text") <= fixed.VALUE_TRACKING_MAX_LENGTH, F.col("text"))
+    bit = F.lit(0)
+    for i, name in enumerate(TYPES):
+        bit = F.when(F.col("_kind") == name, F.lit(1 << i)).otherwise(bit)
     stats = cut_lineage(
-        fields.groupBy(*keys, "path").agg(
-            F.array_sort(F.collect_set(F.when(kind != "null", kind))).alias("types"),
+        fields.select(*keys, "path", kind.alias("_kind"), short.alias("_short"), "truncated")
+        .groupBy(*keys, "path")
+        .agg(
+            F.bit_or(bit).alias("_mask"),
             F.count(F.lit(1)).alias("present_count"),
-            F.count_if(kind == "null").alias("null_count"),
-            F.approx_count_distinct(short).alias("_estimate"),
+            F.count_if(F.col("_kind") == "null").alias("null_count"),
+            F.approx_count_distinct("_short").alias("_estimate"),
             F.max("truncated").alias("truncated"),
         )
     )
     on = [*keys, "path"]
-    candidates = stats.where(
-        F.col("_estimate").between(1, 2 * fixed.ENUM_CARDINALITY_LIMIT)
-    ).select(*on)
+    candidates = stats.where(F.col("_estimate").between(1, 2 * fixed.ENUM_CARDINALITY_LIMIT)).select(*on)
     distinct_values = (
         fields.select(*on, short.alias("value"))
         .where(F.col("value").isNotNull())
         .join(broadcast_if_small(candidates), on, "left_semi")
         .distinct()
     )
-    few = distinct_values.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).where(
-        F.col("_n") <= fixed.ENUM_CARDINALITY_LIMIT
-    )
+    # At most a few dozen distinct values are left per path.
     values = (
-        distinct_values.join(few, on, "left_semi")
-        .groupBy(*on)
+        distinct_values.groupBy(*on)
         .agg(F.array_sort(F.collect_list("value")).alias("values"))
+        .where(F.size("values") <= fixed.ENUM_CARDINALITY_LIMIT)
+    )
+    types = F.array_compact(
+        F.array(*[F.when(F.col("_mask").bitwiseAND(1 << i) != 0, F.lit(n)) for i, n in enumerate(TYPES)])
     )
-    return stats.drop("_estimate").join(values, on, "left").select(
-        *keys, "path", "types", "present_count", "null_count", "values", "truncated"
+    return stats.join(values, on, "left").select(
+        *keys, "path", types.alias("types"), "present_count", "null_count", "values", "truncated"
     )
 
 

@@ -19,6 +19,16 @@ def read_or_empty(spark: SparkSession, path: str, ddl: str, fmt: str = "parquet"
         raise
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal a small scan out to all cores before costly per-row work.
+
+    Only a scan with fewer input splits than cores is shuffled, so the rows moved are bounded by
+    cores x split size; a large table has more splits than cores and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def completed_only(bronze: DataFrame, runs: DataFrame, run_col: str = "run_id") -> DataFrame:
     """Rows of finished runs.  A run that has no row in ``runs`` is not skipped."""
     unfinished = runs.where(F.col("status") != "complete").select(F.col("run_id").alias(run_col))
