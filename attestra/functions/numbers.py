@@ -10,11 +10,11 @@ from attestra import fixed_values as fixed
 
 def _group(text: Column, pattern: str, index: int = 1) -> Column:
     """First match of ``pattern``, or null where nothing matches."""
-    return F.nullif(F.regexp_extract(text, pattern, index), F.lit(""))
+    return F.get(F.regexp_extract_all(text, F.lit(pattern), index), 0)
 
 
 def _word_value(word: Column) -> Column:
-    """Number word -> number; null for any other word."""
+    """Number word -> number; null for any other word and for null."""
     pairs = [F.lit(x) for item in fixed.NUMBER_WORDS.items() for x in item]
     return F.try_element_at(F.create_map(*pairs), word)
 
@@ -30,26 +30,33 @@ def nearest_days(lowered: Column, anchor: str, window: int = fixed.NEAREST_WINDO
     Only the ``window`` characters before and after the start of the anchor are read.  The
     start of match i is the length of the text pieces up to it plus the matches before it.
     """
-    position = F.instr(lowered, anchor) - 1
-    begin = F.greatest(F.lit(0), position - window)
-    segment = F.substring(lowered, begin + 1, position + window - begin)
-    pattern = F.lit(fixed.DAYS)
-    pieces = F.transform(F.split(segment, fixed.DAYS, -1), lambda p: F.length(p))
-    matches = F.transform(F.regexp_extract_all(segment, pattern, 0), lambda m: F.length(m))
-    days = F.regexp_extract_all(segment, pattern, 1)
+    at = F.instr(lowered, anchor)
+    begin = F.greatest(F.lit(1), at - window)
+    segment = F.substring(lowered, begin, at + window - begin)
+    found = F.struct(
+        (at - begin).alias("anchor"),
+        F.transform(F.split(segment, fixed.DAYS, -1), lambda p: F.length(p)).alias("pieces"),
+        F.transform(F.regexp_extract_all(segment, F.lit(fixed.DAYS), 0), lambda m: F.length(m)).alias("matches"),
+        F.regexp_extract_all(segment, F.lit(fixed.DAYS), 1).alias("days"),
+    )
 
     def total(lengths: Column, count: Column) -> Column:
         return F.aggregate(F.slice(lengths, 1, count), F.lit(0), lambda acc, n: acc + n)
 
-    candidates = F.transform(
-        days,
-        lambda d, i: F.struct(
-            F.abs(total(pieces, i + 1) + total(matches, i) - (position - begin)).alias("distance"),
-            i.alias("i"),
-            d.alias("days"),
-        ),
-    )
-    return F.when(position >= 0, F.array_min(candidates)["days"].cast("decimal(38,0)"))
+    def nearest(f: Column) -> Column:
+        return F.array_min(
+            F.transform(
+                f["days"],
+                lambda d, i: F.struct(
+                    F.abs(total(f["pieces"], i + 1) + total(f["matches"], i) - f["anchor"]).alias("distance"),
+                    i.alias("i"),
+                    d.alias("days"),
+                ),
+            )
+        )["days"]
+
+    # The one-element array binds what was found, so that it is worked out once.
+    return F.when(at > 0, F.transform(F.array(found), nearest)[0].cast("decimal(38,0)"))
 
 
 def liability_multiple(lowered: Column) -> Column:
@@ -61,7 +68,7 @@ def liability_multiple(lowered: Column) -> Column:
         gated,
         F.coalesce(
             _group(lowered, fixed.MULTIPLE_DIGITS).cast("double"),
-            _word_value(F.regexp_extract(lowered, fixed.MULTIPLE_WORD, 1)).cast("double"),
+            _word_value(_group(lowered, fixed.MULTIPLE_WORD)).cast("double"),
             F.when(lowered.contains(fixed.MULTIPLE_ONE), F.lit(1.0)),
         ),
     )
@@ -73,11 +80,14 @@ def amount(lowered: Column, pattern: str) -> Column:
 
 
 def tail_years(lowered: Column) -> Column:
-    token = F.regexp_extract(lowered, fixed.TAIL_YEARS, 1)
-    return F.coalesce(
-        F.when(token.rlike(r"^\d+$"), token.cast("decimal(38,0)")),
-        _word_value(token).cast("decimal(38,0)"),
+    """The years after completion, in digits or as a number word."""
+    found = F.transform(
+        F.array(_group(lowered, fixed.TAIL_YEARS)),
+        lambda token: F.when(token.rlike(r"^\d+$"), token.cast("decimal(38,0)")).otherwise(
+            _word_value(token).cast("decimal(38,0)")
+        ),
     )
+    return found[0]
 
 
 def general_number(value: Column) -> Column:

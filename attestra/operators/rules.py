@@ -1,13 +1,14 @@
 """Policy rules as native column expressions, and the registry users extend.
 
-Each rule is a function of the lower-cased text and the policy that returns a column: a finding
-struct where the rule fires, null where it does not.  Rules run only for rows of their own
-category, so a row pays for one category's patterns.
+A rule may read one value from the lower-cased text (``seen``) and turns it, or the text itself,
+into a finding struct that is null where the rule does not fire.  Rules run only for rows of their
+own category, and every value is read once per row, so a row pays for one category's patterns.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -19,7 +20,20 @@ from attestra.functions import numbers, severity
 from attestra.functions.text import fill
 from attestra.operators.policy import BASELINE, Policy
 
-RuleFn = Callable[[Column, Policy], "Column | None"]
+
+@dataclass(frozen=True)
+class Rule:
+    """``fires(text, seen, policy)`` gives the finding column, or None when the policy sets no limit.
+
+    ``seen(text)`` is what the rule reads from the text; without it ``fires`` gets None.
+    """
+
+    reference: str
+    fires: Callable[[Column, Column | None, Policy], Column | None]
+    seen: Callable[[Column], Column] | None = None
+
+
+RuleSet = Mapping[str, "list[Rule]"]
 
 
 def finding(
@@ -58,177 +72,159 @@ def _forbidden(policy: Policy, reference: str) -> bool:
     return standard is not None and not (True if standard.value is None else standard.value)
 
 
-def _owner_negligence(text: Column, policy: Policy) -> Column:
-    # Fires whatever the policy row says, and even without one.
-    fires = _any(text, fixed.OWNER_NEGLIGENCE) & ~_any(text, fixed.CARVE_OUTS)
-    return F.when(fires, finding("indemnification.must_be_limited_to_own_negligence", policy))
+def _text_rule(reference: str, fires: Callable[[Column], Column], active: Callable[[Policy], bool]) -> Rule:
+    """A rule about wording alone."""
+    return Rule(
+        reference,
+        lambda text, _seen, policy: F.when(fires(text), finding(reference, policy)) if active(policy) else None,
+    )
 
 
-def _duty_to_defend(text: Column, policy: Policy) -> Column | None:
-    reference = "indemnification.duty_to_defend_permitted"
-    if not _forbidden(policy, reference):
-        return None
-    fires = text.contains(fixed.INDEMNITY_STEM) & text.rlike(fixed.DEFEND_WORD)
-    return F.when(fires, finding(reference, policy))
+def _prohibition(reference: str, fires: Callable[[Column], Column]) -> Rule:
+    return _text_rule(reference, fires, lambda policy: _forbidden(policy, reference))
 
 
-def _fullest_extent(text: Column, policy: Policy) -> Column | None:
-    reference = "indemnification.fullest_extent_permitted_by_law_permitted"
-    if not _forbidden(policy, reference):
-        return None
-    return F.when(text.contains(fixed.FULLEST_EXTENT), finding(reference, policy))
+def _requirement(reference: str, fires: Callable[[Column], Column]) -> Rule:
+    return _text_rule(reference, fires, lambda policy: bool(policy.value(reference)))
 
 
-def _over(seen: Column, reference: str, policy: Policy, show: Callable[[Column], Column]) -> Column | None:
-    """A measured value above the policy's maximum; no policy value means no limit."""
-    maximum = policy.value(reference)
-    if maximum is None:
-        return None
-    limit = F.lit(float(maximum))
-    return F.when(seen.cast("double") > limit, finding(reference, policy, show(seen), show(limit)))
+def _maximum(reference: str, seen: Callable[[Column], Column], show: Callable[[Column], Column]) -> Rule:
+    """A measured amount above the policy's maximum; no policy value means no limit."""
 
+    def fires(_text: Column, value: Column, policy: Policy) -> Column | None:
+        bound = policy.value(reference)
+        if bound is None:
+            return None
+        limit = F.lit(float(bound))
+        return F.when(value > limit, finding(reference, policy, show(value), show(limit)))
 
-def _cap_multiple(text: Column, policy: Policy) -> Column | None:
-    seen = numbers.liability_multiple(text)
-    return _over(seen, "liability.max_cap_multiple_of_fees", policy, numbers.general_number)
+    return Rule(reference, fires, seen)
 
 
-def _whole(reference: str, policy: Policy, seen: Column, breach: Callable[[Column, Column], Column]) -> Column | None:
+def _whole(reference: str, seen: Callable[[Column], Column], breach: Callable[[Column, Column], Column]) -> Rule:
     """Day and year counts: compared as whole numbers, the policy value shown as written."""
-    bound = policy.value(reference)
-    if bound is None:
-        return None
-    shown = F.lit(f"{bound}")
-    return F.when(breach(seen, F.lit(int(bound))), finding(reference, policy, seen, shown))
-
-
-def _days_to_pay(text: Column, policy: Policy) -> Column | None:
-    return _whole("payment_terms.max_days_to_pay", policy, numbers.first_days(text), lambda s, b: s > b)
-
 
-def _retainage(text: Column, policy: Policy) -> Column | None:
-    seen = F.coalesce(
-        numbers.amount(text, fixed.RETAINAGE_UP_TO), numbers.amount(text, fixed.RETAINAGE_WITHHOLD)
-    )
-    return _over(seen, "payment_terms.max_retainage_percent", policy, numbers.general_number)
-
-
-def _withholding(text: Column, policy: Policy) -> Column | None:
-    reference = "payment_terms.discretionary_withholding_permitted"
-    if not _forbidden(policy, reference):
-        return None
-    return F.when(text.rlike(fixed.DISCRETIONARY_WITHHOLDING), finding(reference, policy))
-
-
-def _late_interest(text: Column, policy: Policy) -> Column | None:
-    reference = "payment_terms.late_interest_required"
-    if not policy.value(reference):
-        return None
-    return F.when(~text.contains(fixed.INTEREST_WORD), finding(reference, policy))
+    def fires(_text: Column, value: Column, policy: Policy) -> Column | None:
+        bound = policy.value(reference)
+        if bound is None:
+            return None
+        broken = breach(value, F.lit(int(bound)))
+        return F.when(broken, finding(reference, policy, value, F.lit(f"{bound}")))
 
-
-def _notice_days(text: Column, policy: Policy) -> Column | None:
-    near = F.when(
-        text.contains(fixed.CONVENIENCE_WORD), numbers.nearest_days(text, fixed.CONVENIENCE_WORD)
-    )
-    return _whole("termination.min_notice_days_for_convenience", policy, near, lambda s, b: s < b)
-
-
-def _demobilisation(text: Column, policy: Policy) -> Column | None:
-    reference = "termination.demobilisation_costs_recoverable"
-    if not policy.value(reference):
-        return None
-    fires = (
-        text.contains(fixed.CONVENIENCE_WORD)
-        & text.rlike(fixed.COSTS_EXCLUDED)
-        & ~text.rlike(fixed.COSTS_RECOVERABLE)
-    )
-    return F.when(fires, finding(reference, policy))
+    return Rule(reference, fires, seen)
 
 
-def _per_claim(text: Column, policy: Policy) -> Column | None:
-    seen = F.coalesce(
-        numbers.amount(text, fixed.PER_CLAIM_FIRST), numbers.amount(text, fixed.PER_CLAIM_SECOND)
-    )
-    return _over(seen, "insurance.max_professional_liability_per_claim_usd", policy, numbers.whole_dollars)
+def _first_trigger() -> Rule:
+    """The first trigger phrase of the policy row that stands in the text."""
+    reference = "scope_of_work.open_ended_scope_language_permitted"
 
+    def fires(text: Column, _seen: Column | None, policy: Policy) -> Column | None:
+        phrases = policy.get(reference).trigger_phrases if _forbidden(policy, reference) else ()
+        if not phrases:
+            return None
+        first = F.coalesce(*[F.when(text.contains(p), F.lit(p)) for p in phrases])
+        return F.when(first.isNotNull(), finding(reference, policy, first))
 
-def _tail(text: Column, policy: Policy) -> Column | None:
-    return _whole("insurance.max_tail_years_after_completion", policy, numbers.tail_years(text), lambda s, b: s > b)
+    return Rule(reference, fires)
 
 
-def _open_scope(text: Column, policy: Policy) -> Column | None:
-    reference = "scope_of_work.open_ended_scope_language_permitted"
-    if not _forbidden(policy, reference):
-        return None
-    phrases = policy.get(reference).trigger_phrases
-    if not phrases:
-        return None
-    first = F.coalesce(*[F.when(text.contains(p), F.lit(p)) for p in phrases])
-    return F.when(first.isNotNull(), finding(reference, policy, first))
+def _either_amount(first: str, second: str) -> Callable[[Column], Column]:
+    return lambda text: F.coalesce(numbers.amount(text, first), numbers.amount(text, second))
 
 
-RULES: dict[str, list[tuple[str, RuleFn]]] = {
+RULES: dict[str, list[Rule]] = {
     "indemnification": [
-        ("indemnification.must_be_limited_to_own_negligence", _owner_negligence),
-        ("indemnification.duty_to_defend_permitted", _duty_to_defend),
-        ("indemnification.fullest_extent_permitted_by_law_permitted", _fullest_extent),
+        # Applies whatever the policy row says, and even without one.
+        _text_rule(
+            "indemnification.must_be_limited_to_own_negligence",
+            lambda text: _any(text, fixed.OWNER_NEGLIGENCE) & ~_any(text, fixed.CARVE_OUTS),
+            lambda _policy: True,
+        ),
+        _prohibition(
+            "indemnification.duty_to_defend_permitted",
+            lambda text: text.contains(fixed.INDEMNITY_STEM) & text.rlike(fixed.DEFEND_WORD),
+        ),
+        _prohibition(
+            "indemnification.fullest_extent_permitted_by_law_permitted",
+            lambda text: text.contains(fixed.FULLEST_EXTENT),
+        ),
+    ],
+    "liability": [
+        _maximum("liability.max_cap_multiple_of_fees", numbers.liability_multiple, numbers.general_number),
     ],
-    "liability": [("liability.max_cap_multiple_of_fees", _cap_multiple)],
     "payment_terms": [
-        ("payment_terms.max_days_to_pay", _days_to_pay),
-        ("payment_terms.max_retainage_percent", _retainage),
-        ("payment_terms.discretionary_withholding_permitted", _withholding),
-        ("payment_terms.late_interest_required", _late_interest),
+        _whole("payment_terms.max_days_to_pay", numbers.first_days, lambda seen, bound: seen > bound),
+        _maximum(
+            "payment_terms.max_retainage_percent",
+            _either_amount(fixed.RETAINAGE_UP_TO, fixed.RETAINAGE_WITHHOLD),
+            numbers.general_number,
+        ),
+        _prohibition(
+            "payment_terms.discretionary_withholding_permitted",
+            lambda text: text.rlike(fixed.DISCRETIONARY_WITHHOLDING),
+        ),
+        _requirement("payment_terms.late_interest_required", lambda text: ~text.contains(fixed.INTEREST_WORD)),
     ],
     "termination": [
-        ("termination.min_notice_days_for_convenience", _notice_days),
-        ("termination.demobilisation_costs_recoverable", _demobilisation),
+        _whole(
+            "termination.min_notice_days_for_convenience",
+            lambda text: numbers.nearest_days(text, fixed.CONVENIENCE_WORD),
+            lambda seen, bound: seen < bound,
+        ),
+        _requirement(
+            "termination.demobilisation_costs_recoverable",
+            lambda text: text.contains(fixed.CONVENIENCE_WORD)
+            & text.rlike(fixed.COSTS_EXCLUDED)
+            & ~text.rlike(fixed.COSTS_RECOVERABLE),
+        ),
     ],
     "insurance": [
-        ("insurance.max_professional_liability_per_claim_usd", _per_claim),
-        ("insurance.max_tail_years_after_completion", _tail),
+        _maximum(
+            "insurance.max_professional_liability_per_claim_usd",
+            _either_amount(fixed.PER_CLAIM_FIRST, fixed.PER_CLAIM_SECOND),
+            numbers.whole_dollars,
+        ),
+        _whole("insurance.max_tail_years_after_completion", numbers.tail_years, lambda seen, bound: seen > bound),
     ],
-    "scope_of_work": [("scope_of_work.open_ended_scope_language_permitted", _open_scope)],
+    "scope_of_work": [_first_trigger()],
 }
 
 
-def extended_rules(
-    category: str,
-    reference: str,
-    rule: RuleFn,
-    policy: Policy = BASELINE,
-    base: Mapping[str, list[tuple[str, RuleFn]]] = RULES,
-) -> dict[str, list[tuple[str, RuleFn]]]:
-    """A rule set with one more rule; its reference must exist in the policy.
-
-    ``rule(lowered_text, policy)`` returns a finding struct column that is null where the rule
-    does not fire.
-    """
-    if policy.get(reference) is None:
-        raise ValueError(f"policy {policy.version} has no standard {reference!r}")
+def extended_rules(category: str, rule: Rule, policy: Policy = BASELINE, base: RuleSet = RULES) -> dict[str, list[Rule]]:
+    """A rule set with one more rule; the rule's reference must exist in the policy."""
+    if policy.get(rule.reference) is None:
+        raise ValueError(f"policy {policy.version} has no standard {rule.reference!r}")
     if category not in fixed.REVIEW_CATEGORIES:
         raise ValueError(f"unknown review category {category!r}")
     out = {c: list(rules) for c, rules in base.items()}
-    out.setdefault(category, []).append((reference, rule))
+    out.setdefault(category, []).append(rule)
     return out
 
 
-def rule_findings(
-    category: Column,
-    lowered: Column,
-    policy: Policy = BASELINE,
-    rules: Mapping[str, list[tuple[str, RuleFn]]] = RULES,
-) -> Column:
+def _read(category: Column, lowered: Column, rules: RuleSet) -> dict[str, Column]:
+    """What each rule reads, only for rows of its category."""
+    return {
+        f"_seen_{rule.reference}": F.when(category == name, rule.seen(lowered))
+        for name, entries in rules.items()
+        for rule in entries
+        if rule.seen is not None
+    }
+
+
+def _fired(category: Column, lowered: Column, policy: Policy, rules: RuleSet) -> Column:
     """All findings of a row as an array, in rule order.  Unknown categories have none."""
     none = F.array().cast(f"array<{schemas.FINDING}>")
     out: Column | None = None
     for name, entries in rules.items():
-        columns = [c for c in (rule(lowered, policy) for _, rule in entries) if c is not None]
-        if not columns:
-            continue
-        fired = F.array_compact(F.array(*columns)).cast(f"array<{schemas.FINDING}>")
-        out = F.when(category == name, fired) if out is None else out.when(category == name, fired)
+        columns = []
+        for rule in entries:
+            seen = None if rule.seen is None else F.col(f"`_seen_{rule.reference}`")
+            column = rule.fires(lowered, seen, policy)
+            if column is not None:
+                columns.append(column)
+        if columns:
+            found = F.array_compact(F.array(*columns))
+            out = F.when(category == name, found) if out is None else out.when(category == name, found)
     return none if out is None else out.otherwise(none)
 
 
@@ -237,20 +233,38 @@ def with_findings(
     policy: Policy = BASELINE,
     category: str = "review_category",
     text: str = "clause_text",
-    rules: Mapping[str, list[tuple[str, RuleFn]]] = RULES,
+    rules: RuleSet = RULES,
+    output: str = "findings",
 ) -> DataFrame:
-    """Add ``findings`` and ``overall_severity``.  A map-only step: nothing is shuffled."""
-    lowered = rows.withColumn("_lowered", F.lower(F.coalesce(F.col(text), F.lit(""))))
+    """Add the findings array.  A map-only step: nothing is shuffled.
+
+    The lower-cased text and the values read from it are columns of their own, so no pattern runs
+    twice on a row.
+    """
+    lowered = F.col("_lowered")
     return (
-        lowered.withColumn("findings", rule_findings(F.col(category), F.col("_lowered"), policy, rules))
-        .withColumn("overall_severity", severity.worst(F.col("findings")))
-        .drop("_lowered")
+        rows.withColumn("_lowered", F.lower(F.coalesce(F.col(text), F.lit(""))))
+        .withColumns(_read(F.col(category), lowered, rules))
+        .withColumn(output, _fired(F.col(category), lowered, policy, rules))
+        .drop("_lowered", *_read(F.col(category), lowered, rules))
     )
 
 
+def with_severity(rows: DataFrame, findings: str = "findings") -> DataFrame:
+    return rows.withColumn("overall_severity", severity.worst(F.col(findings)))
+
+
 def exploded(rows: DataFrame, *keys: str) -> DataFrame:
-    """One row per finding."""
-    return rows.select(*keys, F.posexplode("findings").alias("pos", "f")).select(*keys, "pos", "f.*")
+    """One row per finding.
+
+    The outer form keeps the planner from testing ``size(findings) > 0`` below the generator, which
+    would evaluate every rule a second time.
+    """
+    return (
+        rows.select(*keys, F.posexplode_outer("findings").alias("pos", "f"))
+        .where(F.col("pos").isNotNull())
+        .select(*keys, "pos", "f.*")
+    )
 
 
 def findings_by_standard(rows: DataFrame) -> DataFrame:

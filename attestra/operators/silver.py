@@ -117,7 +117,8 @@ def issues(silver: DataFrame, key: str = "clause_id", unified: str = fixed.UNIFI
             F.when(F.col(unified).isNull(), F.lit(f"missing_{unified}")),
         )
     )
-    return silver.select(F.col(key), F.explode(flags).alias("issue"), "_unmapped_fields")
+    found = silver.select(F.col(key), F.explode_outer(flags).alias("issue"), "_unmapped_fields")
+    return found.where(F.col("issue").isNotNull())
 
 
 def normalisation_report(

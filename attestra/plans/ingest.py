@@ -11,7 +11,7 @@ from attestra.operators.inventory import fingerprint, inventory
 from attestra.plans.lake import Lake
 from attestra.session import cut_lineage
 from attestra.sources import sinks
-from attestra.sources.documents import file_documents, parse_documents, snapshot_sources
+from attestra.sources.documents import explode_records, file_documents, parse_documents, snapshot_sources
 
 DRIFT_EVENTS = (
     "run_id string, source string, kind string, severity string, path string, detail string, "
@@ -38,10 +38,7 @@ def land_files(spark: SparkSession, lake: Lake, files: DataFrame, ingested_at: s
         files = files.join(complete, "run_id", "left_anti")
     documents = parse_documents(file_documents(files))
     heads = documents.drop("records")
-    records = documents.select(
-        "run_id", "source_file", "source_sha256", "source_api_version",
-        F.posexplode("records").alias("record_index", "payload"),
-    ).withColumn("record_index", F.col("record_index").cast("bigint"))
+    records = explode_records(documents, "run_id", "source_file", "source_sha256", "source_api_version")
 
     shapes = cut_lineage(inventory(records, ["run_id"]))
     prints = fingerprint(shapes, ["run_id"]).select("run_id", "schema_fingerprint")

@@ -149,13 +149,18 @@ def assess(
     ).withColumn("review_category", F.when(in_scope, F.col("classification.category")))
 
     rows = rules.with_findings(rows, settings.policy)
+    # Precedents go by the source's own category.  The rules run again only where that differs from
+    # the reviewed one (and is not ``other``, which has no rules).
     source_category = F.coalesce(classify.review_category(F.col("clause_category")), F.lit("other"))
-    rows = rows.withColumn("source_review_category", source_category).withColumn(
-        "clean",
-        F.when(F.col("source_review_category") == F.col("review_category"), F.size("findings") == 0).otherwise(
-            F.size(rules.rule_findings(F.col("source_review_category"), lowered, settings.policy)) == 0
-        ),
+    agrees = F.coalesce(F.col("source_review_category") == F.col("review_category"), F.lit(False))
+    rows = (
+        rows.withColumn("source_review_category", source_category)
+        .withColumn("_again", F.when(~agrees, F.col("source_review_category")))
     )
+    rows = rules.with_findings(rows, settings.policy, category="_again", output="_again_findings")
+    rows = rows.withColumn(
+        "clean", F.when(agrees, F.size("findings") == 0).otherwise(F.size("_again_findings") == 0)
+    ).drop("_again", "_again_findings")
     gated = in_scope & classify.risk_bearing(F.col("review_category"))
     lines = F.transform(
         "findings",
@@ -277,7 +282,11 @@ def escalation_queue(admitted: DataFrame) -> DataFrame:
             ),
         )
     )
-    return admitted.select("clause_id", "record_hash", F.inline(entries))
+    return (
+        admitted.select("clause_id", "record_hash", F.explode_outer(entries).alias("e"))
+        .where(F.col("e").isNotNull())
+        .select("clause_id", "record_hash", "e.*")
+    )
 
 
 def decided_view(admitted: DataFrame) -> DataFrame:

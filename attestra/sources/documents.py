@@ -54,10 +54,20 @@ def parse_documents(documents: DataFrame, text: str = "document", records_field:
 
 def explode_documents(documents: DataFrame, text: str = "document", records_field: str = "clauses") -> DataFrame:
     """One row per record of a document: ``record_index`` and the record's own JSON text."""
-    parsed = parse_documents(documents, text, records_field)
-    others = [c for c in parsed.columns if c != "records"]
-    return parsed.select(*others, F.posexplode("records").alias("record_index", "payload")).withColumn(
-        "record_index", F.col("record_index").cast("bigint")
+    return explode_records(parse_documents(documents, text, records_field))
+
+
+def explode_records(parsed: DataFrame, *columns: str) -> DataFrame:
+    """Parsed documents to records; documents without records give none.
+
+    The outer form keeps the planner from testing the array's size below the generator, which would
+    parse every document twice.
+    """
+    kept = columns or [c for c in parsed.columns if c != "records"]
+    return (
+        parsed.select(*kept, F.posexplode_outer("records").alias("record_index", "payload"))
+        .where(F.col("record_index").isNotNull())
+        .withColumn("record_index", F.col("record_index").cast("bigint"))
     )
 
 

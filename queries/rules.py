@@ -133,7 +133,7 @@ def corpus(t):
 
 
 def findings(t):
-    return rules.with_findings(corpus(t))
+    return rules.with_severity(rules.with_findings(corpus(t)))
 
 
 @query(
