@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from attestra import fixed_values as fixed
+from attestra.functions.binding import bind
 
 
 def token_estimate(text: Column) -> Column:
@@ -46,26 +47,27 @@ def cache_key(prompt: Column, model_name: Column, prompt_version: Column) -> Col
 
 def response_usage(response: Column) -> Column:
     """Usage struct from a response in JSON text: current location first, then the older one."""
-    node = F.try_parse_json(response)
-
-    def number(path: str) -> Column:
-        return F.try_variant_get(node, path, "bigint")
-
-    current = F.try_variant_get(node, "$.usage_metadata", "map<string,variant>")
-    has_current = F.coalesce(F.size(current) > 0, F.lit(False))
-    old_in = F.coalesce(number("$.llm_output.token_usage.prompt_tokens"), F.lit(0))
-    old_out = F.coalesce(number("$.llm_output.token_usage.completion_tokens"), F.lit(0))
-    return F.when(
-        has_current,
-        F.struct(
-            F.coalesce(number("$.usage_metadata.input_tokens"), F.lit(0)).alias("input_tokens"),
-            F.coalesce(number("$.usage_metadata.output_tokens"), F.lit(0)).alias("output_tokens"),
-            F.coalesce(number("$.usage_metadata.total_tokens"), F.lit(0)).alias("total_tokens"),
-        ),
-    ).otherwise(
-        F.struct(
-            old_in.alias("input_tokens"),
-            old_out.alias("output_tokens"),
-            (old_in + old_out).alias("total_tokens"),
+
+    def read(node: Column) -> Column:
+        def number(path: str) -> Column:
+            return F.coalesce(F.try_variant_get(node, path, "bigint"), F.lit(0))
+
+        current = F.size(F.try_variant_get(node, "$.usage_metadata", "map<string,variant>")) > 0
+        old_in = number("$.llm_output.token_usage.prompt_tokens")
+        old_out = number("$.llm_output.token_usage.completion_tokens")
+        return F.when(
+            F.coalesce(current, F.lit(False)),
+            F.struct(
+                number("$.usage_metadata.input_tokens").alias("input_tokens"),
+                number("$.usage_metadata.output_tokens").alias("output_tokens"),
+                number("$.usage_metadata.total_tokens").alias("total_tokens"),
+            ),
+        ).otherwise(
+            F.struct(
+                old_in.alias("input_tokens"),
+                old_out.alias("output_tokens"),
+                (old_in + old_out).alias("total_tokens"),
+            )
         )
-    )
+
+    return bind(F.try_parse_json(response), read)

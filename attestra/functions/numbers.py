@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from attestra import fixed_values as fixed
+from attestra.functions.binding import bind
 
 
 def _group(text: Column, pattern: str, index: int = 1) -> Column:
@@ -55,8 +56,7 @@ def nearest_days(lowered: Column, anchor: str, window: int = fixed.NEAREST_WINDO
             )
         )["days"]
 
-    # The one-element array binds what was found, so that it is worked out once.
-    return F.when(at > 0, F.transform(F.array(found), nearest)[0].cast("decimal(38,0)"))
+    return F.when(at > 0, bind(found, nearest).cast("decimal(38,0)"))
 
 
 def liability_multiple(lowered: Column) -> Column:
@@ -81,13 +81,12 @@ def amount(lowered: Column, pattern: str) -> Column:
 
 def tail_years(lowered: Column) -> Column:
     """The years after completion, in digits or as a number word."""
-    found = F.transform(
-        F.array(_group(lowered, fixed.TAIL_YEARS)),
+    return bind(
+        _group(lowered, fixed.TAIL_YEARS),
         lambda token: F.when(token.rlike(r"^\d+$"), token.cast("decimal(38,0)")).otherwise(
             _word_value(token).cast("decimal(38,0)")
         ),
     )
-    return found[0]
 
 
 def general_number(value: Column) -> Column:

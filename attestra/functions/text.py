@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from attestra import fixed_values as fixed
+from attestra.functions.binding import bind
 
 
 def section_key(section_ref: Column) -> Column:
@@ -32,21 +33,27 @@ def keyword_evidence(
 
     No hit at all gives ``other``, whose confidence is low enough to be escalated.
     """
-    scored = F.array(
+    found = F.array(
         *[
             F.struct(
-                F.size(hits).alias("n"),
                 F.lit(-rank).alias("order"),
                 F.lit(category).alias("category"),
-                hits.alias("signals"),
+                keyword_hits(lowered, words).alias("signals"),
             )
             for rank, (category, words) in enumerate(categories)
-            for hits in [keyword_hits(lowered, words)]
         ]
     )
-    # A one-element array lets the winner be bound once and read several times.
-    chosen = F.transform(
-        F.array(F.array_max(scored)),
+    scored = F.transform(
+        found,
+        lambda f: F.struct(
+            F.size(f["signals"]).alias("n"),
+            f["order"].alias("order"),
+            f["category"].alias("category"),
+            f["signals"].alias("signals"),
+        ),
+    )
+    return bind(
+        F.array_max(scored),
         lambda best: F.when(
             best["n"] > 0,
             F.struct(
@@ -69,7 +76,6 @@ def keyword_evidence(
             )
         ),
     )
-    return chosen[0]
 
 
 def fill(template: str, **values: Column) -> Column:
@@ -96,7 +102,9 @@ def render_prompt(template: str, values: Mapping[str, Column]) -> Column:
 
 def strip_code_fence(content: Column) -> Column:
     """Model output often arrives inside a code fence; keep what is inside it."""
-    trimmed = F.regexp_replace(content, r"^\s+|\s+$", "")
-    return F.when(
-        trimmed.rlike(fixed.CODE_FENCE), F.regexp_extract(trimmed, fixed.CODE_FENCE, 1)
-    ).otherwise(trimmed)
+    return bind(
+        F.btrim(content, F.lit(" \t\n\r\x0b\x0c")),
+        lambda text: F.when(
+            text.startswith("```") & text.rlike(fixed.CODE_FENCE), F.regexp_extract(text, fixed.CODE_FENCE, 1)
+        ).otherwise(text),
+    )

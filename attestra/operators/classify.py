@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from attestra import fixed_values as fixed
 from attestra.functions import severity
+from attestra.functions.binding import bind, evaluated_once
 from attestra.functions.text import keyword_evidence
 
 CLASSIFICATION = "struct<category:string,confidence:double,reasoning:string,signals:array<string>>"
@@ -58,8 +59,8 @@ def by_keywords(
     lowered: Column, categories: Sequence[tuple[str, Sequence[str]]] = fixed.CATEGORY_KEYWORDS
 ) -> Column:
     """Classification struct from keyword evidence in the text."""
-    bound = F.transform(
-        F.array(keyword_evidence(lowered, categories)),
+    return bind(
+        keyword_evidence(lowered, categories),
         lambda e: F.struct(
             e["category"].alias("category"),
             e["confidence"].alias("confidence"),
@@ -80,7 +81,6 @@ def by_keywords(
             e["signals"].alias("signals"),
         ).cast(CLASSIFICATION),
     )
-    return bound[0]
 
 
 def classify(
@@ -104,8 +104,10 @@ def classify(
     known_unmapped = F.coalesce(source_col.isin(*fixed.KNOWN_UNMAPPED), F.lit(False))
     ruled = F.coalesce(review_category(source_col).isNotNull(), F.lit(False)) & F.lit(prefer_rules)
     by_rule = ruled | known_unmapped
-    out = rows.withColumn(
-        "classification", F.when(by_rule, by_source(source_col)).otherwise(model.cast(CLASSIFICATION))
+    out = evaluated_once(
+        rows.withColumn(
+            "classification", F.when(by_rule, by_source(source_col)).otherwise(model.cast(CLASSIFICATION))
+        )
     )
     low = F.col("classification.confidence") < min_confidence
     reason = (

@@ -129,10 +129,12 @@ def guard_run(
 ) -> DataFrame:
     """Add ``halt_reason`` and ``admitted`` to every row: the kill switch looks first, then the budget.
 
-    Rows from the first halted one on are not admitted; none is lost.
+    Rows from the first halted one on are not admitted; none is lost.  Both checks share one cut
+    into ranges, so the rows are shuffled and sorted once.
     """
-    spent = running_spend(rows, order, tokens, cost, group, ranges)
-    state = failure_state(spent, order, failed, group, ranges)
+    cut = with_range(rows, [*group, *order], ranges)
+    spent = running_spend(cut, order, tokens, cost, group)
+    state = failure_state(spent, order, failed, group)
     reason = F.coalesce(
         kill_reason(max_consecutive, max_rate, min_records), budget_reason(max_tokens, max_cost)
     )
@@ -149,7 +151,7 @@ def guard_run(
     admitted = F.col("halt_reason").isNull() | (key < halt_key)
     return (
         marked.withColumn("admitted", F.coalesce(admitted, F.lit(True)))
-        .drop(*[f"halt_{c}" for c in order])
+        .drop(*[f"halt_{c}" for c in order], RANGE)
         .withColumn("halt_reason", F.when(~F.col("admitted"), F.col("halt_reason")))
     )
 

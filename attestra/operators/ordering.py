@@ -53,7 +53,12 @@ def range_bounds(df: DataFrame, order: Sequence[str], ranges: int) -> list[tuple
 def with_range(
     df: DataFrame, order: Sequence[str], ranges: int | None = None, name: str = RANGE
 ) -> DataFrame:
-    """Add the range number: how many bounds lie before the row (binary search)."""
+    """Add the range number: how many bounds lie before the row (binary search).
+
+    A table that carries range numbers already keeps them.
+    """
+    if name in df.columns:
+        return df
     ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     bounds = range_bounds(df, order, ranges)
     if not bounds:

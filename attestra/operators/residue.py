@@ -8,11 +8,15 @@ from pyspark.sql import functions as F
 from attestra import fixed_values as fixed
 from attestra import schemas
 from attestra.functions import severity
+from attestra.functions.binding import bind, evaluated_once
 from attestra.functions.text import strip_code_fence
 
 ASSESSMENT = (
     f"struct<findings:array<{schemas.FINDING}>,overall_severity:string,confidence:double,notes:string>"
 )
+ASSESSMENT_JSON = (
+    f"findings array<{schemas.FINDING}>, overall_severity string, confidence double, notes string"
+)
 CLASSIFICATION_JSON = "category string, confidence double, reasoning string, signals array<string>"
 
 
@@ -44,8 +48,8 @@ def narrative_assessment(lowered: Column) -> Column:
             F.when(fault, _finding(fixed.RESIDUE_FAULT)),
         )
     ).cast(f"array<{schemas.FINDING}>")
-    bound = F.transform(
-        F.array(found),
+    return bind(
+        found,
         lambda f: F.struct(
             f.alias("findings"),
             severity.worst(f).alias("overall_severity"),
@@ -55,7 +59,6 @@ def narrative_assessment(lowered: Column) -> Column:
             F.lit("Narrative pass only; policy-based findings come from the rules.").alias("notes"),
         ).cast(ASSESSMENT),
     )
-    return bound[0]
 
 
 def _in_unit(value: Column) -> Column:
@@ -67,52 +70,68 @@ def parse_classification(content: Column) -> Column:
 
     Required fields must be there and in range; a wrong category is a failure, not a default.
     """
-    text = strip_code_fence(content)
-    kind = F.schema_of_variant(F.try_parse_json(text))
-    parsed = F.from_json(text, CLASSIFICATION_JSON)
-    usable = (
-        kind.startswith("OBJECT")
-        & parsed["category"].isin(*fixed.REVIEW_CATEGORIES)
-        & _in_unit(parsed["confidence"])
-        & parsed["reasoning"].isNotNull()
-    )
-    return F.when(
-        F.coalesce(usable, F.lit(False)),
-        F.struct(
-            parsed["category"].alias("category"),
-            parsed["confidence"].alias("confidence"),
-            parsed["reasoning"].alias("reasoning"),
-            F.coalesce(parsed["signals"], F.array().cast("array<string>")).alias("signals"),
+
+    def check(m: Column) -> Column:
+        parsed = m["parsed"]
+        usable = (
+            m["object"]
+            & parsed["category"].isin(*fixed.REVIEW_CATEGORIES)
+            & _in_unit(parsed["confidence"])
+            & parsed["reasoning"].isNotNull()
+        )
+        return F.when(
+            F.coalesce(usable, F.lit(False)),
+            F.struct(
+                parsed["category"].alias("category"),
+                parsed["confidence"].alias("confidence"),
+                parsed["reasoning"].alias("reasoning"),
+                F.coalesce(parsed["signals"], F.array().cast("array<string>")).alias("signals"),
+            ),
+        )
+
+    return bind(_read(content, CLASSIFICATION_JSON), check)
+
+
+def _read(content: Column, ddl: str) -> Column:
+    """Struct ``(object, parsed)`` of a model text, each worked out once."""
+    return bind(
+        strip_code_fence(content),
+        lambda text: F.struct(
+            F.schema_of_variant(F.try_parse_json(text)).startswith("OBJECT").alias("object"),
+            F.from_json(text, ddl).alias("parsed"),
         ),
     )
 
 
 def parse_assessment(content: Column) -> Column:
     """Model text -> assessment struct, or null when any part of it is not usable."""
-    text = strip_code_fence(content)
-    kind = F.schema_of_variant(F.try_parse_json(text))
-    parsed = F.from_json(text, ASSESSMENT)
-    findings = F.coalesce(parsed["findings"], F.array().cast(f"array<{schemas.FINDING}>"))
     levels = list(fixed.SEVERITY_RANK)
-    good = F.forall(
-        findings,
-        lambda f: f["risk"].isNotNull()
-        & F.coalesce(f["severity"].isin(levels), F.lit(False))
-        & _in_unit(f["confidence"])
-        & f["suggested_alternative"].isNotNull(),
-    )
-    overall = F.coalesce(parsed["overall_severity"], F.lit("none"))
-    confidence = F.coalesce(parsed["confidence"], F.lit(1.0))
-    usable = kind.startswith("OBJECT") & good & overall.isin(levels) & _in_unit(confidence)
-    return F.when(
-        F.coalesce(usable, F.lit(False)),
-        F.struct(
-            findings.alias("findings"),
-            overall.alias("overall_severity"),
-            confidence.alias("confidence"),
-            parsed["notes"].alias("notes"),
-        ).cast(ASSESSMENT),
-    )
+
+    def complete(f: Column) -> Column:
+        return (
+            f["risk"].isNotNull()
+            & F.coalesce(f["severity"].isin(levels), F.lit(False))
+            & _in_unit(f["confidence"])
+            & f["suggested_alternative"].isNotNull()
+        )
+
+    def check(m: Column) -> Column:
+        parsed = m["parsed"]
+        findings = F.coalesce(parsed["findings"], F.array().cast(f"array<{schemas.FINDING}>"))
+        overall = F.coalesce(parsed["overall_severity"], F.lit("none"))
+        confidence = F.coalesce(parsed["confidence"], F.lit(1.0))
+        usable = m["object"] & F.forall(findings, complete) & overall.isin(levels) & _in_unit(confidence)
+        return F.when(
+            F.coalesce(usable, F.lit(False)),
+            F.struct(
+                findings.alias("findings"),
+                overall.alias("overall_severity"),
+                confidence.alias("confidence"),
+                parsed["notes"].alias("notes"),
+            ).cast(ASSESSMENT),
+        )
+
+    return bind(_read(content, ASSESSMENT_JSON), check)
 
 
 def merge_assessment(
@@ -150,6 +169,7 @@ def merge_assessment(
         F.col("_gated") & (F.size("_kept") > 0) & (F.col("_model.confidence") < min_confidence),
         "low_confidence_risk_assessment",
     )
+    staged = evaluated_once(staged)
     return (
         staged.withColumn(findings, F.concat(findings, "_kept"))
         .withColumn("overall_severity", severity.worst(F.col(findings)))

@@ -12,6 +12,7 @@ from attestra import fixed_values as fixed
 from attestra.functions import severity
 from attestra.operators.ledger import ledger_rows
 from attestra.operators.ordering import number_rows
+from attestra.session import cut_lineage
 
 COLUMNS = ("clause_id", "reviewer", "date", "action", "field", "human_value", "rationale", "source")
 
@@ -99,7 +100,8 @@ def reconcile(reviews: DataFrame, assessments: DataFrame) -> DataFrame:
 
 def overrides(reconciled: DataFrame, agent: str = "risk_flagger", order: Sequence[str] = REVIEW_ORDER) -> DataFrame:
     """Override rows, numbered over the whole run in review order (no one-task window)."""
-    chosen = reconciled.where(F.col("outcome") == "override")
+    # Human decisions: few next to the records, and numbering reads them more than once.
+    chosen = cut_lineage(reconciled.where(F.col("outcome") == "override"))
     numbered = number_rows(chosen, order, "seq")
     return numbered.select(
         override_id("OVR", F.col("clause_id"), F.col("seq")).alias("override_id"),

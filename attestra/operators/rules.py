@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from attestra import fixed_values as fixed
 from attestra import schemas
 from attestra.functions import numbers, severity
+from attestra.functions.binding import evaluated_once
 from attestra.functions.text import fill
 from attestra.operators.policy import BASELINE, Policy
 
@@ -239,10 +240,10 @@ def with_findings(
     """Add the findings array.  A map-only step: nothing is shuffled.
 
     The lower-cased text and the values read from it are columns of their own, so no pattern runs
-    twice on a row.
+    twice on a row; later filters read the result instead of running the rules again.
     """
     lowered = F.col("_lowered")
-    return (
+    return evaluated_once(
         rows.withColumn("_lowered", F.lower(F.coalesce(F.col(text), F.lit(""))))
         .withColumns(_read(F.col(category), lowered, rules))
         .withColumn(output, _fired(F.col(category), lowered, policy, rules))
@@ -255,16 +256,8 @@ def with_severity(rows: DataFrame, findings: str = "findings") -> DataFrame:
 
 
 def exploded(rows: DataFrame, *keys: str) -> DataFrame:
-    """One row per finding.
-
-    The outer form keeps the planner from testing ``size(findings) > 0`` below the generator, which
-    would evaluate every rule a second time.
-    """
-    return (
-        rows.select(*keys, F.posexplode_outer("findings").alias("pos", "f"))
-        .where(F.col("pos").isNotNull())
-        .select(*keys, "pos", "f.*")
-    )
+    """One row per finding."""
+    return rows.select(*keys, F.posexplode("findings").alias("pos", "f")).select(*keys, "pos", "f.*")
 
 
 def findings_by_standard(rows: DataFrame) -> DataFrame:

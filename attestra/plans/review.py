@@ -71,37 +71,39 @@ class Settings:
 
 
 def _call(
-    rows: DataFrame, name: str, needed: Column, prompt: Column, version: str, answer: Column, settings: Settings,
+    rows: DataFrame, name: str, needed: str, prompt: Column, version: str, answer: str, settings: Settings,
     cache: DataFrame | None,
 ) -> DataFrame:
     """Attach one model call: content, cache key, who decided, usage.
 
-    Rows that do not need the call carry no key and join nothing.
+    ``answer`` is a column of fresh model text.  Rows that do not need the call carry no key and
+    join nothing; without a cache no key is worked out at all.
     """
-    keyed = rows.withColumn(
-        f"{name}_key",
-        F.when(needed, cost.cache_key(prompt, F.lit(settings.model_name), F.lit(version))),
-    ).withColumn(f"{name}_prompt_tokens", F.when(needed, cost.token_estimate(prompt)))
-    if cache is None:
-        keyed = keyed.withColumn("value", F.lit(None).cast("string")).withColumn("cache_hit", F.lit(False))
-    else:
-        keyed = decision_cache.lookup(keyed, cache, f"{name}_key")
-    fresh = needed & ~F.col("cache_hit")
+    wanted = F.col(needed)
+    keyed = rows.withColumn("_prompt", F.when(wanted, prompt))
+    key = cost.cache_key(F.col("_prompt"), F.lit(settings.model_name), F.lit(version))
+    keyed = (
+        keyed.withColumn(f"{name}_key", F.when(wanted, key) if cache is not None else F.lit(None).cast("string"))
+        .withColumn("_prompt_tokens", cost.token_estimate(F.col("_prompt")))
+        .drop("_prompt")
+    )
+    looked = (
+        decision_cache.lookup(keyed, cache, f"{name}_key")
+        if cache is not None
+        else decision_cache.lookup(keyed, keyed, enabled=False)
+    )
+    fresh = cost.usage(
+        F.col("_prompt_tokens"),
+        cost.token_estimate(F.coalesce(F.col(f"{name}_content"), F.lit(""))),
+        **settings.prices,
+    )
     return (
-        keyed.withColumn(f"{name}_content", F.when(needed, F.coalesce("value", answer)))
-        .withColumn(f"{name}_hit", F.col("cache_hit"))
+        looked.withColumn(f"{name}_content", F.when(wanted, F.coalesce("value", answer)))
+        .withColumnRenamed("cache_hit", f"{name}_hit")
         .withColumn(
-            f"{name}_usage",
-            F.when(
-                fresh,
-                cost.usage(
-                    F.col(f"{name}_prompt_tokens"),
-                    cost.token_estimate(F.coalesce(F.col(f"{name}_content"), F.lit(""))),
-                    **settings.prices,
-                ),
-            ).otherwise(cost.no_usage()),
+            f"{name}_usage", F.when(wanted & ~F.col(f"{name}_hit"), fresh).otherwise(cost.no_usage())
         )
-        .drop("value", "cache_hit", f"{name}_prompt_tokens")
+        .drop("value", "_prompt_tokens")
     )
 
 
@@ -128,23 +130,25 @@ def assess(
         classify.review_category(F.col("clause_category")).isNotNull() & F.lit(settings.prefer_rules), F.lit(False)
     ) | F.coalesce(F.col("clause_category").isin(*fixed.KNOWN_UNMAPPED), F.lit(False))
     rows = rows.withColumn("_class_needed", in_scope & ~ruled)
-    class_answer = (
-        F.to_json(classify.by_keywords(lowered)) if model_outputs is None else F.col("_class_text")
-    )
+    if model_outputs is None:
+        rows = rows.withColumn("_own_class", F.when(F.col("_class_needed"), classify.by_keywords(lowered)))
+        rows = rows.withColumn("_class_text", F.to_json("_own_class"))
     rows = _call(
         rows,
         "class",
-        F.col("_class_needed"),
+        "_class_needed",
         render_prompt(settings.classifier.template, {"clause_text": text}),
         settings.classifier.version,
-        class_answer,
+        "_class_text",
         settings,
         cache,
     )
+    parsed = residue.parse_classification(F.col("class_content"))
     rows = classify.classify(
         rows,
         prefer_rules=settings.prefer_rules,
-        model=residue.parse_classification(F.col("class_content")),
+        # Our own fresh answers are structs already; only texts from elsewhere are parsed.
+        model=parsed if model_outputs is not None else F.when(F.col("class_hit"), parsed).otherwise(F.col("_own_class")),
         model_decided_by=F.when(F.col("class_hit"), "cache").otherwise("model"),
     ).withColumn("review_category", F.when(in_scope, F.col("classification.category")))
 
@@ -168,13 +172,13 @@ def assess(
     )
     existing = F.coalesce(F.nullif(F.array_join(lines, "\n"), F.lit("")), F.lit("(none)"))
     rows = rows.withColumn("_risk_needed", gated)
-    risk_answer = (
-        F.to_json(residue.narrative_assessment(lowered)) if model_outputs is None else F.col("_risk_text")
-    )
+    if model_outputs is None:
+        rows = rows.withColumn("_own_risk", F.when(gated, residue.narrative_assessment(lowered)))
+        rows = rows.withColumn("_risk_text", F.to_json("_own_risk"))
     rows = _call(
         rows,
         "risk",
-        F.col("_risk_needed"),
+        "_risk_needed",
         render_prompt(
             settings.assessor.template,
             {
@@ -184,13 +188,14 @@ def assess(
             },
         ),
         settings.assessor.version,
-        risk_answer,
+        "_risk_text",
         settings,
         cache,
     )
+    parsed = residue.parse_assessment(F.col("risk_content"))
     rows = residue.merge_assessment(
         rows,
-        residue.parse_assessment(F.col("risk_content")),
+        parsed if model_outputs is not None else F.when(F.col("risk_hit"), parsed).otherwise(F.col("_own_risk")),
         F.col("_risk_needed"),
         model_decided_by=F.when(F.col("risk_hit"), "cache").otherwise("model"),
     )
@@ -201,7 +206,7 @@ def assess(
         F.col("class_usage.cost_usd").cast("decimal(28,8)") + F.col("risk_usage.cost_usd").cast("decimal(28,8)"),
     ).withColumn(
         "failed", in_scope & F.col("classification").isNull()
-    ).drop("_class_text", "_risk_text")
+    ).drop("_class_text", "_risk_text", "_own_class", "_own_risk")
 
 
 def _classification_payload() -> Column:
@@ -282,11 +287,7 @@ def escalation_queue(admitted: DataFrame) -> DataFrame:
             ),
         )
     )
-    return (
-        admitted.select("clause_id", "record_hash", F.explode_outer(entries).alias("e"))
-        .where(F.col("e").isNotNull())
-        .select("clause_id", "record_hash", "e.*")
-    )
+    return admitted.select("clause_id", "record_hash", F.inline(entries))
 
 
 def decided_view(admitted: DataFrame) -> DataFrame:

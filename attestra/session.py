@@ -6,14 +6,16 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Runtime settings every job here relies on.  Timestamps are rendered as UTC text, and
-# hot join keys are split by the adaptive skew join.
+# Runtime settings every job here relies on.  Timestamps are rendered as UTC text, hot join keys
+# are split by the adaptive skew join, and generated methods stay small enough to be compiled by
+# the JVM (rule expressions are long; beyond 8,000 bytecodes they would be interpreted).
 RUNTIME = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
