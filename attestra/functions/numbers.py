@@ -16,8 +16,8 @@ def _group(text: Column, pattern: str, index: int = 1) -> Column:
 
 def _word_value(word: Column) -> Column:
     """Number word -> number; null for any other word and for null."""
-    pairs = [F.lit(x) for item in fixed.NUMBER_WORDS.items() for x in item]
-    return F.try_element_at(F.create_map(*pairs), word)
+    pairs = ", ".join(f"'{name}', {value}" for name, value in fixed.NUMBER_WORDS.items())
+    return F.try_element_at(F.expr(f"map({pairs})"), word)
 
 
 def first_days(lowered: Column) -> Column:
@@ -93,22 +93,17 @@ def general_number(value: Column) -> Column:
     """Six significant digits, no trailing zeros (the ``%g`` form)."""
 
     def trimmed(text: Column) -> Column:
-        return F.regexp_replace(F.regexp_replace(text, r"(\.\d*?)0+$", "$1"), r"\.$", "")
+        return F.regexp_replace(text, r"\.?0+$", "")
 
-    mantissa_exponent = F.format_string("%.5e", value)
-    scientific = F.concat(
-        trimmed(F.substring_index(mantissa_exponent, "e", 1)),
-        F.lit("e"),
-        F.substring_index(mantissa_exponent, "e", -1),
-    )
-    # The exponent after rounding to six digits decides the form.
-    exponent = F.substring_index(mantissa_exponent, "e", -1).cast("int")
-    text = F.when((exponent >= 6) | (exponent < -4), scientific)
-    for power in range(5, -5, -1):
-        places = 5 - power
-        text = text.when(exponent == power, trimmed(F.format_string(f"%.{places}f", value))
-                         if places else F.format_string("%.0f", value))
-    return F.when(value == 0, F.lit("0")).otherwise(text)
+    def show(rounded: Column) -> Column:
+        # ``rounded`` has six significant digits; its exponent decides the form.
+        mantissa, exponent = F.substring_index(rounded, "e", 1), F.substring_index(rounded, "e", -1)
+        plain = rounded.cast("double").cast("decimal(20,10)").cast("string")
+        return F.when(exponent.cast("int").between(-4, 5), trimmed(plain)).otherwise(
+            F.concat(trimmed(mantissa), F.lit("e"), exponent)
+        )
+
+    return bind(F.format_string("%.5e", value), show)
 
 
 def whole_dollars(value: Column) -> Column:

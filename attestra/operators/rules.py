@@ -243,11 +243,12 @@ def with_findings(
     twice on a row; later filters read the result instead of running the rules again.
     """
     lowered = F.col("_lowered")
+    seen = _read(F.col(category), lowered, rules)
     return evaluated_once(
         rows.withColumn("_lowered", F.lower(F.coalesce(F.col(text), F.lit(""))))
-        .withColumns(_read(F.col(category), lowered, rules))
+        .withColumns(seen)
         .withColumn(output, _fired(F.col(category), lowered, policy, rules))
-        .drop("_lowered", *_read(F.col(category), lowered, rules))
+        .drop("_lowered", *seen)
     )
 
 

@@ -152,19 +152,25 @@ def assess(
         model_decided_by=F.when(F.col("class_hit"), "cache").otherwise("model"),
     ).withColumn("review_category", F.when(in_scope, F.col("classification.category")))
 
-    rows = rules.with_findings(rows, settings.policy)
-    # Precedents go by the source's own category.  The rules run again only where that differs from
-    # the reviewed one (and is not ``other``, which has no rules).
-    source_category = F.coalesce(classify.review_category(F.col("clause_category")), F.lit("other"))
-    agrees = F.coalesce(F.col("source_review_category") == F.col("review_category"), F.lit(False))
-    rows = (
-        rows.withColumn("source_review_category", source_category)
-        .withColumn("_again", F.when(~agrees, F.col("source_review_category")))
+    # The sweep for precedents covers refused records too, under their source's own category; a
+    # record without one counts under ``other``, which has no rules.
+    source_category = classify.review_category(F.col("clause_category"))
+    rows = rows.withColumn("source_review_category", F.coalesce(source_category, F.lit("other"))).withColumn(
+        "_rules_for", F.coalesce("review_category", source_category)
     )
-    rows = rules.with_findings(rows, settings.policy, category="_again", output="_again_findings")
-    rows = rows.withColumn(
-        "clean", F.when(agrees, F.size("findings") == 0).otherwise(F.size("_again_findings") == 0)
-    ).drop("_again", "_again_findings")
+    rows = rules.with_findings(rows, settings.policy, category="_rules_for")
+    agrees = F.coalesce(F.col("source_review_category") == F.col("_rules_for"), F.lit(False))
+    clean = F.when(agrees, F.size("findings") == 0)
+    if settings.prefer_rules:
+        rows = rows.withColumn("clean", clean.otherwise(F.col("source_review_category") == "other"))
+    else:
+        # The model may have chosen another category: there the rules run again for the source's.
+        rows = rows.withColumn("_again", F.when(~agrees, F.col("source_review_category")))
+        rows = rules.with_findings(rows, settings.policy, category="_again", output="_again_findings")
+        rows = rows.withColumn("clean", clean.otherwise(F.size("_again_findings") == 0)).drop(
+            "_again", "_again_findings"
+        )
+    rows = rows.drop("_rules_for")
     gated = in_scope & classify.risk_bearing(F.col("review_category"))
     lines = F.transform(
         "findings",
