@@ -14,8 +14,26 @@ from attestra.session import broadcast_if_small, cut_lineage
 TYPES = ("array", "bool", "float", "int", "object", "str")
 
 
-def _is_container(kind: Column) -> Column:
-    return kind.startswith("OBJECT") | kind.startswith("ARRAY")
+# One depth level of the walk, from table ``{before}`` to table ``{after}``.  Rows without a node pass
+# through; a child's value is never null (JSON null is a variant).  A listed container stands for
+# itself and is opened in a second copy.
+LEVEL = """
+{after}_children AS (
+  SELECT {keys}
+    CASE WHEN value IS NULL THEN path WHEN key IS NULL THEN concat(path, '[]')
+         WHEN path IS NULL THEN key ELSE concat(path, '.', key) END AS path,
+    CASE WHEN value IS NULL THEN kind ELSE schema_of_variant(value) END AS kind, text, key, value
+  FROM {before}, LATERAL variant_explode_outer(node)
+  WHERE node IS NULL OR value IS NOT NULL),
+{after}_typed AS (
+  SELECT {keys} path, kind,
+    CASE WHEN value IS NULL THEN text WHEN kind = 'STRING' THEN CAST(value AS STRING) END AS text,
+    CASE WHEN value IS NOT NULL AND (kind LIKE 'OBJECT%' OR kind LIKE 'ARRAY%') THEN value END AS node,
+    value IS NOT NULL AND key IS NOT NULL AND (kind LIKE 'OBJECT%' OR kind LIKE 'ARRAY%') AS both
+  FROM {after}_children),
+{after} AS (
+  SELECT {keys} path, kind, text, CASE WHEN NOT own THEN node END AS node
+  FROM {after}_typed LATERAL VIEW explode(CASE WHEN both THEN array(true, false) ELSE array(false) END) AS own)"""
 
 
 def flatten(records: DataFrame, keys: Sequence[str] = (), payload: str = "payload", max_depth: int = 8) -> DataFrame:
@@ -25,51 +43,18 @@ def flatten(records: DataFrame, keys: Sequence[str] = (), payload: str = "payloa
     stage.  Array items share ``path[]``; container items are opened but not listed themselves.
     Containers below ``max_depth`` are reported with ``truncated = true`` instead of being skipped.
     """
-    tvf = records.sparkSession.tvf
-    rows = records.select(
-        *keys,
-        F.lit(None).cast("string").alias("path"),
-        F.lit(None).cast("string").alias("kind"),
-        F.lit(None).cast("string").alias("text"),
-        F.try_parse_json(F.col(payload)).alias("node"),
+    own = "".join(f"`{k}`, " for k in keys)
+    levels = ",".join(
+        LEVEL.format(before=f"level_{i}", after=f"level_{i + 1}", keys=own) for i in range(max_depth)
     )
-    key, value = F.col("key"), F.col("value")
-    for _ in range(max_depth):
-        # Rows without a node pass through; a child's value is never null (JSON null is a variant).
-        level = rows.lateralJoin(tvf.variant_explode_outer(F.col("node").outer())).where(
-            F.col("node").isNull() | value.isNotNull()
-        )
-        level = level.select(
-            *keys,
-            F.when(value.isNull(), F.col("path"))
-            .when(key.isNull(), F.concat("path", F.lit("[]")))
-            .when(F.col("path").isNull(), key)
-            .otherwise(F.concat("path", F.lit("."), key))
-            .alias("path"),
-            F.when(value.isNull(), F.col("kind")).otherwise(F.schema_of_variant(value)).alias("kind"),
-            "text",
-            key,
-            value,
-        )
-        opened = value.isNotNull() & _is_container(F.col("kind"))
-        level = level.select(
-            *keys,
-            "path",
-            "kind",
-            F.when(value.isNull(), F.col("text"))
-            .when(F.col("kind") == "STRING", value.cast("string"))
-            .alias("text"),
-            F.when(opened, value).alias("node"),
-            (opened & key.isNotNull()).alias("both"),
-        )
-        # A listed container stands for itself and is opened in a second copy.
-        copies = F.when(F.col("both"), F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(False)))
-        rows = level.select("*", F.explode(copies).alias("own")).select(
-            *keys, "path", "kind", "text", F.when(~F.col("own"), F.col("node")).alias("node")
-        )
+    nothing = "CAST(NULL AS STRING)"
     # A payload that is no container leaves one row without a path.
-    return rows.where(F.col("path").isNotNull()).select(
-        *keys, "path", "kind", "text", F.col("node").isNotNull().alias("truncated")
+    return records.sparkSession.sql(
+        f"""WITH level_0 AS (
+  SELECT {own} {nothing} AS path, {nothing} AS kind, {nothing} AS text, try_parse_json(`{payload}`) AS node
+  FROM {{records}}),{levels}
+SELECT {own} path, kind, text, node IS NOT NULL AS truncated FROM level_{max_depth} WHERE path IS NOT NULL""",
+        records=records,
     )
 
 
@@ -117,9 +102,11 @@ def inventory(
     types = F.array_compact(
         F.array(*[F.when(F.col("_mask").bitwiseAND(1 << i) != 0, F.lit(n)) for i, n in enumerate(TYPES)])
     )
-    return stats.join(values, on, "left").select(
+    found = stats.join(values, on, "left").select(
         *keys, "path", types.alias("types"), "present_count", "null_count", "values", "truncated"
     )
+    # Schema-sized from here on; whoever reads it twice does not scan the records again.
+    return cut_lineage(found)
 
 
 def fingerprint(inventories: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

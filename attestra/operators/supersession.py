@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from attestra.functions.text import is_amendment, section_key
@@ -13,42 +13,44 @@ HOT_GROUPS = 1000
 HOT_MIN_ROWS = 1_000_000
 
 
-def attach_group(rows: DataFrame, summary: DataFrame, keys: Sequence[str], count_col: str) -> DataFrame:
-    """Join a per-group summary back to its rows without sending a hot group to one task.
-
-    The largest groups (at most ``HOT_GROUPS``, each above ``HOT_MIN_ROWS``) are broadcast; all
-    other groups meet their rows in a shuffled join.  Every row is joined by exactly one way.
-    """
-    fields = [c for c in summary.columns if c not in keys]
-    hot = (
-        summary.where(F.col(count_col) >= HOT_MIN_ROWS).orderBy(F.desc(count_col), *keys).limit(HOT_GROUPS)
-    ).select(*keys, F.struct(*fields).alias("_hot"))
-    marked = rows.join(F.broadcast(hot), list(keys), "left")
-    by_broadcast = marked.where(F.col("_hot").isNotNull()).select(*rows.columns, "_hot.*")
-    rest = marked.where(F.col("_hot").isNull()).drop("_hot")
-    by_shuffle = rest.join(summary, list(keys)).select(*rows.columns, *fields)
-    return by_broadcast.unionByName(by_shuffle)
-
-
 def supersessions(
     rows: DataFrame,
     group: Sequence[str],
     order: Sequence[Column],
     carried: Sequence[str],
+    hot_min_rows: int = HOT_MIN_ROWS,
 ) -> DataFrame:
-    """Rows of multi-row groups paired with the group's newest row (never row with row).
+    """Every row next to the newest row of its group (never row with row).
 
-    ``order`` must be total within a group: the newest row is the one that equals the group's
-    greatest order value.  Adds ``_newest`` (struct of ``carried``), ``_members`` and
-    ``_is_newest``; groups of one row have ``_members = 1``.
+    Adds ``_newest`` (struct of ``carried``), ``_members`` and ``_is_newest``.  ``order`` must be total
+    within a group.  Ordinary groups are handled by a window, in one shuffle.  Groups above
+    ``hot_min_rows`` would be one huge sort each: the largest ones (at most ``HOT_GROUPS``, so their
+    summary is safe to broadcast) are aggregated map-side and joined back without moving their
+    rows.  A group beyond both bounds is a small part of the table and goes by the window.
     """
+    keys = list(group)
     ordered = rows.withColumn("_order", F.struct(*order))
-    summary = ordered.groupBy(*group).agg(
-        F.max_by(F.struct("_order", *carried), "_order").alias("_newest"),
-        F.count(F.lit(1)).alias("_members"),
+    newest = F.struct("_order", *carried)
+    hot = (
+        rows.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .where(F.col("_n") >= hot_min_rows)
+        .orderBy(F.desc("_n"), *keys)
+        .limit(HOT_GROUPS)
+        .select(*keys)
+    )
+    whole = Window.partitionBy(*keys)
+    ordinary = (
+        ordered.join(F.broadcast(hot), keys, "left_anti")
+        .withColumn("_newest", F.first(newest).over(whole.orderBy(F.desc("_order"))))
+        .withColumn("_members", F.count(F.lit(1)).over(whole))
+    )
+    large = ordered.join(F.broadcast(hot), keys, "left_semi")
+    summary = large.groupBy(*keys).agg(
+        F.max_by(newest, "_order").alias("_newest"), F.count(F.lit(1)).alias("_members")
     )
     return (
-        attach_group(ordered, summary, group, "_members")
+        ordinary.unionByName(large.join(F.broadcast(summary), keys))
         .withColumn("_is_newest", F.col("_order") == F.col("_newest._order"))
         .drop("_order")
     )

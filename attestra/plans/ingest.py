@@ -40,7 +40,7 @@ def land_files(spark: SparkSession, lake: Lake, files: DataFrame, ingested_at: s
     heads = documents.drop("records")
     records = explode_records(documents, "run_id", "source_file", "source_sha256", "source_api_version")
 
-    shapes = cut_lineage(inventory(records, ["run_id"]))
+    shapes = inventory(records, ["run_id"])
     prints = fingerprint(shapes, ["run_id"]).select("run_id", "schema_fingerprint")
     stamped = records.join(prints, "run_id", "left")
     bronze = landing.envelope(stamped, F.lit(ingested_at), attempt)
