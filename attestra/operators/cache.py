@@ -8,13 +8,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def lookup(requests: DataFrame, cache: DataFrame, key: str = "key", enabled: bool = True) -> DataFrame:
-    """Add ``value`` and ``cache_hit``.  A key many requests share is split by the skew join."""
+def lookup(
+    requests: DataFrame, cache: DataFrame, key: str = "key", enabled: bool = True, spread_by: Sequence[str] = ()
+) -> DataFrame:
+    """Add ``value`` and ``cache_hit``.
+
+    A key that many requests share is split by the skew join.  Requests without a key match nothing;
+    ``spread_by`` (row keys) deals them out instead of gathering all nulls in one task.
+    """
     if not enabled:
         return requests.withColumn("value", F.lit(None).cast("string")).withColumn("cache_hit", F.lit(False))
-    return requests.join(cache.select(F.col("key").alias(key), "value"), key, "left").withColumn(
-        "cache_hit", F.col("value").isNotNull()
+    asked = F.col(key)
+    if spread_by:
+        asked = F.coalesce(asked, F.concat(F.lit("no key "), F.xxhash64(*spread_by).cast("string")))
+    found = requests.withColumn("_asked", asked).join(
+        cache.select(F.col("key").alias("_asked"), "value"), "_asked", "left"
     )
+    return found.drop("_asked").withColumn("cache_hit", F.col("value").isNotNull())
 
 
 def billed(column: Column, hit: str = "cache_hit") -> Column:

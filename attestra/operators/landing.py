@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from attestra import fixed_values as fixed
 from attestra.functions.json_values import record_hash
-from attestra.operators.inventory import fingerprint, inventory
+from attestra.session import broadcast_if_small, cut_lineage
 
 
 def envelope(records: DataFrame, ingested_at: Column, attempt: int = 1) -> DataFrame:
@@ -35,17 +35,23 @@ def envelope(records: DataFrame, ingested_at: Column, attempt: int = 1) -> DataF
     )
 
 
-def stamp_fingerprint(records: DataFrame, max_depth: int = 8) -> tuple[DataFrame, DataFrame]:
-    """Profile each run and stamp its shape on its records; returns (records, inventory)."""
-    shapes = inventory(records, ["run_id"], max_depth=max_depth)
-    prints = fingerprint(shapes, ["run_id"]).select("run_id", "schema_fingerprint")
-    return records.join(prints, "run_id", "left"), shapes
+def latest_attempt(bronze: DataFrame, attempts: DataFrame, run_col: str = "run_id") -> DataFrame:
+    """Rows of each run's last attempt; earlier attempts stay in the table.
+
+    ``attempts`` lists ``(run_id, attempt)``, one row per landing: the list is joined to the records,
+    never the records grouped by run.  Runs it does not name are kept.
+    """
+    return bronze.join(superseded_attempts(attempts, run_col), [run_col, "attempt"], "left_anti")
 
 
-def latest_attempt(bronze: DataFrame, keys: tuple[str, ...] = ("run_id",)) -> DataFrame:
-    """Rows of each run's last attempt; earlier attempts stay in the table."""
-    newest = bronze.groupBy(*keys).agg(F.max("attempt").alias("attempt"))
-    return bronze.join(newest, [*keys, "attempt"], "left_semi")
+def superseded_attempts(attempts: DataFrame, run_col: str = "run_id") -> DataFrame:
+    newest = F.max("attempt").over(Window.partitionBy(run_col))
+    return (
+        attempts.withColumn("_newest", newest)
+        .where(F.col("attempt") < F.col("_newest"))
+        .select(run_col, "attempt")
+        .distinct()
+    )
 
 
 def run_manifest(bronze: DataFrame, keys: tuple[str, ...] = ("run_id",), hash_col: str = "_bronze.record_hash") -> DataFrame:
@@ -67,11 +73,16 @@ def resume_points(bronze: DataFrame, keys: tuple[str, ...] = ("run_id",), index_
 def keep_first(rows: DataFrame, key: str, order: tuple[str, ...]) -> DataFrame:
     """Replay dedupe: the first row of every ``key`` in ``order``.
 
-    ``row_number() <= 1`` is pruned inside each input task before the shuffle, so a record
+    Replays are few, so the keys are counted on their own first and only the rows of repeated keys
+    are shuffled; all other rows pass through with their payload where they are.  Among the repeated
+    ones ``row_number() <= 1`` is pruned inside each input task before the shuffle, so a record
     replayed millions of times sends one row per task.
     """
+    counted = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_copies"))
+    repeated = broadcast_if_small(cut_lineage(counted.where(F.col("_copies") > 1).select(key)))
     ranked = F.row_number().over(Window.partitionBy(key).orderBy(*order))
-    return rows.withColumn("_n", ranked).where(F.col("_n") <= 1).drop("_n")
+    first = rows.join(repeated, key, "left_semi").withColumn("_n", ranked).where(F.col("_n") <= 1)
+    return rows.join(repeated, key, "left_anti").unionByName(first.drop("_n").select(*rows.columns))
 
 
 def dedupe_replays(bronze: DataFrame) -> DataFrame:

@@ -9,10 +9,11 @@ from attestra import schemas
 from attestra.operators import drift, landing, registry
 from attestra.operators.inventory import fingerprint, inventory
 from attestra.plans.lake import Lake
-from attestra.session import cut_lineage
+from attestra.session import broadcast_if_small, cut_lineage
 from attestra.sources import sinks
 from attestra.sources.documents import explode_records, file_documents, parse_documents, snapshot_sources
 
+BRONZE_TABLE = f"{schemas.BRONZE}, attempt int, ingest_date string, run_id string"
 DRIFT_EVENTS = (
     "run_id string, source string, kind string, severity string, path string, detail string, "
     "action_required string, confidence double, evidence string"
@@ -32,8 +33,7 @@ def land_files(spark: SparkSession, lake: Lake, files: DataFrame, ingested_at: s
     complete = lake.runs(spark).where(F.col("status") == "complete").select("run_id")
     attempt = 1
     if restart:
-        attempts = lake.read(spark, "bronze", f"{schemas.BRONZE}, attempt int, ingest_date string, run_id string")
-        attempt = (attempts.agg(F.max("attempt").alias("a")).first()["a"] or 0) + 1
+        attempt = (lake.runs(spark).agg(F.max("attempt").alias("a")).first()["a"] or 0) + 1
     else:
         files = files.join(complete, "run_id", "left_anti")
     documents = parse_documents(file_documents(files))
@@ -41,8 +41,9 @@ def land_files(spark: SparkSession, lake: Lake, files: DataFrame, ingested_at: s
     records = explode_records(documents, "run_id", "source_file", "source_sha256", "source_api_version")
 
     shapes = inventory(records, ["run_id"])
-    prints = fingerprint(shapes, ["run_id"]).select("run_id", "schema_fingerprint")
-    stamped = records.join(prints, "run_id", "left")
+    # One row per run landed now: counted before it is broadcast, so that records are not shuffled.
+    prints = cut_lineage(fingerprint(shapes, ["run_id"]).select("run_id", "schema_fingerprint"))
+    stamped = records.join(broadcast_if_small(prints), "run_id", "left")
     bronze = landing.envelope(stamped, F.lit(ingested_at), attempt)
     if restart:
         # A new attempt is added next to the old ones.
@@ -50,10 +51,8 @@ def land_files(spark: SparkSession, lake: Lake, files: DataFrame, ingested_at: s
     else:
         sinks.land_bronze(bronze, lake.path("bronze"))
 
-    landed = landing.latest_attempt(
-        spark.read.schema(f"{schemas.BRONZE}, attempt int, ingest_date string, run_id string")
-        .parquet(lake.path("bronze"))
-        .where(F.col("ingest_date") == ingested_at[:10])
+    landed = spark.read.schema(BRONZE_TABLE).parquet(lake.path("bronze")).where(
+        (F.col("ingest_date") == ingested_at[:10]) & (F.col("attempt") == attempt)
     )
     counted = landing.run_manifest(landed)
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
@@ -62,6 +61,7 @@ def land_files(spark: SparkSession, lake: Lake, files: DataFrame, ingested_at: s
         .join(prints, "run_id", "left")
         .select(
             "run_id",
+            F.lit(attempt).alias("attempt"),
             "source_file",
             "source_sha256",
             "source_api_version",

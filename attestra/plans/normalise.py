@@ -7,14 +7,16 @@ from pyspark.sql import DataFrame, SparkSession
 from attestra import fixed_values as fixed
 from attestra import schemas
 from attestra.operators import landing, silver, supersession
+from attestra.plans.ingest import BRONZE_TABLE
 from attestra.plans.lake import Lake
 from attestra.sources import sinks
 from attestra.sources.tables import completed_only
 
 
 def completed_bronze(spark: SparkSession, lake: Lake) -> DataFrame:
-    ddl = f"{schemas.BRONZE}, attempt int, ingest_date string, run_id string"
-    return landing.latest_attempt(completed_only(lake.read(spark, "bronze", ddl), lake.runs(spark)))
+    """Records of completed runs, last attempts only."""
+    runs = lake.runs(spark)
+    return landing.latest_attempt(completed_only(lake.read(spark, "bronze", BRONZE_TABLE), runs), runs)
 
 
 def normalise(spark: SparkSession, lake: Lake, aliases: dict[str, str]) -> DataFrame:

@@ -88,7 +88,7 @@ def _call(
         .drop("_prompt")
     )
     looked = (
-        decision_cache.lookup(keyed, cache, f"{name}_key")
+        decision_cache.lookup(keyed, cache, f"{name}_key", spread_by=("clause_id",))
         if cache is not None
         else decision_cache.lookup(keyed, keyed, enabled=False)
     )

@@ -8,7 +8,7 @@ BRONZE_META = (
 BRONZE = f"_bronze struct<{', '.join(p.strip().replace(' ', ':', 1) for p in BRONZE_META.split(','))}>, payload string"
 
 RUNS = (
-    "run_id string, source_file string, source_sha256 string, source_api_version string, "
+    "run_id string, attempt int, source_file string, source_sha256 string, source_api_version string, "
     "ingested_at string, status string, records_in_source bigint, records_written bigint, "
     "unique_record_hashes bigint, duplicates_from_replay bigint, schema_fingerprint string"
 )

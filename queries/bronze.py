@@ -133,7 +133,7 @@ QUALIFY turn = max(turn) OVER (PARTITION BY conv_id)""",
 )
 def _(t):
     attempts = t.conversations.select("conv_id", F.col("turn").alias("attempt"), "role")
-    return landing.latest_attempt(attempts, ("conv_id",))
+    return landing.latest_attempt(attempts, attempts.select("conv_id", "attempt"), "conv_id")
 
 
 DOCUMENT = """concat('{"metadata":{"source":"orders"', CASE WHEN o_orderstatus = 'F' THEN ',"api_version":"2.1"' ELSE '' END,
