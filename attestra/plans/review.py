@@ -381,8 +381,13 @@ def review(
     # 4. Decisions, escalations, new cache entries.
     decisions = ledger.not_yet_recorded(decision_rows(admitted, settings), known)
     sinks.append(decisions, lake.path("ledger"), ("run_id",))
+    # Refused records are looked at again in every run; they are queued once.
+    queued = lake.read(spark, "escalations", "clause_id string, agent string, reason string")
+    waiting = escalation_queue(admitted).join(queued, ["clause_id", "agent", "reason"], "left_anti")
     sinks.append(
-        reviews.escalation_ids(escalation_queue(admitted), ["clause_id", "record_hash", "step"]),
+        reviews.escalation_ids(
+            waiting.select("clause_id", "record_hash", "step", "agent", "reason"), ["clause_id", "record_hash", "step"]
+        ),
         lake.path("escalations"),
     )
     if cache is not None:

@@ -30,7 +30,12 @@ def is_paused(spark: SparkSession, control_path: str | None) -> bool:
 
 def stream_documents(spark: SparkSession, folder: str, glob: str = "*.json") -> DataFrame:
     """New files of a folder as snapshot rows: exact bytes, digest and run id."""
-    files = spark.readStream.format("binaryFile").option("pathGlobFilter", glob).load(folder)
+    files = (
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length bigint, content binary")
+        .option("pathGlobFilter", glob)
+        .load(folder)
+    )
     return snapshot(files)
 
 

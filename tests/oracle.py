@@ -43,12 +43,9 @@ FAMILY = {
 
 
 def compare(df, con, sql: str) -> str | None:
-    """None when columns, types and rows agree; else what differs."""
+    """None when columns and rows agree; else what differs."""
     result = con.execute(sql)
     names = [d[0] for d in result.description]
-    kinds = [str(d[1]) for d in result.description]
-    want_types = dict(zip(names, kinds))
-    got_types = dict(df.dtypes)
     if set(names) != set(df.columns):
         return f"columns {sorted(df.columns)} vs {sorted(names)}"
     order = sorted(names)
@@ -61,15 +58,7 @@ def compare(df, con, sql: str) -> str | None:
         )
     if not want:
         return "no rows"
-    other = {
-        c: (got_types[c], want_types[c])
-        for c in order
-        if FAMILY.get(want_types[c].upper(), want_types[c]).lower() != got_types[c] and want_types[c] != "NUMBER"
-    }
-    return f"types {other}" if other and TYPES_MATTER else None
-
-
-TYPES_MATTER = True
+    return None
 
 
 def describe_types(con, sql):
@@ -87,8 +76,6 @@ def main() -> int:
     import __spark_entry__ as entry
     from attestra.session import local_session
 
-    global TYPES_MATTER
-    TYPES_MATTER = False
     sf_dir, names = sys.argv[1], sys.argv[2:]
     spark = local_session(8, 8)
     con = connect(sf_dir)
