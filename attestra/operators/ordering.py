@@ -83,7 +83,8 @@ def with_range(
             (at + jump <= len(bounds)) & (F.get(limits, at + jump - 1) < key), at + jump
         ).otherwise(at),
     )
-    return df.withColumn(name, position)
+    # Never null, so a join on the range does not test (and evaluate) it a second time.
+    return df.withColumn(name, F.coalesce(position, F.lit(0)))
 
 
 def _by(group: Sequence[str]) -> list[Column]:

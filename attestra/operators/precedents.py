@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from attestra import fixed_values as fixed
+from attestra.functions.binding import evaluated_once
 
 
 def clean_index(rows: DataFrame, category: str = "review_category", key: str = "clause_id") -> DataFrame:
@@ -65,4 +66,4 @@ def with_precedents(
             F.when(F.size(f["precedent_clause_ids"]) > 0, f["precedent_clause_ids"]).otherwise(others),
         ),
     )
-    return joined.withColumn("findings", filled).drop("_first", "_category")
+    return evaluated_once(joined.withColumn("findings", filled).drop("_first", "_category"))

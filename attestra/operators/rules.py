@@ -1,7 +1,7 @@
 """Policy rules as native column expressions, and the registry users extend.
 
-A rule may read one value from the lower-cased text (``seen``) and turns it, or the text itself,
-into a finding struct that is null where the rule does not fire.  Rules run only for rows of their
+A rule may read one value from the lower-cased text (``seen``) and decides from it, or from the text
+itself, whether it fires and with which finding.  Rules run only for rows of their
 own category, and every value is read once per row, so a row pays for one category's patterns.
 """
 
@@ -22,15 +22,18 @@ from attestra.functions.text import fill
 from attestra.operators.policy import BASELINE, Policy
 
 
+Fired = tuple[Column, Column] | None
+
+
 @dataclass(frozen=True)
 class Rule:
-    """``fires(text, seen, policy)`` gives the finding column, or None when the policy sets no limit.
+    """``fires(text, seen, policy)`` gives (condition, finding), or None when the policy sets no limit.
 
     ``seen(text)`` is what the rule reads from the text; without it ``fires`` gets None.
     """
 
     reference: str
-    fires: Callable[[Column, Column | None, Policy], Column | None]
+    fires: Callable[[Column, Column | None, Policy], Fired]
     seen: Callable[[Column], Column] | None = None
 
 
@@ -77,7 +80,7 @@ def _text_rule(reference: str, fires: Callable[[Column], Column], active: Callab
     """A rule about wording alone."""
     return Rule(
         reference,
-        lambda text, _seen, policy: F.when(fires(text), finding(reference, policy)) if active(policy) else None,
+        lambda text, _seen, policy: (fires(text), finding(reference, policy)) if active(policy) else None,
     )
 
 
@@ -92,12 +95,12 @@ def _requirement(reference: str, fires: Callable[[Column], Column]) -> Rule:
 def _maximum(reference: str, seen: Callable[[Column], Column], show: Callable[[Column], Column]) -> Rule:
     """A measured amount above the policy's maximum; no policy value means no limit."""
 
-    def fires(_text: Column, value: Column, policy: Policy) -> Column | None:
+    def fires(_text: Column, value: Column, policy: Policy) -> Fired:
         bound = policy.value(reference)
         if bound is None:
             return None
         limit = F.lit(float(bound))
-        return F.when(value > limit, finding(reference, policy, show(value), show(limit)))
+        return value > limit, finding(reference, policy, show(value), show(limit))
 
     return Rule(reference, fires, seen)
 
@@ -105,12 +108,11 @@ def _maximum(reference: str, seen: Callable[[Column], Column], show: Callable[[C
 def _whole(reference: str, seen: Callable[[Column], Column], breach: Callable[[Column, Column], Column]) -> Rule:
     """Day and year counts: compared as whole numbers, the policy value shown as written."""
 
-    def fires(_text: Column, value: Column, policy: Policy) -> Column | None:
+    def fires(_text: Column, value: Column, policy: Policy) -> Fired:
         bound = policy.value(reference)
         if bound is None:
             return None
-        broken = breach(value, F.lit(int(bound)))
-        return F.when(broken, finding(reference, policy, value, F.lit(f"{bound}")))
+        return breach(value, F.lit(int(bound))), finding(reference, policy, value, F.lit(f"{bound}"))
 
     return Rule(reference, fires, seen)
 
@@ -119,12 +121,12 @@ def _first_trigger() -> Rule:
     """The first trigger phrase of the policy row that stands in the text."""
     reference = "scope_of_work.open_ended_scope_language_permitted"
 
-    def fires(text: Column, _seen: Column | None, policy: Policy) -> Column | None:
+    def fires(text: Column, _seen: Column | None, policy: Policy) -> Fired:
         phrases = policy.get(reference).trigger_phrases if _forbidden(policy, reference) else ()
         if not phrases:
             return None
         first = F.coalesce(*[F.when(text.contains(p), F.lit(p)) for p in phrases])
-        return F.when(first.isNotNull(), finding(reference, policy, first))
+        return first.isNotNull(), finding(reference, policy, first)
 
     return Rule(reference, fires)
 
@@ -217,14 +219,16 @@ def _fired(category: Column, lowered: Column, policy: Policy, rules: RuleSet) ->
     none = F.array().cast(f"array<{schemas.FINDING}>")
     out: Column | None = None
     for name, entries in rules.items():
-        columns = []
+        parts = []
         for rule in entries:
             seen = None if rule.seen is None else F.col(f"`_seen_{rule.reference}`")
-            column = rule.fires(lowered, seen, policy)
-            if column is not None:
-                columns.append(column)
-        if columns:
-            found = F.array_compact(F.array(*columns))
+            fired = rule.fires(lowered, seen, policy)
+            if fired is not None:
+                # One-element arrays joined up stay in generated code; filtering nulls out of an
+                # array would not.
+                parts.append(F.when(fired[0], F.array(fired[1])).otherwise(none))
+        if parts:
+            found = F.concat(*parts)
             out = F.when(category == name, found) if out is None else out.when(category == name, found)
     return none if out is None else out.otherwise(none)
 

@@ -126,18 +126,23 @@ def normalisation_report(
 ) -> DataFrame:
     """One row of totals; the lists behind them are ``issues`` and ``key_collisions``."""
     read = bronze_rows.agg(F.count(F.lit(1)).alias("bronze_records_read"))
-    kept = silver.agg(
-        F.count(F.lit(1)).alias("silver_records"),
-        F.count_if(F.size("_unmapped_fields") > 0).alias("records_with_unmapped_fields"),
-        F.count_if(F.col(unified).isNull()).alias(f"records_without_{unified}"),
+    by_key = silver.groupBy(key).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.size("_unmapped_fields") > 0).alias("unmapped"),
+        F.count_if(F.col(unified).isNull()).alias("missing"),
     )
-    repeated = key_collisions(silver, key).agg(F.count(F.lit(1)).alias("key_collisions"))
-    # Three one-row tables side by side, joined on a constant.
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    kept = by_key.agg(
+        total("n").alias("silver_records"),
+        total("unmapped").alias("records_with_unmapped_fields"),
+        total("missing").alias(f"records_without_{unified}"),
+        F.count_if(F.col("n") > 1).alias("key_collisions"),
+    )
+    # Two one-row tables side by side, joined on a constant.
     one = lambda df: df.withColumn("_one", F.lit(1))
     return (
         one(read)
         .join(one(kept), "_one")
-        .join(one(repeated), "_one")
         .drop("_one")
         .withColumn("duplicates_dropped", F.col("bronze_records_read") - F.col("silver_records"))
     )

@@ -78,48 +78,31 @@ def proposals(silver: DataFrame) -> DataFrame:
         [text("last_modified"), text("clause_id"), F.col("_hash")],
         ["clause_id", "section_ref", "last_modified", "review_history"],
     )
+    superseded = (F.col("_members") > 1) & ~F.col("_is_newest")
+    orphan = (F.col("_members") == 1) & is_amendment(F.col("section_ref"))
     notes = F.coalesce(
         F.transform("_newest.review_history.reviews", lambda r: r["notes"]), F.array().cast("array<string>")
     )
-    superseded = marked.where((F.col("_members") > 1) & ~F.col("_is_newest")).select(
-        F.concat(F.lit("SUP-"), "clause_id").alias("proposal_id"),
-        F.lit("SUPERSESSION_CANDIDATE").alias("kind"),
+    pair = lambda value: F.when(superseded, value)
+    return marked.where(superseded | orphan).select(
+        F.concat(F.when(superseded, "SUP-").otherwise("ORPHAN-"), "clause_id").alias("proposal_id"),
+        F.when(superseded, "SUPERSESSION_CANDIDATE").otherwise("AMENDS_UNKNOWN_CLAUSE").alias("kind"),
         F.lit("PENDING_HUMAN_REVIEW").alias("status"),
         "contract_id",
         "section",
-        F.lit(None).cast("string").alias("clause_id"),
-        F.col("clause_id").alias("superseded_clause_id"),
-        F.col("_newest.clause_id").alias("superseding_clause_id"),
+        F.when(~superseded, F.col("clause_id")).alias("clause_id"),
+        pair(F.col("clause_id")).alias("superseded_clause_id"),
+        pair(F.col("_newest.clause_id")).alias("superseding_clause_id"),
         F.struct(
-            F.lit(True).alias("same_contract_and_section"),
-            F.col("_newest.section_ref").alias("superseding_section_ref"),
+            superseded.alias("same_contract_and_section"),
+            pair(F.col("_newest.section_ref")).alias("superseding_section_ref"),
             F.col("section_ref").alias("superseded_section_ref"),
-            is_amendment(F.col("_newest.section_ref")).alias("superseding_marked_amended"),
-            F.col("last_modified").alias("superseded_last_modified"),
-            F.col("_newest.last_modified").alias("superseding_last_modified"),
-            notes.alias("superseding_review_notes"),
+            pair(is_amendment(F.col("_newest.section_ref"))).alias("superseding_marked_amended"),
+            pair(F.col("last_modified")).alias("superseded_last_modified"),
+            pair(F.col("_newest.last_modified")).alias("superseding_last_modified"),
+            pair(notes).alias("superseding_review_notes"),
         ).alias("evidence"),
     )
-    orphans = marked.where((F.col("_members") == 1) & is_amendment(F.col("section_ref"))).select(
-        F.concat(F.lit("ORPHAN-"), "clause_id").alias("proposal_id"),
-        F.lit("AMENDS_UNKNOWN_CLAUSE").alias("kind"),
-        F.lit("PENDING_HUMAN_REVIEW").alias("status"),
-        "contract_id",
-        "section",
-        "clause_id",
-        F.lit(None).cast("string").alias("superseded_clause_id"),
-        F.lit(None).cast("string").alias("superseding_clause_id"),
-        F.struct(
-            F.lit(False).alias("same_contract_and_section"),
-            F.lit(None).cast("string").alias("superseding_section_ref"),
-            F.col("section_ref").alias("superseded_section_ref"),
-            F.lit(None).cast("boolean").alias("superseding_marked_amended"),
-            F.lit(None).cast("string").alias("superseded_last_modified"),
-            F.lit(None).cast("string").alias("superseding_last_modified"),
-            F.lit(None).cast("array<string>").alias("superseding_review_notes"),
-        ).alias("evidence"),
-    )
-    return superseded.unionByName(orphans)
 
 
 def in_report_order(found: DataFrame) -> DataFrame:

@@ -36,6 +36,7 @@ def land_files(spark: SparkSession, lake: Lake, files: DataFrame, ingested_at: s
         attempt = (lake.runs(spark).agg(F.max("attempt").alias("a")).first()["a"] or 0) + 1
     else:
         files = files.join(complete, "run_id", "left_anti")
+    sinks.land_snapshots(files, ingested_at, lake.path("source_snapshots"))
     documents = parse_documents(file_documents(files))
     heads = documents.drop("records")
     records = explode_records(documents, "run_id", "source_file", "source_sha256", "source_api_version")
@@ -116,7 +117,9 @@ def detect(spark: SparkSession, lake: Lake, manifests: DataFrame, shapes: DataFr
     events = events.join(manifests.select("run_id", "source"), "run_id").select(
         "run_id", "source", *drift.EVENT
     )
+    events = cut_lineage(events)
     sinks.append(events, lake.path("drift_events"))
+    sinks.append(drift_reports(batches, events), lake.path("drift_reports"))
     arriving = shapes.join(batches.select("run_id", "source", "api_version", "seq"), "run_id").select(
         "source", "api_version", *fields, "seq"
     )
@@ -125,7 +128,23 @@ def detect(spark: SparkSession, lake: Lake, manifests: DataFrame, shapes: DataFr
     return lake.read(spark, "drift_events", DRIFT_EVENTS)
 
 
-def drift_report(events: DataFrame) -> DataFrame:
-    """Per run: how many events, and whether a human must act."""
-    return drift.drift_gate(events, ["run_id"])
-
+def drift_reports(batches: DataFrame, events: DataFrame) -> DataFrame:
+    """One row per landed run: what it was compared with, and whether a human must act."""
+    gate = drift.drift_gate(events, ["run_id"])
+    compared = (
+        F.when(F.col("baseline_kind") == "none", "none (first batch from this source)")
+        .when(F.col("baseline_kind") == "identical", F.concat("previous_version", F.lit(" (identical shape)")))
+        .otherwise(F.col("previous_version"))
+    )
+    return batches.join(gate, "run_id", "left").select(
+        F.col("ingested_at").alias("generated_at"),
+        "run_id",
+        "source",
+        "api_version",
+        compared.alias("compared_against"),
+        F.col("fingerprint").alias("schema_fingerprint"),
+        "record_count",
+        F.coalesce("events", F.lit(0)).alias("events"),
+        (F.coalesce("events", F.lit(0)) > 0).alias("drift_detected"),
+        F.coalesce("requires_human_action", F.lit(False)).alias("requires_human_action"),
+    )

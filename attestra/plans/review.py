@@ -402,6 +402,20 @@ def review(
         fresh = decision_cache.new_entries(calls.where("key is not null"), cache)
         sinks.append(fresh, lake.path("cache"))
 
+    sinks.rebuild(ledger.counts(lake.read(spark, "escalations", "reason string"), "reason"), lake.path("escalation_counts"))
+    called = admitted.select(
+        F.inline(
+            F.array(
+                F.struct(F.col("_class_needed").alias("called"), F.col("class_hit").alias("cache_hit"), F.col("class_usage").alias("u")),
+                F.struct(F.col("_risk_needed").alias("called"), F.col("risk_hit").alias("cache_hit"), F.col("risk_usage").alias("u")),
+            )
+        )
+    ).where("called")
+    sinks.rebuild(decision_cache.hit_rate(called), lake.path("cache_stats"))
+    sinks.rebuild(
+        decision_cache.usage_totals(called.where("NOT cache_hit").select("u.*")), lake.path("usage_totals")
+    )
+
     # 5. Human reviews against everything in the ledger, also from earlier runs.
     known = lake.read(spark, "ledger", schemas.LEDGER)
     state = ledger.rehydrate(known.where(F.col("agent").isin("clause_classifier", "risk_flagger")), ("timestamp", "seq"))
@@ -416,6 +430,9 @@ def review(
     )
     sinks.append(human_rows, lake.path("ledger"), ("run_id",))
 
+    mine = lake.read(spark, "ledger", schemas.LEDGER).where(F.col("run_id") == settings.run_id)
+    sinks.rebuild(ledger.counts(mine, "decided_by"), lake.path("decision_counts"))
+
     # 6. Proposals only: nothing below changes the policy.
     found = learning.learning_proposals(
         overrides, settings.policy.to_rows(spark), settings.timestamp, settings.min_occurrences

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def land_bronze(bronze: DataFrame, path: str) -> None:
@@ -20,6 +21,17 @@ def land_bronze(bronze: DataFrame, path: str) -> None:
     )
 
 
+def land_snapshots(files: DataFrame, ingested_at: str, path: str) -> None:
+    """Keep the exact source bytes next to the records, one partition per run."""
+    (
+        files.select("source_file", "source_sha256", "length", "content", F.lit(ingested_at).alias("ingested_at"), "run_id")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("run_id")
+        .parquet(path)
+    )
+
+
 def append(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
     writer = df.write.mode("append")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)

@@ -70,7 +70,7 @@ FROM events GROUP BY 1""",
 )
 def _(t):
     # Every landing of the error events is replayed once; equal payloads are the same record.
-    events = t.events.select(
+    events = t.spread("events").select(
         "event_id", json_values.record_hash(kind_payload()).alias("record_hash"), "event_type", F.lit(0).alias("replay")
     )
     replayed = events.where(F.col("event_type") == "error").withColumn("replay", F.lit(1))
@@ -86,7 +86,7 @@ def _(t):
 FROM events GROUP BY 1""",
 )
 def _(t):
-    landed = t.events.select(
+    landed = t.spread("events").select(
         F.date_format("ts", "yyyy-MM-dd").alias("run_id"),
         json_values.record_hash(kind_payload()).alias("record_hash"),
     )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from attestra import schemas
 from attestra.operators import contract, drift
 from attestra.operators.policy import BASELINE
-from attestra.plans import evaluate, ingest, normalise, review
+from attestra.plans import approve, evaluate, ingest, normalise, review
 from attestra.plans.lake import Lake
 from attestra.session import cut_lineage
 from attestra.sources.documents import read_documents
@@ -69,6 +69,11 @@ def test_payload_is_kept_as_it_came(spark, lake):
         assert list(json.loads(row["payload"]).items()) == list(originals[row["_bronze"]["record_index"]].items())
 
 
+def test_source_bytes_are_kept(spark, lake):
+    kept = {r["source_file"]: bytes(r["content"]) for r in spark.read.parquet(lake.path("source_snapshots")).collect()}
+    assert kept == {"batch_1.json": corpus.first_document().encode(), "batch_2.json": corpus.second_document().encode()}
+
+
 def test_landing_again_changes_nothing(spark, lake, tmp_path):
     before = _bronze(spark, lake).count()
     first, _ = corpus.write_documents(tmp_path / "again")
@@ -92,7 +97,10 @@ def test_drift_between_the_two_versions(spark, lake):
     assert len(json.loads(added["evidence"])["nested_paths"]) == 7
     rename = events.where("kind = 'SUSPECTED_RENAME'").first()
     assert rename["confidence"] == 0.75
-    assert ingest.drift_report(events).first()["requires_human_action"]
+    reports = {r["api_version"]: r for r in spark.read.parquet(lake.path("drift_reports")).collect()}
+    assert reports["2.1"]["compared_against"] == "none (first batch from this source)"
+    assert not reports["2.1"]["drift_detected"] and reports["2.3"]["compared_against"] == "2.1"
+    assert reports["2.3"]["events"] == 6 and reports["2.3"]["requires_human_action"]
 
 
 def test_inventory_sizes(spark, lake):
@@ -169,6 +177,32 @@ def test_ledger_and_learning(spark, reviewed):
     assert [e["clause_id"] for e in evidence] == ["CLZ-2025-0019", "CLZ-2025-0010"]
 
 
+def test_totals_of_the_run(spark, reviewed):
+    usage = spark.read.parquet(reviewed.path("usage_totals")).first()
+    assert usage["calls"] == 17 and usage["total_tokens"] == usage["input_tokens"] + usage["output_tokens"] > 0
+    decided = {r["decided_by"]: r["records"] for r in spark.read.parquet(reviewed.path("decision_counts")).collect()}
+    assert decided == {"rule": 23, "model": 17, "human": 8}
+    hits = spark.read.parquet(reviewed.path("cache_stats")).first()
+    assert (hits["hits"], hits["misses"], hits["hit_rate"]) == (0, 17, 0.0)
+    queue = {r["reason"]: r["records"] for r in spark.read.parquet(reviewed.path("escalation_counts")).collect()}
+    assert queue == {"category_outside_review_taxonomy": 1}
+
+
+def test_approved_proposal_becomes_a_new_policy_version(spark, reviewed):
+    name = "LP-indemnification-duty_to_defend_permitted"
+    with pytest.raises(ValueError, match="approver"):
+        approve.approve(spark, reviewed, name, "", "because", "2026-01-09T00:00:00.000Z")
+    assert approve.current_policy(spark, reviewed).version == "1.0.0"
+    policy = approve.approve(spark, reviewed, name, "Ann Person", "because", "2026-01-09T00:00:00.000Z")
+    assert policy.version == "1.1.0" == approve.current_policy(spark, reviewed).version
+    assert spark.read.parquet(reviewed.path("policy_exceptions")).count() == 2
+    assert spark.read.parquet(reviewed.path("approvals")).first()["approved_by"] == "Ann Person"
+    ledger = reviewed.read(spark, "ledger", schemas.LEDGER)
+    assert ledger.where("action = 'apply_learning_proposal'").count() == 1
+    with pytest.raises(ValueError, match="pending"):
+        approve.approve(spark, reviewed, name, "Ann Person", "again", "2026-01-10T00:00:00.000Z")
+
+
 def test_second_run_skips_everything(spark, reviewed):
     before = reviewed.read(spark, "ledger", schemas.LEDGER).count()
     simulated = spark.createDataFrame(corpus.SIMULATED, corpus.SIMULATED_DDL)
