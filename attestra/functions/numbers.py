@@ -9,9 +9,14 @@ from attestra import fixed_values as fixed
 from attestra.functions.binding import bind
 
 
+def unicode_classes(pattern: str) -> str:
+    r"""``\s``, ``\d``, ``\w`` and ``\b`` for all of Unicode: contracts are full of no-break spaces."""
+    return "(?U)" + pattern
+
+
 def _group(text: Column, pattern: str, index: int = 1) -> Column:
     """First match of ``pattern``, or null where nothing matches."""
-    return F.get(F.regexp_extract_all(text, F.lit(pattern), index), 0)
+    return F.get(F.regexp_extract_all(text, F.lit(unicode_classes(pattern)), index), 0)
 
 
 def _word_value(word: Column) -> Column:
@@ -22,7 +27,7 @@ def _word_value(word: Column) -> Column:
 
 def first_days(lowered: Column) -> Column:
     """The first ``(N) [calendar|business] day(s)``."""
-    return _group(lowered, fixed.DAYS).cast("decimal(38,0)")
+    return _group(lowered, fixed.DAYS).try_cast("decimal(38,0)")
 
 
 def nearest_days(lowered: Column, anchor: str, window: int = fixed.NEAREST_WINDOW) -> Column:
@@ -34,11 +39,12 @@ def nearest_days(lowered: Column, anchor: str, window: int = fixed.NEAREST_WINDO
     at = F.instr(lowered, anchor)
     begin = F.greatest(F.lit(1), at - window)
     segment = F.substring(lowered, begin, at + window - begin)
+    days = unicode_classes(fixed.DAYS)
     found = F.struct(
         (at - begin).alias("anchor"),
-        F.transform(F.split(segment, fixed.DAYS, -1), lambda p: F.length(p)).alias("pieces"),
-        F.transform(F.regexp_extract_all(segment, F.lit(fixed.DAYS), 0), lambda m: F.length(m)).alias("matches"),
-        F.regexp_extract_all(segment, F.lit(fixed.DAYS), 1).alias("days"),
+        F.transform(F.split(segment, days, -1), lambda p: F.length(p)).alias("pieces"),
+        F.transform(F.regexp_extract_all(segment, F.lit(days), 0), lambda m: F.length(m)).alias("matches"),
+        F.regexp_extract_all(segment, F.lit(days), 1).alias("days"),
     )
 
     def total(lengths: Column, count: Column) -> Column:
@@ -56,7 +62,7 @@ def nearest_days(lowered: Column, anchor: str, window: int = fixed.NEAREST_WINDO
             )
         )["days"]
 
-    return F.when(at > 0, bind(found, nearest).cast("decimal(38,0)"))
+    return F.when(at > 0, bind(found, nearest).try_cast("decimal(38,0)"))
 
 
 def liability_multiple(lowered: Column) -> Column:
@@ -67,7 +73,7 @@ def liability_multiple(lowered: Column) -> Column:
     return F.when(
         gated,
         F.coalesce(
-            _group(lowered, fixed.MULTIPLE_DIGITS).cast("double"),
+            _group(lowered, fixed.MULTIPLE_DIGITS).try_cast("double"),
             _word_value(_group(lowered, fixed.MULTIPLE_WORD)).cast("double"),
             F.when(lowered.contains(fixed.MULTIPLE_ONE), F.lit(1.0)),
         ),
@@ -83,8 +89,8 @@ def tail_years(lowered: Column) -> Column:
     """The years after completion, in digits or as a number word."""
     return bind(
         _group(lowered, fixed.TAIL_YEARS),
-        lambda token: F.when(token.rlike(r"^\d+$"), token.cast("decimal(38,0)")).otherwise(
-            _word_value(token).cast("decimal(38,0)")
+        lambda token: F.when(token.rlike(unicode_classes(r"^\d+$")), token.try_cast("decimal(38,0)")).otherwise(
+            _word_value(token).try_cast("decimal(38,0)")
         ),
     )
 

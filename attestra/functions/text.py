@@ -13,12 +13,12 @@ from attestra.functions.binding import bind
 
 def section_key(section_ref: Column) -> Column:
     """``Section 8.1 (Amended)`` -> ``8.1``; null where no number is present."""
-    stripped = F.regexp_replace(section_ref, fixed.AMENDMENT_PATTERN, "")
-    return F.nullif(F.regexp_extract(stripped, fixed.SECTION_NUMBER_PATTERN, 1), F.lit(""))
+    stripped = F.regexp_replace(section_ref, "(?U)" + fixed.AMENDMENT_PATTERN, "")
+    return F.nullif(F.regexp_extract(stripped, "(?U)" + fixed.SECTION_NUMBER_PATTERN, 1), F.lit(""))
 
 
 def is_amendment(section_ref: Column) -> Column:
-    return F.coalesce(section_ref.rlike(fixed.AMENDMENT_PATTERN), F.lit(False))
+    return F.coalesce(section_ref.rlike("(?U)" + fixed.AMENDMENT_PATTERN), F.lit(False))
 
 
 def keyword_hits(lowered: Column, keywords: Iterable[str]) -> Column:

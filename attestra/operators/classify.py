@@ -130,7 +130,7 @@ def scope_refusal(
     """Why a text is not looked at, or null when it is in scope."""
     body = F.coalesce(text, F.lit(""))
     return (
-        F.when(~body.rlike(r"\S"), "empty_clause_text")
+        F.when(~body.rlike(r"(?U)\S"), "empty_clause_text")
         .when(F.length(body) < min_chars, "clause_too_short")
         .when(F.length(body) > max_chars, "clause_too_long")
     )

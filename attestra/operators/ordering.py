@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SAMPLES_PER_RANGE = 32
+MAX_RANGES = 4096  # the bounds are constants in the plan; more ranges would only lengthen it
 RANGE = "_range"
 
 
@@ -59,7 +60,7 @@ def with_range(
     """
     if name in df.columns:
         return df
-    ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = min(ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_RANGES)
     bounds = range_bounds(df, order, ranges)
     if not bounds:
         return df.withColumn(name, F.lit(0))

@@ -66,8 +66,12 @@ def finding(
     ).cast(schemas.FINDING)
 
 
+def _matches(text: Column, pattern: str) -> Column:
+    return text.rlike(numbers.unicode_classes(pattern))
+
+
 def _any(text: Column, patterns: tuple[str, ...]) -> Column:
-    return reduce(lambda a, b: a | b, [text.rlike(p) for p in patterns])
+    return reduce(lambda a, b: a | b, [_matches(text, p) for p in patterns])
 
 
 def _forbidden(policy: Policy, reference: str) -> bool:
@@ -145,7 +149,7 @@ RULES: dict[str, list[Rule]] = {
         ),
         _prohibition(
             "indemnification.duty_to_defend_permitted",
-            lambda text: text.contains(fixed.INDEMNITY_STEM) & text.rlike(fixed.DEFEND_WORD),
+            lambda text: text.contains(fixed.INDEMNITY_STEM) & _matches(text, fixed.DEFEND_WORD),
         ),
         _prohibition(
             "indemnification.fullest_extent_permitted_by_law_permitted",
@@ -164,7 +168,7 @@ RULES: dict[str, list[Rule]] = {
         ),
         _prohibition(
             "payment_terms.discretionary_withholding_permitted",
-            lambda text: text.rlike(fixed.DISCRETIONARY_WITHHOLDING),
+            lambda text: _matches(text, fixed.DISCRETIONARY_WITHHOLDING),
         ),
         _requirement("payment_terms.late_interest_required", lambda text: ~text.contains(fixed.INTEREST_WORD)),
     ],
@@ -177,8 +181,8 @@ RULES: dict[str, list[Rule]] = {
         _requirement(
             "termination.demobilisation_costs_recoverable",
             lambda text: text.contains(fixed.CONVENIENCE_WORD)
-            & text.rlike(fixed.COSTS_EXCLUDED)
-            & ~text.rlike(fixed.COSTS_RECOVERABLE),
+            & _matches(text, fixed.COSTS_EXCLUDED)
+            & ~_matches(text, fixed.COSTS_RECOVERABLE),
         ),
     ],
     "insurance": [
