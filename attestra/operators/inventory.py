@@ -11,6 +11,7 @@ from attestra import fixed_values as fixed
 from attestra.functions.json_values import type_name
 from attestra.session import broadcast_if_small, cut_lineage
 
+FIRST_DEPTH = 4
 TYPES = ("array", "bool", "float", "int", "object", "str")
 
 
@@ -68,23 +69,33 @@ def inventory(
     registers empty), so the second pass collects values only for the few paths below twice the
     limit and identifiers never reach a shuffle.  Types travel as a bit mask.
     """
-    fields = flatten(records, keys, payload, max_depth)
     kind = type_name(F.col("kind"))
     short = F.when(F.length("text") <= fixed.VALUE_TRACKING_MAX_LENGTH, F.col("text"))
     bit = F.lit(0)
     for i, name in enumerate(TYPES):
         bit = F.when(F.col("_kind") == name, F.lit(1 << i)).otherwise(bit)
-    stats = cut_lineage(
-        fields.select(*keys, "path", kind.alias("_kind"), short.alias("_short"), "truncated")
-        .groupBy(*keys, "path")
-        .agg(
-            F.bit_or(bit).alias("_mask"),
-            F.count(F.lit(1)).alias("present_count"),
-            F.count_if(F.col("_kind") == "null").alias("null_count"),
-            F.approx_count_distinct("_short").alias("_estimate"),
-            F.max("truncated").alias("truncated"),
+
+    def profile(depth: int) -> tuple[DataFrame, DataFrame]:
+        fields = flatten(records, keys, payload, depth)
+        stats = (
+            fields.select(*keys, "path", kind.alias("_kind"), short.alias("_short"), "truncated")
+            .groupBy(*keys, "path")
+            .agg(
+                F.bit_or(bit).alias("_mask"),
+                F.count(F.lit(1)).alias("present_count"),
+                F.count_if(F.col("_kind") == "null").alias("null_count"),
+                F.approx_count_distinct("_short").alias("_estimate"),
+                F.max("truncated").alias("truncated"),
+            )
         )
-    )
+        return fields, cut_lineage(stats)
+
+    # Most records are shallow: walk deeper only when something was left unopened.
+    depth = min(FIRST_DEPTH, max_depth)
+    fields, stats = profile(depth)
+    while depth < max_depth and not stats.where("truncated").isEmpty():
+        depth = min(2 * depth, max_depth)
+        fields, stats = profile(depth)
     on = [*keys, "path"]
     candidates = stats.where(F.col("_estimate").between(1, 2 * fixed.ENUM_CARDINALITY_LIMIT)).select(*on)
     distinct_values = (
