@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from attestra.llm.common import documents, shared_folder
 from attestra.llm.packing import pack
+from attestra.llm.sharding import shard
+from attestra.llm.simhash import near_duplicates
 from attestra.llm.token_files import read_token_files, write_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,9 +35,22 @@ def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query("op3_sampled_splitters")
+def sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard(documents(spark, sf_dir), shards=24).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 @query("op5_power_of_two_packing")
 def power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     sequences = pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
     return sequences.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
+
+
+@query("op9_simhash_components")
+def simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(documents(spark, sf_dir))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
