@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from attestra.llm.common import documents, shared_folder
 from attestra.llm.packing import pack
+from attestra.llm.quality import judge
 from attestra.llm.sharding import shard
 from attestra.llm.simhash import near_duplicates
 from attestra.llm.token_files import read_token_files, write_token_files
@@ -50,6 +51,11 @@ def power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op8_adaptive_quality")
+def adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(documents(spark, sf_dir)).drop("row_key")
+
+
 @query("op9_simhash_components")
 def simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(documents(spark, sf_dir))
