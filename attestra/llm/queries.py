@@ -13,6 +13,7 @@ from attestra.llm.packing import pack
 from attestra.llm.quality import judge
 from attestra.llm.sharding import shard
 from attestra.llm.simhash import near_duplicates
+from attestra.llm.token_counts import count_tokens
 from attestra.llm.token_files import read_token_files, write_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,6 +44,12 @@ def sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op4_token_counts")
+def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = count_tokens(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+    return counts.withColumn("over_limit", F.col("n_tokens") > 512)
+
+
 @query("op5_power_of_two_packing")
 def power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     sequences = pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
