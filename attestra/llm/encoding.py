@@ -1,26 +1,33 @@
-"""Token ids of whole texts, with a bounded cache of the pieces that texts share.
+"""Token ids of whole texts, with a bounded cache of the words that texts share.
 
 A text is cut only where its encoding cannot depend on both sides, so the joined ids are those the
-library gives for the whole text.  Pieces the cache does not hold are encoded by the library.
+library gives for the whole text.  Words the cache does not hold are encoded by the library.  Both kinds
+of tokenizer split a text into words before they encode it:
+
+* byte-level: a word takes one space before it, white space never follows a visible character in a
+  word, and a run of letters ends at a comma, a full stop or a line break;
+* word ends: white space is dropped, letters are lower-cased one by one, and a run of letters ends at
+  a comma or a full stop.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-# Both tokenizers split texts into words first, and no word crosses from a visible character to white
-# space.  Python counts four control characters as white space that the tokenizers do not: texts that
-# hold one are encoded whole.
-PIECE = re.compile(r"\s*\S+|\s+")
+# Python counts four control characters as white space that the tokenizers do not: texts that hold one
+# are encoded whole.
 UNSURE = re.compile("[\x1c-\x1f]")
+PIECE = re.compile(r"\s*\S+|\s+")
+GAPS = re.compile(r"\s\s")
 BOUNDARY = re.compile(r"(?<=\S)(?=\s)")
-BLOCK = 1 << 20  # characters that are cut into pieces at once
-LONGEST = 64  # characters of a piece that is worth keeping
-KEPT = 1 << 19  # pieces in a worker's cache
+BLOCK = 1 << 20  # characters that are cut into words at once
+LONGEST = 64  # characters of a word that is worth keeping
+KEPT = 600_000  # words of one generation of the cache
 
 
 class Encoder:
@@ -31,47 +38,135 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.pieces: dict[str, bytes] = {}
+        # The newer and the older generation: when the newer is full it becomes the older.
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
-    def _by_library(self, texts: list[str]) -> list[bytes]:
+    def by_library(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
-    def _joined(self, text: str) -> bytes:
-        pieces = PIECE.findall(text)
-        known = self.pieces
-        missing = [p for p in set(pieces) if p not in known]
-        if not missing:
-            return b"".join([known[p] for p in pieces])
+    def words(self, text: str) -> list[str]:
+        """Keys of the words of a text whose ids, joined, are the text's."""
+        raise NotImplementedError
+
+    def parts(self, word: str) -> tuple[str, ...]:
+        """Keys of simpler words that the word consists of, or the word alone."""
+        raise NotImplementedError
+
+    def text(self, word: str) -> str:
+        """What the library encodes for a word that has no parts."""
+        raise NotImplementedError
+
+    def _learn(self, words: Iterable[str]) -> dict[str, bytes]:
+        """Make sure that ``known`` has the words; return those that are too long to keep."""
+        if len(self.known) > KEPT:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        single, joined = set(), {}
+        for word in words:
+            if word in known:
+                continue
+            if word in older:
+                known[word] = older[word]
+                continue
+            parts = self.parts(word)
+            if len(parts) == 1 and parts[0] == word:
+                single.add(word)
+                continue
+            joined[word] = parts
+            for part in parts:
+                if part not in known:
+                    if part in older:
+                        known[part] = older[part]
+                    else:
+                        single.add(part)
+        order = list(single)
         once: dict[str, bytes] = {}
-        for piece, ids in zip(missing, self._by_library(missing), strict=True):
-            (known if len(piece) <= LONGEST else once)[piece] = ids
-        out = b"".join([known[p] if p in known else once[p] for p in pieces])
-        if len(known) > KEPT:
-            known.clear()
+        for word, ids in zip(order, self.by_library([self.text(w) for w in order]), strict=True):
+            (known if len(word) <= LONGEST else once)[word] = ids
+        for word, parts in joined.items():
+            ids = b"".join([once[p] if p in once else known[p] for p in parts])
+            (known if len(word) <= LONGEST else once)[word] = ids
+        return once
+
+    def encode_batch(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of whole texts; null is empty."""
+        out: list[bytes | None] = [None] * len(texts)
+        cut: list[tuple[int, list[str]]] = []
+        for k, text in enumerate(texts):
+            if not text:
+                out[k] = b""
+            elif UNSURE.search(text):
+                out[k] = self.by_library([text])[0]
+            elif len(text) > BLOCK:
+                out[k] = b"".join([self._joined(self.words(block)) for block in blocks(text)])
+            else:
+                cut.append((k, self.words(text)))
+        once = self._learn(set().union(*[w for _, w in cut]))
+        known = self.known
+        for k, words in cut:
+            try:
+                out[k] = b"".join([known[w] for w in words])
+            except KeyError:
+                out[k] = b"".join([once[w] if w in once else known[w] for w in words])
         return out
 
-    def encode(self, text: str | None) -> bytes:
-        """Ids of the whole text; null is empty."""
-        if not text:
-            return b""
-        if UNSURE.search(text):
-            return self._by_library([text])[0]
-        return b"".join([self._joined(block) for block in blocks(text)])
-
-    def warm(self, texts: list[str | None]) -> None:
-        """Encode what is new in a batch of texts in one call, which is cheaper than text by text."""
-        new: set[str] = set()
-        for text in texts:
-            if text and len(text) <= BLOCK:
-                new.update(PIECE.findall(text))
-        known = self.pieces
-        missing = [p for p in new if len(p) <= LONGEST and p not in known]
-        if len(known) + len(missing) > KEPT:
-            known.clear()
-            missing = [p for p in new if len(p) <= LONGEST]
-        for piece, ids in zip(missing, self._by_library(missing), strict=True):
-            known[piece] = ids
+    def _joined(self, words: list[str]) -> bytes:
+        once = self._learn(set(words))
+        return b"".join([once[w] if w in once else self.known[w] for w in words])
+
+
+def _marked(word: str) -> bool:
+    """Whether a comma or full stop ends the word after a letter: it is a word of its own."""
+    return len(word) > 1 and word[-1] in ",." and word[-2].lower().isalpha()
+
+
+class ByteLevel(Encoder):
+    """A key is a word without the space before it, a line break and what follows it, or any text after a mark."""
+
+    MARK = "\n "
+
+    def words(self, text: str) -> list[str]:
+        if GAPS.search(text):
+            return [self.MARK + p for p in PIECE.findall(text)]
+        words = text.replace("\n", " \n").split(" ")
+        words[0] = self.MARK + words[0]
+        return words
+
+    def parts(self, word: str) -> tuple[str, ...]:
+        if _marked(word):
+            return (*self.parts(word[:-1]), self.MARK + word[-1])
+        if word[:1] == "\n" and len(word) > 1 and word[1] != " ":
+            return "\n", self.MARK + word[1:]
+        return (word,)
+
+    def text(self, word: str) -> str:
+        if word.startswith(self.MARK):
+            return word[2:]
+        return word if word == "\n" else " " + word
+
+
+class WordEnds(Encoder):
+    """A key is a word between white space."""
+
+    def words(self, text: str) -> list[str]:
+        return text.split()
+
+    def parts(self, word: str) -> tuple[str, ...]:
+        if _marked(word):
+            return (*self.parts(word[:-1]), word[-1])
+        return (word.lower(),) if word.isascii() and word.isalpha() else (word,)
+
+    def text(self, word: str) -> str:
+        return word
+
+
+class Whole(Encoder):
+    """A tokenizer of another kind: the library encodes whole texts."""
+
+    def encode_batch(self, texts: list[str | None]) -> list[bytes]:
+        return self.by_library([t or "" for t in texts])
 
 
 def blocks(text: str) -> Iterator[str]:
@@ -83,11 +178,23 @@ def blocks(text: str) -> Iterator[str]:
     yield text[start:] if start else text
 
 
+def kind(path: str) -> type[Encoder]:
+    with open(path, encoding="utf-8") as file:
+        told = json.load(file)
+    pre, normal = told.get("pre_tokenizer") or {}, told.get("normalizer")
+    if pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and normal is None:
+        return ByteLevel
+    steps = pre.get("pretokenizers", [])
+    if steps and steps[0].get("type") == "Split" and steps[0].get("invert") and steps[0].get("behavior") == "Removed":
+        return WordEnds
+    return Whole
+
+
 _encoders: dict[str, Encoder] = {}
 
 
 def encoder(path: str) -> Encoder:
     """The worker's encoder for a tokenizer file; its cache serves all tasks of the worker."""
     if path not in _encoders:
-        _encoders[path] = Encoder(path)
+        _encoders[path] = kind(path)(path)
     return _encoders[path]

@@ -38,10 +38,9 @@ def _cut(batches: Iterator[pa.RecordBatch], path: str, end_id: int, longest: int
     )
     for batch in batches:
         texts = batch.column("text").to_pylist()
-        encode.warm(texts)
         rows: list[tuple] = []
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts, strict=True):
-            ids = encode.encode(text) + end
+        for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode.encode_batch(texts), strict=True):
+            ids += end
             total, start = len(ids) // 4, 0
             for length in binary_lengths(total, longest):
                 rows.append((doc_id, start, length, total, ids[4 * start : 4 * (start + length)], task, places[length]))

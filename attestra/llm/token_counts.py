@@ -63,12 +63,12 @@ def _encode_short(batches: Iterator[pa.RecordBatch], path: str, chunk: int) -> I
     encode = encoder(path)
     for batch in batches:
         texts = [t or "" for t in batch.column("text").to_pylist()]
-        encode.warm([t for t in texts if len(t) <= chunk])
+        found = encode.encode_batch([t if len(t) <= chunk else None for t in texts])
         rows = []
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts, strict=True):
+        for doc_id, text, ids in zip(batch.column("doc_id").to_pylist(), texts, found, strict=True):
             raw = text.encode()
             if len(text) <= chunk:
-                rows.append((doc_id, len(raw), len(encode.encode(text)) // 4, None, None))
+                rows.append((doc_id, len(raw), len(ids) // 4, None, None))
             else:
                 rows.append((doc_id, len(raw), None, hashlib.sha256(raw).digest(), text))
         if rows:

@@ -48,9 +48,8 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, path: str, end_id: in
         writer = Writer(file)
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            encode.warm(texts)
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts, strict=True):
-                writer.add(doc_id, encode.encode(text) + end)
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode.encode_batch(texts), strict=True):
+                writer.add(doc_id, ids + end)
         writer.close()
     if not writer.counts:
         store.delete_file(attempt)
