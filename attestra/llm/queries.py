@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attestra.llm.common import documents, shared_folder
+from attestra.llm.line_dedup import line_report
 from attestra.llm.packing import pack
 from attestra.llm.quality import judge
 from attestra.llm.sharding import shard
@@ -20,6 +21,36 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+# Lines as sets of words; similar ones share a word of their rarest-first prefix.
+LINES_SQL = r"""
+WITH line AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS k
+  FROM documents
+), bag AS (
+  SELECT doc_id, k, list_distinct(list_filter(string_split_regex(
+    translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '')) AS words
+  FROM line
+), big AS (SELECT doc_id, k, list_sort(words) AS words, len(words) AS n FROM bag WHERE len(words) >= 5),
+word AS (SELECT doc_id, k, n, words, unnest(words) AS w FROM big),
+freq AS (SELECT w, count(*) AS f FROM word GROUP BY w),
+ranked AS (
+  SELECT doc_id, k, n, words, word.w, row_number() OVER (PARTITION BY doc_id, k ORDER BY f, word.w) AS r
+  FROM word JOIN freq ON word.w = freq.w
+), prefix AS (SELECT * FROM ranked WHERE r <= n - ((4 * n + 4) // 5) + 1),
+pair AS (
+  SELECT DISTINCT b.doc_id, b.k, b.words, a.doc_id AS a_id, a.k AS a_k, a.words AS a_words
+  FROM prefix a JOIN prefix b ON a.w = b.w AND 5 * a.n >= 4 * b.n AND 5 * b.n >= 4 * a.n
+    AND (a.doc_id < b.doc_id OR (a.doc_id = b.doc_id AND a.k < b.k))
+), gone AS (
+  SELECT DISTINCT doc_id, k FROM pair
+  WHERE 9 * len(list_intersect(words, a_words)) >= 4 * (len(words) + len(a_words))
+), lost AS (SELECT doc_id, count(*) AS n_removed, string_agg(CAST(k AS VARCHAR), ',' ORDER BY k) AS removed FROM gone GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(string_split(text, chr(10))) AS BIGINT) AS n_lines,
+  CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(removed, '') AS removed
+FROM documents d LEFT JOIN lost ON d.doc_id = lost.doc_id
+"""
+
+
 def query(name: str, sql: str | None = None):
     def register(fn):
         QUERIES[name] = fn
@@ -67,3 +98,8 @@ def adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(documents(spark, sf_dir))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query("op10_line_similarity", sql=LINES_SQL)
+def line_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_report(documents(spark, sf_dir)).withColumn("removed", F.array_join("removed", ","))
