@@ -62,10 +62,15 @@ def text_key(text: Column) -> Column:
     return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
 
 
-def small_side(df: DataFrame, row_bytes: int, limit_bytes: int = 8 << 20) -> DataFrame:
-    """A written table of fixed-width rows as a join side: broadcast only if it was counted and fits.
+def small_side(df: DataFrame, row_bytes: int | Column, limit_bytes: int = 8 << 20) -> DataFrame:
+    """A written table as a join side: broadcast only if its bytes were counted and fit.
 
-    Beyond ``limit_bytes`` the join shuffles (and splits hot keys, see ``attestra.session.RUNTIME``).
+    ``row_bytes`` is the width of a row, or a column that gives it where rows differ.  Beyond
+    ``limit_bytes`` the join shuffles (and splits hot keys, see ``attestra.session.RUNTIME``).
     """
-    most = limit_bytes // row_bytes
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+    if isinstance(row_bytes, int):
+        most = limit_bytes // row_bytes
+        fits = df.limit(most + 1).count() <= most
+    else:
+        fits = (df.agg(F.sum(row_bytes)).first()[0] or 0) <= limit_bytes
+    return F.broadcast(df) if fits else df

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attestra.llm.common import documents, shared_folder
+from attestra.llm.decontamination import overlaps
 from attestra.llm.line_dedup import line_report
 from attestra.llm.packing import pack
 from attestra.llm.quality import judge
@@ -103,3 +104,9 @@ def simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_line_similarity", sql=LINES_SQL)
 def line_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(documents(spark, sf_dir)).withColumn("removed", F.array_join("removed", ","))
+
+
+@query("op6_spaced_seeds")
+def spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return overlaps(documents(spark, sf_dir), benchmark).drop("row_key")
