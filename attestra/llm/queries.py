@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from attestra.llm.common import documents, shared_folder
 from attestra.llm.decontamination import overlaps
+from attestra.llm.licenses import SEPARATOR, TEMPLATES, scan
 from attestra.llm.line_dedup import line_report
 from attestra.llm.packing import pack
 from attestra.llm.quality import judge
@@ -52,6 +53,32 @@ FROM documents d LEFT JOIN lost ON d.doc_id = lost.doc_id
 """
 
 
+# Containment of the templates' shingles (five words, or all of a shorter template) in whole texts.
+LICENSES_SQL = """
+WITH given(template, license, text) AS (VALUES __TEMPLATES__),
+t AS (
+  SELECT template, license, list_filter(string_split_regex(lower(text), '__SEPARATOR__'), lambda w: w <> '') AS words FROM given
+), sized AS (SELECT *, least(5, len(words)) AS size FROM t),
+wanted AS (
+  SELECT DISTINCT template, license, size, unnest(list_transform(range(1, CAST(len(words) - size + 2 AS BIGINT)),
+    lambda k: array_to_string(words[k : k + size - 1], ' '))) AS shingle FROM sized
+), total AS (SELECT template, license, size, count(*) AS n_shingles FROM wanted GROUP BY ALL),
+d AS (SELECT doc_id, string_split_regex(lower(text), '__SEPARATOR__') AS words FROM documents),
+sizes AS (SELECT DISTINCT size FROM sized),
+held AS (
+  SELECT DISTINCT doc_id, size, unnest(list_transform(range(1, greatest(1, CAST(len(words) - size + 2 AS BIGINT))),
+    lambda k: array_to_string(words[k : k + size - 1], ' '))) AS shingle FROM d, sizes
+), found AS (
+  SELECT doc_id, template, count(*) AS n FROM held JOIN wanted ON held.size = wanted.size AND held.shingle = wanted.shingle GROUP BY ALL
+)
+SELECT doc_id, CAST(total.template AS INTEGER) AS template, license, CAST(n_shingles AS INTEGER) AS n_shingles,
+  CAST(n AS INTEGER) AS n_found
+FROM found JOIN total ON found.template = total.template WHERE n >= 0.8 * n_shingles
+""".replace("__SEPARATOR__", SEPARATOR).replace(
+    "__TEMPLATES__", ", ".join("({}, '{}', '{}')".format(k, n, t.replace("'", "''")) for k, (n, t) in enumerate(TEMPLATES))
+)
+
+
 def query(name: str, sql: str | None = None):
     def register(fn):
         QUERIES[name] = fn
@@ -110,3 +137,8 @@ def line_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return overlaps(documents(spark, sf_dir), benchmark).drop("row_key")
+
+
+@query("op7_license_bands", sql=LICENSES_SQL)
+def license_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(documents(spark, sf_dir)).select("doc_id", "template", "license", "n_shingles", "n_found")
