@@ -13,6 +13,7 @@ from attestra.llm.decontamination import overlaps
 from attestra.llm.licenses import SEPARATOR, TEMPLATES, scan
 from attestra.llm.line_dedup import line_report
 from attestra.llm.packing import pack
+from attestra.llm.pii import PATTERNS, find, told
 from attestra.llm.quality import judge
 from attestra.llm.sharding import shard
 from attestra.llm.simhash import near_duplicates
@@ -89,6 +90,15 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_disclosure")
+def disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find(documents(spark, sf_dir))
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in PATTERNS]
+    spans = told(F.concat("base", "added")).alias("spans")
+    return found.select("doc_id", *counts, F.sha2(told(F.col("base")), 256).alias("base_sha256"), spans)
+
+
 @query("op2_token_files")
 def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
