@@ -396,6 +396,7 @@ def without_similar_lines(docs: DataFrame, how: Similarity = DEFAULT) -> DataFra
     A document that loses all its lines has an empty text.
     """
     removed = written(similar_lines(docs, how), "removed")
+    removed = small_side(removed, row_bytes=40 + 4 * F.size("removed"))
     removed = removed.select(F.col("doc_id").alias("_r_id"), F.col("row_key").alias("_r_key"), F.col("removed").alias("_r_lines"))
     key = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
     joined = docs.join(removed, docs["doc_id"].eqNullSafe(F.col("_r_id")) & (key == F.col("_r_key")), "left")

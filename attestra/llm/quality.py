@@ -12,6 +12,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -79,6 +80,10 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _measured(texts: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([measures(t) for t in texts], columns=list(COUNTS), dtype="int64")
+
+
 @dataclass(frozen=True)
 class Rules:
     """A measure fails beyond its quartile by ``reach`` times the spread between the quartiles.
@@ -131,41 +136,82 @@ def _fences(ratios: DataFrame, keys: list[str], rules: Rules) -> DataFrame:
     return grouped.where(F.col("n") >= rules.least_documents).select(*keys, fences.alias("fence"))
 
 
+def _judged(rows: DataFrame, fences: "Fences") -> DataFrame:
+    """``rows`` (``lang``, ``source`` and the counts) with the column ``kept``."""
+    own = fences.own.select(F.col("lang").alias("_l1"), F.col("source").alias("_s1"), F.col("fence").alias("_f1"))
+    tongue = fences.tongue.select(F.col("lang").alias("_l2"), F.col("fence").alias("_f2"))
+    joined = rows.join(own, F.col("lang").eqNullSafe(F.col("_l1")) & F.col("source").eqNullSafe(F.col("_s1")), "left")
+    joined = joined.join(tongue, F.col("lang").eqNullSafe(F.col("_l2")), "left")
+    found = [F.col("_f1"), F.col("_f2")]
+    if fences.every is not None:
+        found.append(F.struct(*[F.lit(v).alias(k) for k, v in fences.every.items()]))
+    joined = joined.withColumn("_fence", F.coalesce(*found))
+    inside = F.lit(True)
+    for m, ratio in _ratios().items():
+        inside = inside & ratio.between(F.col(f"_fence.lo_{m}"), F.col(f"_fence.hi_{m}"))
+    kept = ~F.col("base_failed") & F.coalesce(inside, F.lit(True))
+    return joined.withColumn("kept", kept).drop("_l1", "_s1", "_f1", "_l2", "_f2", "_fence")
+
+
+@dataclass(frozen=True)
+class Fences:
+    """Fences by language and source, by language, and of all documents (None: too few of them)."""
+
+    own: DataFrame
+    tongue: DataFrame
+    every: dict[str, float] | None
+
+
+def fences_of(counted: DataFrame, rules: Rules = DEFAULT) -> Fences:
+    """Fences from the counts of all documents (``lang``, ``source`` and the counts)."""
+    ratios = counted.select("lang", "source", "base_failed", *[c.alias(n) for n, c in _ratios().items()])
+    own = written(_fences(ratios, ["lang", "source"], rules), "fences")
+    tongue = written(_fences(ratios, ["lang"], rules), "fences")
+    whole = _fences(ratios, [], rules).first()  # one row at most
+    wide = 256 + F.coalesce(F.octet_length("lang"), F.lit(0))
+    return Fences(
+        small_side(own, wide + F.coalesce(F.octet_length("source"), F.lit(0))),
+        small_side(tongue, wide),
+        None if whole is None else whole.fence.asDict(),
+    )
+
+
+def _counted(docs: DataFrame) -> DataFrame:
+    """``doc_id, lang, source``, the counts and ``base_failed`` of every row, written."""
+    rows = own_columns(docs, "doc_id", "lang", "source", "text")
+    schema = "doc_id long, lang string, source string, " + ", ".join(f"{c} long" for c in COUNTS)
+    return written(rows.mapInArrow(_measure, schema).withColumn("base_failed", _base_failed()), "measures")
+
+
+def _base_failed() -> Column:
+    return (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
+
+
 def judge(docs: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
-    """``doc_id, lang, source, row_key``, the counts, ``base_failed`` and ``kept`` of every row of ``docs``.
+    """``doc_id, lang, source``, the counts, ``base_failed`` and ``kept`` of every row of ``docs``.
 
     Base rules: fewer than 20 words, or more than 30 in 100 words in repeated windows.  A text that
     passes them is kept unless one of its ratios lies outside the fence of its language and source.
     Null and empty texts have no words and fail.  Null languages and sources are groups of their own.
     Groups under ``least_documents`` use the fences of their language, then of all documents; with none
     of these, only the base rules hold.  Repeated rows count each; an empty table gives no rows.
-    ``row_key`` is a hash of the text.
 
     Sketches are merged from partial ones, so a source with most of the rows costs no task more.
     """
     prepared(docs.sparkSession)
-    rows = own_columns(docs, "doc_id", "lang", "source", "text").withColumn(
-        "row_key", F.xxhash64(F.coalesce("text", F.lit("")))
-    )
-    schema = "doc_id long, lang string, source string, row_key long, " + ", ".join(f"{c} long" for c in COUNTS)
-    counted = rows.select("doc_id", "lang", "source", "row_key", "text").mapInArrow(_measure, schema)
-    base = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    counted = written(counted.withColumn("base_failed", base), "measures")
-    ratios = counted.select("*", *[c.alias(n) for n, c in _ratios().items()])
-
-    own = small_side(written(_fences(ratios, ["lang", "source"], rules), "fences"), row_bytes=256)
-    tongue = small_side(written(_fences(ratios, ["lang"], rules), "fences"), row_bytes=128)
-    whole = _fences(ratios, [], rules)  # one row at most
-    own = own.select(F.col("lang").alias("l1"), F.col("source").alias("s1"), F.col("fence").alias("f1"))
-    tongue = tongue.select(F.col("lang").alias("l2"), F.col("fence").alias("f2"))
-    fallback = whole.select(F.col("fence").alias("f3")).first()
-    every = F.lit(None) if fallback is None else F.struct(*[F.lit(v).alias(k) for k, v in fallback.f3.asDict().items()])
-
-    joined = ratios.join(own, F.col("lang").eqNullSafe(F.col("l1")) & F.col("source").eqNullSafe(F.col("s1")), "left")
-    joined = joined.join(tongue, F.col("lang").eqNullSafe(F.col("l2")), "left")
-    joined = joined.withColumn("fence", F.coalesce("f1", "f2", every) if fallback is not None else F.coalesce("f1", "f2"))
-    inside = F.lit(True)
-    for m in _ratios():
-        inside = inside & F.col(m).between(F.col(f"fence.lo_{m}"), F.col(f"fence.hi_{m}"))
-    kept = ~F.col("base_failed") & F.coalesce(inside, F.lit(True))
-    return joined.select("doc_id", "lang", "source", "row_key", *COUNTS, "base_failed", kept.alias("kept"))
+    counted = _counted(docs)
+    return _judged(counted, fences_of(counted, rules)).select("doc_id", "lang", "source", *COUNTS, "base_failed", "kept")
+
+
+def keep_good(docs: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
+    """The rows of ``docs`` that ``judge`` keeps, with their own columns.
+
+    The measures are taken a second time beside the texts, which are then never shuffled.
+    """
+    prepared(docs.sparkSession)
+    fences = fences_of(_counted(docs), rules)
+    measured = F.pandas_udf(_measured, ", ".join(f"{c} long" for c in COUNTS))
+    row = F.struct(*[docs[f"`{c}`"].alias(c) for c in docs.columns]).alias("_row")
+    rows = docs.select(row, docs["lang"].alias("lang"), docs["source"].alias("source"), measured(docs["text"]).alias("_m"))
+    rows = rows.select("_row", "lang", "source", "_m.*").withColumn("base_failed", _base_failed())
+    return _judged(rows, fences).where("kept").select("_row.*")

@@ -129,7 +129,7 @@ def power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op8_adaptive_quality")
 def adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge(documents(spark, sf_dir)).drop("row_key")
+    return judge(documents(spark, sf_dir))
 
 
 @query("op9_simhash_components")

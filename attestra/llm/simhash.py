@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from attestra.llm.common import own_columns, prepared, written
+from attestra.llm.common import own_columns, prepared, small_side, written
 from attestra.llm.components import components
 
 SEED = 42
@@ -162,3 +162,31 @@ def near_duplicates(docs: DataFrame, radius: int = 2, shingle: int = 3, seed: in
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = rooted.join(least, "root").select("fp", "root", "component_id")
     return made.join(classes, "fp").select("doc_id", "row_key", "fp", "root", "component_id")
+
+
+def one_of_each(docs: DataFrame, radius: int = 2, shingle: int = 3, seed: int = SEED) -> DataFrame:
+    """``docs`` with its own columns and one row of each component: the one with the smallest ``doc_id``.
+
+    Ties are broken by a hash of the text; of rows that agree in both, any one stays.  A null ``doc_id``
+    stays only where a component has no other.
+    """
+    found = written(near_duplicates(docs, radius, shingle, seed), "classes")
+    place = F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "row_key")
+    first = found.groupBy("root").agg(F.min(place).alias("first"))
+    one = first.select(F.col("first.doc_id").alias("_id"), F.col("first.row_key").alias("_key"))
+    rows = found.groupBy("doc_id", "row_key").agg(F.count("*").alias("n"))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("row_key") == F.col("_key"))
+    judged = written(rows.join(one, same, "left").select("doc_id", "row_key", "n", F.col("_key").isNotNull().alias("stays")), "judged")
+
+    def listed(which: DataFrame) -> DataFrame:
+        chosen = written(which.select(F.col("doc_id").alias("_id"), F.col("row_key").alias("_key")), "listed")
+        return small_side(chosen, row_bytes=32)
+
+    key = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
+    here = docs["doc_id"].eqNullSafe(F.col("_id")) & (key == F.col("_key"))
+    repeated = judged.where("stays and n > 1")
+    if repeated.isEmpty():
+        return docs.join(listed(judged.where("not stays")), here, "left_anti")
+    single = docs.join(listed(judged.where("not stays or n > 1")), here, "left_anti")
+    many = docs.join(listed(repeated), here, "left_semi").withColumn("_key", key)
+    return single.union(many.dropDuplicates(["doc_id", "_key"]).drop("_key"))
