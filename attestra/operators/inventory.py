@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from attestra import fixed_values as fixed
 from attestra.functions.json_values import type_name
-from attestra.session import broadcast_if_small, cut_lineage
+from attestra.session import broadcast_if_small, cut_lineage, text_bytes
 
-FIRST_DEPTH = 4
+LEVELS = 4  # levels that one scan opens
 TYPES = ("array", "bool", "float", "int", "object", "str")
 
 
@@ -37,71 +38,80 @@ LEVEL = """
   FROM {after}_typed LATERAL VIEW explode(CASE WHEN both THEN array(true, false) ELSE array(false) END) AS own)"""
 
 
-def flatten(records: DataFrame, keys: Sequence[str] = (), payload: str = "payload", max_depth: int = 8) -> DataFrame:
-    """One row per field occurrence: ``(keys..., path, kind, text, truncated)``.
+def _walk(level: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``LEVELS`` levels below the containers of ``level`` (``keys..., path, node``), in one scan.
 
-    One scan: every depth level is a generator over the same row stream, inside one code-generated
-    stage.  Array items share ``path[]``; container items are opened but not listed themselves.
-    Containers below ``max_depth`` are reported with ``truncated = true`` instead of being skipped.
+    Rows ``(keys..., path, kind, text, node)``: a field occurrence, or (``node`` is not null) a container
+    that is still to be opened.  Every level is a generator over the same row stream, inside one
+    code-generated stage.  Array items share ``path[]``; container items are opened, not listed.
     """
     own = "".join(f"`{k}`, " for k in keys)
-    levels = ",".join(
-        LEVEL.format(before=f"level_{i}", after=f"level_{i + 1}", keys=own) for i in range(max_depth)
-    )
-    nothing = "CAST(NULL AS STRING)"
+    levels = ",".join(LEVEL.format(before=f"level_{i}", after=f"level_{i + 1}", keys=own) for i in range(LEVELS))
     # A payload that is no container leaves one row without a path.
-    return records.sparkSession.sql(
+    return level.sparkSession.sql(
         f"""WITH level_0 AS (
-  SELECT {own} {nothing} AS path, {nothing} AS kind, {nothing} AS text, try_parse_json(`{payload}`) AS node
-  FROM {{records}}),{levels}
-SELECT {own} path, kind, text, node IS NOT NULL AS truncated FROM level_{max_depth} WHERE path IS NOT NULL""",
-        records=records,
+  SELECT {own} path, CAST(NULL AS STRING) AS kind, CAST(NULL AS STRING) AS text, node FROM {{level}}),{levels}
+SELECT {own} path, kind, text, node FROM level_{LEVELS} WHERE path IS NOT NULL""",
+        level=level,
     )
 
 
-def inventory(
-    records: DataFrame, keys: Sequence[str] = (), payload: str = "payload", max_depth: int = 8
-) -> DataFrame:
+def inventory(records: DataFrame, keys: Sequence[str] = (), payload: str = "payload") -> DataFrame:
     """Per path: types, present and null counts, and the values of low-cardinality strings.
 
-    Two passes.  The first also estimates distinct short strings per path; a path with at most
-    the limit can never be estimated much above it (so few values leave most of the sketch's
-    registers empty), so the second pass collects values only for the few paths below twice the
-    limit and identifiers never reach a shuffle.  Types travel as a bit mask.
+    Fields of every depth are found: containers below the first levels are written and opened in a
+    further round, until none is left; records without such containers cost no round.  The first pass of
+    a round also marks, for each path, the slots (of 64) that its short strings hash to.  A path has at
+    least as many distinct values as slots, so one with more slots than the limit is out for certain, and
+    the second pass collects values only for the paths that are left: identifiers never reach a shuffle.
+    Types travel as a bit mask.
     """
     kind = type_name(F.col("kind"))
     short = F.when(F.length("text") <= fixed.VALUE_TRACKING_MAX_LENGTH, F.col("text"))
     bit = F.lit(0)
     for i, name in enumerate(TYPES):
         bit = F.when(F.col("_kind") == name, F.lit(1 << i)).otherwise(bit)
+    slot = F.expr("IF(_short IS NULL, NULL, shiftleft(1L, CAST(pmod(xxhash64(_short), 64) AS INT)))")
+    on = [*keys, "path"]
 
-    def profile(depth: int) -> tuple[DataFrame, DataFrame]:
-        fields = flatten(records, keys, payload, depth)
-        stats = (
-            fields.select(*keys, "path", kind.alias("_kind"), short.alias("_short"), "truncated")
-            .groupBy(*keys, "path")
+    level = records.select(
+        *keys, F.lit(None).cast("string").alias("path"), F.try_parse_json(F.col(payload)).alias("node")
+    )
+    rounds, fields = [], []
+    while True:
+        walked = _walk(level, keys)
+        listed = F.col("node").isNull()
+        found = cut_lineage(
+            walked.select(*on, kind.alias("_kind"), short.alias("_short"), listed.alias("_listed"))
+            .groupBy(*on)
             .agg(
-                F.bit_or(bit).alias("_mask"),
-                F.count(F.lit(1)).alias("present_count"),
-                F.count_if(F.col("_kind") == "null").alias("null_count"),
-                F.approx_count_distinct("_short").alias("_estimate"),
-                F.max("truncated").alias("truncated"),
+                F.bit_or(F.when(F.col("_listed"), bit)).alias("_mask"),
+                F.count_if("_listed").alias("present_count"),
+                F.count_if(F.col("_listed") & (F.col("_kind") == "null")).alias("null_count"),
+                F.bit_or(F.when(F.col("_listed"), slot)).alias("_slots"),
+                F.max(~F.col("_listed")).alias("_closed"),
             )
         )
-        return fields, cut_lineage(stats)
-
-    # Most records are shallow: walk deeper only when something was left unopened.
-    depth = min(FIRST_DEPTH, max_depth)
-    fields, stats = profile(depth)
-    while depth < max_depth and not stats.where("truncated").isEmpty():
-        depth = min(2 * depth, max_depth)
-        fields, stats = profile(depth)
-    on = [*keys, "path"]
-    candidates = stats.where(F.col("_estimate").between(1, 2 * fixed.ENUM_CARDINALITY_LIMIT)).select(*on)
+        rounds.append(found.where("present_count > 0"))
+        fields.append(walked.where(listed).select(*on, short.alias("value")))
+        if found.where("_closed").isEmpty():
+            break
+        level = cut_lineage(walked.where(~listed).select(*on, "node"))
+    stats = rounds[0]
+    if len(rounds) > 1:
+        stats = reduce(DataFrame.unionByName, rounds).groupBy(*on).agg(
+            F.bit_or("_mask").alias("_mask"),
+            F.sum("present_count").alias("present_count"),
+            F.sum("null_count").alias("null_count"),
+            F.bit_or("_slots").alias("_slots"),
+        )
+        stats = cut_lineage(stats)
+    few = F.bit_count("_slots").between(1, fixed.ENUM_CARDINALITY_LIMIT)
+    candidates = stats.where(few).select(*on)
     distinct_values = (
-        fields.select(*on, short.alias("value"))
+        reduce(DataFrame.unionByName, fields)
         .where(F.col("value").isNotNull())
-        .join(broadcast_if_small(candidates), on, "left_semi")
+        .join(broadcast_if_small(candidates, text_bytes(*on)), on, "left_semi")
         .distinct()
     )
     # At most a few dozen distinct values are left per path.
@@ -114,7 +124,7 @@ def inventory(
         F.array(*[F.when(F.col("_mask").bitwiseAND(1 << i) != 0, F.lit(n)) for i, n in enumerate(TYPES)])
     )
     found = stats.join(values, on, "left").select(
-        *keys, "path", types.alias("types"), "present_count", "null_count", "values", "truncated"
+        *keys, "path", types.alias("types"), "present_count", "null_count", "values"
     )
     # Schema-sized from here on; whoever reads it twice does not scan the records again.
     return cut_lineage(found)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from attestra import fixed_values as fixed
 from attestra.functions.json_values import record_hash
-from attestra.session import broadcast_if_small, cut_lineage
+from attestra.session import broadcast_if_small, cut_lineage, text_bytes
 
 
 def envelope(records: DataFrame, ingested_at: Column, attempt: int = 1) -> DataFrame:
@@ -79,7 +79,8 @@ def keep_first(rows: DataFrame, key: str, order: tuple[str, ...]) -> DataFrame:
     replayed millions of times sends one row per task.
     """
     counted = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_copies"))
-    repeated = broadcast_if_small(cut_lineage(counted.where(F.col("_copies") > 1).select(key)))
+    repeated = cut_lineage(counted.where(F.col("_copies") > 1).select(key))
+    repeated = broadcast_if_small(repeated, text_bytes(key))
     ranked = F.row_number().over(Window.partitionBy(key).orderBy(*order))
     first = rows.join(repeated, key, "left_semi").withColumn("_n", ranked).where(F.col("_n") <= 1)
     return rows.join(repeated, key, "left_anti").unionByName(first.drop("_n").select(*rows.columns))

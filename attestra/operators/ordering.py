@@ -1,9 +1,9 @@
 """Running totals and numbering over a whole table without a one-task window.
 
-A window with no partition key sends every row to one task.  Here rows are first cut into
-order ranges; each range keeps a small summary, the summaries are accumulated (one row per
-range), and the window runs inside the ranges.  The range bounds come from a hash sample
-and enter the plan as constants, so every branch and every retried task sees the same cut.
+A window with no partition key sends every row to one task.  Here rows are first partitioned by
+order ranges and written with the number of their range; each range keeps a small summary, the
+summaries are accumulated (one row per range), and the window runs inside the ranges.  Every
+branch and every retried task reads the written ranges, so all see the same cut.
 """
 
 from __future__ import annotations
@@ -12,80 +12,23 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-SAMPLES_PER_RANGE = 32
-MAX_RANGES = 4096  # the bounds are constants in the plan; more ranges would only lengthen it
-RANGE = "_range"
-
-
-def _sortable(df: DataFrame, order: Sequence[str]) -> list[Column]:
-    """Order columns; timestamps as microseconds so that sampled values round-trip."""
-    types = {f.name: f.dataType for f in df.schema.fields}
-    return [
-        F.unix_micros(F.col(c).cast("timestamp")).alias(c)
-        if isinstance(types[c], (T.TimestampType, T.TimestampNTZType))
-        else F.col(c).alias(c)
-        for c in order
-    ]
+from attestra.session import cut_lineage
 
-
-def range_bounds(df: DataFrame, order: Sequence[str], ranges: int) -> list[tuple]:
-    """At most ``ranges - 1`` bounds.
-
-    The rows with the smallest hashes of the order key are a uniform sample; taking the top k
-    keeps k rows per task, and k does not depend on the size of the table.
-    """
-    if ranges <= 1:
-        return []
-    wanted = ranges * SAMPLES_PER_RANGE
-    keys = df.select(*_sortable(df, order))
-    sample = sorted(
-        {
-            tuple(row)
-            for row in keys.orderBy(F.xxhash64(*order), *order).limit(wanted).collect()
-        },
-        key=lambda row: tuple((v is not None, v) for v in row),
-    )
-    step = max(1, len(sample) // ranges)
-    return sample[step::step][: ranges - 1]
+RANGE = "_range"
 
 
 def with_range(
     df: DataFrame, order: Sequence[str], ranges: int | None = None, name: str = RANGE
 ) -> DataFrame:
-    """Add the range number: how many bounds lie before the row (binary search).
+    """The rows partitioned by ranges of ``order``, with the number of their range.
 
     A table that carries range numbers already keeps them.
     """
     if name in df.columns:
         return df
-    ranges = min(ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_RANGES)
-    bounds = range_bounds(df, order, ranges)
-    if not bounds:
-        return df.withColumn(name, F.lit(0))
-    keys = _sortable(df, order)
-    types = df.select(*keys).schema.fields
-    limits = F.array(
-        *[
-            F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(bound, types)])
-            for bound in bounds
-        ]
-    )
-    key = F.struct(*keys)
-    steps, size = [], 1
-    while size <= len(bounds):
-        steps.insert(0, size)
-        size *= 2
-    position = F.aggregate(
-        F.array(*[F.lit(s) for s in steps]),
-        F.lit(0),
-        lambda at, jump: F.when(
-            (at + jump <= len(bounds)) & (F.get(limits, at + jump - 1) < key), at + jump
-        ).otherwise(at),
-    )
-    # Never null, so a join on the range does not test (and evaluate) it a second time.
-    return df.withColumn(name, F.coalesce(position, F.lit(0)))
+    dealt = df.repartitionByRange(ranges, *order) if ranges else df.repartitionByRange(*order)
+    return cut_lineage(dealt.withColumn(name, F.spark_partition_id()))
 
 
 def _by(group: Sequence[str]) -> list[Column]:

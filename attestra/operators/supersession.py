@@ -4,55 +4,33 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from attestra.functions.text import is_amendment, section_key
 
-HOT_GROUPS = 1000
-HOT_MIN_ROWS = 1_000_000
-
 
 def supersessions(
-    rows: DataFrame,
-    group: Sequence[str],
-    order: Sequence[Column],
-    carried: Sequence[str],
-    hot_min_rows: int = HOT_MIN_ROWS,
+    rows: DataFrame, group: Sequence[str], order: Sequence[Column], carried: Sequence[str]
 ) -> DataFrame:
     """Every row next to the newest row of its group (never row with row).
 
     Adds ``_newest`` (struct of ``carried``), ``_members`` and ``_is_newest``.  ``order`` must be total
-    within a group.  Ordinary groups are handled by a window, in one shuffle.  Groups above
-    ``hot_min_rows`` would be one huge sort each: the largest ones (at most ``HOT_GROUPS``, so their
-    summary is safe to broadcast) are aggregated map-side and joined back without moving their
-    rows.  A group beyond both bounds is a small part of the table and goes by the window.
+    within a group.  Groups are aggregated before the shuffle, whatever their size, and their one row is
+    joined back; the adaptive skew join splits the rows of a large one.
     """
-    keys = list(group)
     ordered = rows.withColumn("_order", F.struct(*order))
     newest = F.struct("_order", *carried)
-    hot = (
-        rows.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") >= hot_min_rows)
-        .orderBy(F.desc("_n"), *keys)
-        .limit(HOT_GROUPS)
-        .select(*keys)
-    )
-    whole = Window.partitionBy(*keys)
-    ordinary = (
-        ordered.join(F.broadcast(hot), keys, "left_anti")
-        .withColumn("_newest", F.first(newest).over(whole.orderBy(F.desc("_order"))))
-        .withColumn("_members", F.count(F.lit(1)).over(whole))
-    )
-    large = ordered.join(F.broadcast(hot), keys, "left_semi")
-    summary = large.groupBy(*keys).agg(
+    summary = ordered.groupBy(*[F.col(k).alias(f"_of_{k}") for k in group]).agg(
         F.max_by(newest, "_order").alias("_newest"), F.count(F.lit(1)).alias("_members")
     )
+    same = F.lit(True)
+    for k in group:
+        same = same & ordered[k].eqNullSafe(summary[f"_of_{k}"])
     return (
-        ordinary.unionByName(large.join(F.broadcast(summary), keys))
+        ordered.join(summary, same)
         .withColumn("_is_newest", F.col("_order") == F.col("_newest._order"))
-        .drop("_order")
+        .drop("_order", *[f"_of_{k}" for k in group])
     )
 
 

@@ -9,7 +9,7 @@ from attestra import schemas
 from attestra.operators import drift, landing, registry
 from attestra.operators.inventory import fingerprint, inventory
 from attestra.plans.lake import Lake
-from attestra.session import broadcast_if_small, cut_lineage
+from attestra.session import broadcast_if_small, cut_lineage, text_bytes
 from attestra.sources import sinks
 from attestra.sources.documents import explode_records, file_documents, parse_documents, snapshot_sources
 
@@ -42,9 +42,9 @@ def land_files(spark: SparkSession, lake: Lake, files: DataFrame, ingested_at: s
     records = explode_records(documents, "run_id", "source_file", "source_sha256", "source_api_version")
 
     shapes = inventory(records, ["run_id"])
-    # One row per run landed now: counted before it is broadcast, so that records are not shuffled.
+    # One row per run landed now: its bytes are added up before it is broadcast, so that records are not shuffled.
     prints = cut_lineage(fingerprint(shapes, ["run_id"]).select("run_id", "schema_fingerprint"))
-    stamped = records.join(broadcast_if_small(prints), "run_id", "left")
+    stamped = records.join(broadcast_if_small(prints, text_bytes("run_id", "schema_fingerprint")), "run_id", "left")
     bronze = landing.envelope(stamped, F.lit(ingested_at), attempt)
     if restart:
         # A new attempt is added next to the old ones.

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Runtime settings every job here relies on.  Timestamps are rendered as UTC text, hot join keys
 # are split by the adaptive skew join, and generated methods stay small enough to be compiled by
@@ -61,11 +62,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """Hint a broadcast only after counting: beyond ``max_rows`` the join shuffles instead.
+def broadcast_if_small(df: DataFrame, row_bytes: Column, max_bytes: int = 8 << 20) -> DataFrame:
+    """Hint a broadcast only after adding up the bytes of the rows: beyond ``max_bytes`` the join shuffles.
 
-    Give it a materialised (checkpointed or written) table, so the count is cheap.
+    Give it a materialised (checkpointed or written) table, so the sum is cheap.
     """
-    from pyspark.sql import functions as F
+    total = df.agg(F.sum(row_bytes)).first()[0] or 0
+    return F.broadcast(df) if total <= max_bytes else df
 
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+def text_bytes(*columns: str) -> Column:
+    """Bytes of a row of short texts: what they hold and a fixed part."""
+    size = F.lit(32).cast("bigint")
+    for c in columns:
+        size = size + F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0))
+    return size

@@ -222,3 +222,29 @@ UNION ALL SELECT DISTINCT '2.3', '2.1', 'diff' FROM v2""",
 def _(t):
     batches, empty, _both = events(t)
     return registry.baseline(batches, empty).select("api_version", "previous_version", "baseline_kind")
+
+
+LEVELS_DEEP = 12
+DEEP_PATHS = [".".join(f"k{d}" for d in range(n + 1)) for n in range(LEVELS_DEEP)]
+
+
+@query(
+    "deep_inventory",
+    "\nUNION ALL ".join(
+        f"SELECT '{p}' AS path, '{'object' if n < LEVELS_DEEP - 1 else 'int,str'}' AS types, count(*) AS present_count, "
+        + ("CAST(NULL AS VARCHAR)" if n < LEVELS_DEEP - 1 else "string_agg(DISTINCT CASE WHEN o_orderkey % 2 = 1 THEN o_orderstatus END, ',' ORDER BY CASE WHEN o_orderkey % 2 = 1 THEN o_orderstatus END)")
+        + ' AS "values" FROM orders'
+        for n, p in enumerate(DEEP_PATHS)
+    ),
+)
+def _(t):
+    """Payloads that differ at the twelfth level only: a number in one half, a label in the other."""
+    leaf = F.when(F.col("o_orderkey") % 2 == 1, F.concat(F.lit('"'), "o_orderstatus", F.lit('"'))).otherwise(
+        F.col("o_custkey").cast("string")
+    )
+    opened = "".join(f'{{"k{d}":' for d in range(LEVELS_DEEP))
+    payload = F.concat(F.lit(opened), leaf, F.lit("}" * LEVELS_DEEP))
+    found = inventory.inventory(t.spread("orders").select(payload.alias("payload")))
+    return found.select(
+        "path", F.array_join("types", ",").alias("types"), "present_count", F.array_join("values", ",").alias("values")
+    )
