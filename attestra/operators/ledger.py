@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from attestra import schemas
 from attestra.functions.cost import no_usage
 
-IDENTITY = ("clause_id", "action", "reviewer", "firm_standards_version")
+# What makes a human decision another one, next to the record, the action and the policy version.
+DECISION = ("reviewer", "field", "date", "source", "human_value")
 
 
 def _column(value: Column | None, kind: str) -> Column:
@@ -67,31 +68,22 @@ def ledger_rows(
     )
 
 
-def _identity(ledger: DataFrame) -> DataFrame:
-    reviewer = F.get_json_object("human_decision", "$.reviewer")
-    return ledger.select(
-        "clause_id",
-        "action",
-        F.coalesce(reviewer, F.lit("")).alias("reviewer"),
-        F.coalesce("firm_standards_version", F.lit("")).alias("firm_standards_version"),
-    )
+def record_hash() -> Column:
+    """The hash of the record a ledger row is about; empty where the row carries no lineage."""
+    return F.coalesce("lineage.record_hash", F.lit(""))
+
+
+def _identified(ledger: DataFrame) -> DataFrame:
+    parts = [F.coalesce(F.get_json_object("human_decision", f"$.{n}"), F.lit("")) for n in DECISION]
+    version = F.coalesce("firm_standards_version", F.lit(""))
+    return ledger.withColumn("_identity", F.struct("clause_id", "action", record_hash(), version, *parts))
 
 
 def not_yet_recorded(arriving: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Rows whose (clause, action, reviewer, policy version) the ledger does not hold yet."""
-    reviewer = F.coalesce(F.get_json_object("human_decision", "$.reviewer"), F.lit(""))
-    keyed = arriving.withColumn("_reviewer", reviewer).withColumn(
-        "_version", F.coalesce("firm_standards_version", F.lit(""))
-    )
-    known = _identity(ledger).select(
-        "clause_id",
-        "action",
-        F.col("reviewer").alias("_reviewer"),
-        F.col("firm_standards_version").alias("_version"),
-    )
-    return keyed.join(known, ["clause_id", "action", "_reviewer", "_version"], "left_anti").select(
-        *arriving.columns
-    )
+    """Rows the ledger does not hold yet: another record, action or policy version, or for human decisions
+    another reviewer, field, date, source or value."""
+    known = _identified(ledger).select("_identity")
+    return _identified(arriving).join(known, "_identity", "left_anti").select(*arriving.columns)
 
 
 def latest(ledger: DataFrame, keys: Sequence[str] = ("clause_id", "action"), order: Sequence[str] = ("seq",)) -> DataFrame:
@@ -104,19 +96,21 @@ def latest(ledger: DataFrame, keys: Sequence[str] = ("clause_id", "action"), ord
     )
 
 
-def skip_done(rows: DataFrame, done: DataFrame, key: str = "clause_id") -> DataFrame:
-    return rows.join(done.select(key), key, "left_anti")
+def skip_done(rows: DataFrame, done: DataFrame, *keys: str) -> DataFrame:
+    on = list(keys) or ["clause_id"]
+    return rows.join(done.select(*on), on, "left_anti")
 
 
-def completed(ledger: DataFrame, key: str = "clause_id") -> DataFrame:
+def completed(ledger: DataFrame) -> DataFrame:
     """Records with an assessment in the ledger: the checkpoint, derived instead of stored."""
-    return ledger.where(F.col("action") == "assess_risk").select(key).distinct()
+    assessed = ledger.where(F.col("action") == "assess_risk")
+    return assessed.select("clause_id", record_hash().alias("record_hash")).distinct()
 
 
 def rehydrate(ledger: DataFrame, order: Sequence[str] = ("seq",)) -> DataFrame:
     """Per record its last classification and assessment, ready for the register.
 
-    One aggregation does both actions.  An escalated classification stays escalated.
+    A record is its id and its hash.  One aggregation does both actions.  An escalated classification stays escalated.
     """
     fields = F.struct("effective_value", "decided_by", "status")
     position = F.struct(*order)
@@ -127,7 +121,7 @@ def rehydrate(ledger: DataFrame, order: Sequence[str] = ("seq",)) -> DataFrame:
 
     found = (
         ledger.where(F.col("action").isin("classify_clause", "assess_risk"))
-        .groupBy("clause_id")
+        .groupBy("clause_id", record_hash().alias("record_hash"))
         .agg(last("classify_clause").alias("c"), last("assess_risk").alias("a"))
     )
     category = F.get_json_object("c.effective_value", "$.category")
@@ -136,6 +130,7 @@ def rehydrate(ledger: DataFrame, order: Sequence[str] = ("seq",)) -> DataFrame:
     )
     return found.select(
         "clause_id",
+        "record_hash",
         category.alias("review_category"),
         F.when(category.isNotNull(), F.get_json_object("c.effective_value", "$.confidence").cast("double")).alias(
             "classification_confidence"

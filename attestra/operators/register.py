@@ -14,8 +14,10 @@ NO_FINDINGS = f"array<{schemas.FINDING}>"
 def register(silver: DataFrame, decided: DataFrame, superseded: DataFrame | None = None) -> DataFrame:
     """Silver left-joined to the decisions: a record without one reads ``not_processed``.
 
-    ``decided``: ``clause_id, review_category, classification_confidence,
-    classification_decided_by, findings, overall_severity, status``.  Whether a review is
+    ``decided``: ``clause_id, record_hash, review_category, classification_confidence,
+    classification_decided_by, findings, overall_severity, status``, one row a record; ``superseded``:
+    ``clause_id, superseded_by``, one row an id.  Records that share an id are told apart by their
+    hash, so every row of Silver gives one row.  Whether a review is
     pending follows from the severity, so a resumed run publishes the same.
     """
     base = silver.select(
@@ -25,8 +27,9 @@ def register(silver: DataFrame, decided: DataFrame, superseded: DataFrame | None
         F.coalesce("section_ref", F.lit("")).alias("section_ref"),
         F.col("clause_category").alias("source_category"),
         F.col("_lineage").alias("lineage"),
+        F.coalesce("_lineage.record_hash", F.lit("")).alias("record_hash"),
     )
-    joined = base.join(decided, "clause_id", "left")
+    joined = base.join(decided, ["clause_id", "record_hash"], "left")
     if superseded is not None:
         joined = joined.join(superseded, "clause_id", "left")
     else:

@@ -98,19 +98,39 @@ def reconcile(reviews: DataFrame, assessments: DataFrame) -> DataFrame:
     )
 
 
-def overrides(reconciled: DataFrame, agent: str = "risk_flagger", order: Sequence[str] = REVIEW_ORDER) -> DataFrame:
-    """Override rows, numbered over the whole run in review order (no one-task window)."""
+OVERRIDE = ("clause_id", "reviewer", "date", "field", "human_value", "source")
+
+
+def overrides(
+    reconciled: DataFrame, agent: str = "risk_flagger", order: Sequence[str] = REVIEW_ORDER, recorded: DataFrame | None = None
+) -> DataFrame:
+    """Override rows, numbered in review order (no one-task window).
+
+    With ``recorded`` (earlier override rows) only the new ones, numbered after the highest recorded
+    number: an id once given never moves.
+    """
+    chosen = (
+        reconciled.where(F.col("outcome") == "override")
+        .withColumn("field", F.coalesce(F.nullif("field", F.lit("")), F.col("inferred_field")))
+        .withColumn("human_value", F.coalesce("human_value", F.lit("accepted")))
+    )
+    first = 0
+    if recorded is not None:
+        first = recorded.agg(F.max("seq")).first()[0] or 0
+        identity = F.struct(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in OVERRIDE])
+        known = recorded.select(identity.alias("_identity"))
+        chosen = chosen.withColumn("_identity", identity).join(known, "_identity", "left_anti").drop("_identity")
     # Human decisions: few next to the records, and numbering reads them more than once.
-    chosen = cut_lineage(reconciled.where(F.col("outcome") == "override"))
-    numbered = number_rows(chosen, order, "seq")
+    numbered = number_rows(cut_lineage(chosen), order, "seq").withColumn("seq", F.col("seq") + first)
     return numbered.select(
         override_id("OVR", F.col("clause_id"), F.col("seq")).alias("override_id"),
         "clause_id",
         F.lit(agent).alias("agent"),
         "reviewer",
-        F.coalesce(F.nullif("field", F.lit("")), F.col("inferred_field")).alias("field"),
+        "date",
+        "field",
         "model_value",
-        F.coalesce("human_value", F.lit("accepted")).alias("human_value"),
+        "human_value",
         "rationale",
         "source",
         "findings",
@@ -123,9 +143,10 @@ def override_id(prefix: str, clause_id: Column, seq: Column) -> Column:
     return F.concat(F.lit(f"{prefix}-"), clause_id, F.lit("-"), F.format_string("%02d", seq))
 
 
-def escalation_ids(queue: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Escalations numbered over the whole run."""
-    numbered = number_rows(queue, order, "seq")
+def escalation_ids(queue: DataFrame, order: Sequence[str], recorded: DataFrame | None = None) -> DataFrame:
+    """Escalations, numbered after the highest number of the ``recorded`` ones."""
+    first = 0 if recorded is None else recorded.agg(F.max("seq")).first()[0] or 0
+    numbered = number_rows(queue, order, "seq").withColumn("seq", F.col("seq") + first)
     return numbered.withColumn("escalation_id", override_id("ESC", F.col("clause_id"), F.col("seq"))).withColumn(
         "status", F.lit("OPEN")
     )
@@ -170,7 +191,7 @@ def review_ledger_rows(reconciled: DataFrame, found: DataFrame, run_id: str, tim
         timestamp=timestamp,
         model_output=_payload(F.col("findings"), F.col("model_value")),
         human_decision=F.to_json(
-            F.struct("reviewer", F.lit("confirmed").alias("action"), "rationale", "source")
+            F.struct("reviewer", F.lit("confirmed").alias("action"), "date", "rationale", "source")
         ),
         effective_value=_payload(F.col("findings"), F.col("model_value")),
         detail=F.concat("reviewer", F.lit(" agreed with the agent's assessment.")),
@@ -187,7 +208,7 @@ def review_ledger_rows(reconciled: DataFrame, found: DataFrame, run_id: str, tim
         model_output=_payload(F.col("findings"), F.col("model_value")),
         human_decision=F.to_json(
             F.struct(
-                "override_id", "clause_id", "agent", "reviewer", "field", "model_value", "human_value",
+                "override_id", "clause_id", "agent", "reviewer", "date", "field", "model_value", "human_value",
                 "rationale", "source",
             )
         ),

@@ -123,7 +123,7 @@ def assess(
     if model_outputs is not None:
         offered = model_outputs.select(
             "clause_id", F.col("classification").alias("_class_text"), F.col("assessment").alias("_risk_text")
-        )
+        ).dropDuplicates(["clause_id"])
         rows = rows.join(offered, "clause_id", "left")
     in_scope = F.col("scope_reason").isNull()
     ruled = F.coalesce(
@@ -306,6 +306,7 @@ def decided_view(admitted: DataFrame) -> DataFrame:
     )
     return admitted.select(
         "clause_id",
+        "record_hash",
         "review_category",
         F.when(usable, F.col("classification.confidence")).alias("classification_confidence"),
         F.when(usable, F.col("class_decided_by")).alias("classification_decided_by"),
@@ -353,7 +354,7 @@ def review(
     assessed = precedents.with_precedents(assessed, precedents.first_clean(index))
 
     # 3. Guard the records that are not done yet.
-    open_rows = ledger.skip_done(assessed, ledger.completed(known))
+    open_rows = ledger.skip_done(assessed, ledger.completed(known), *ORDER)
     guarded_table = lake.path(f"guarded/run={settings.run_id}")
     sinks.rebuild(
         guardrails.guard_run(
@@ -382,11 +383,11 @@ def review(
     decisions = ledger.not_yet_recorded(decision_rows(admitted, settings), known)
     sinks.append(decisions, lake.path("ledger"), ("run_id",))
     # Refused records are looked at again in every run; they are queued once.
-    queued = lake.read(spark, "escalations", "clause_id string, agent string, reason string")
-    waiting = escalation_queue(admitted).join(queued, ["clause_id", "agent", "reason"], "left_anti")
+    queued = lake.read(spark, "escalations", "clause_id string, record_hash string, agent string, reason string, seq bigint")
+    waiting = escalation_queue(admitted).join(queued, [*ORDER, "agent", "reason"], "left_anti")
     sinks.append(
         reviews.escalation_ids(
-            waiting.select("clause_id", "record_hash", "step", "agent", "reason"), ["clause_id", "record_hash", "step"]
+            waiting.select("clause_id", "record_hash", "step", "agent", "reason"), [*ORDER, "step"], queued
         ),
         lake.path("escalations"),
     )
@@ -419,12 +420,14 @@ def review(
     # 5. Human reviews against everything in the ledger, also from earlier runs.
     known = lake.read(spark, "ledger", schemas.LEDGER)
     state = ledger.rehydrate(known.where(F.col("agent").isin("clause_classifier", "risk_flagger")), ("timestamp", "seq"))
-    sides = state.where("overall_severity is not null").select(
-        "clause_id", "findings", "overall_severity", F.col("status").alias("risk_status")
-    ).join(ledger.completed(known), "clause_id", "left_semi")
+    sides = state.where("overall_severity is not null").join(ledger.completed(known), list(ORDER), "left_semi")
+    # A review names an id: where records share one, it meets the last of them.
+    last_side = F.max_by(F.struct("findings", "overall_severity", F.col("status").alias("risk_status")), "record_hash")
+    sides = sides.groupBy("clause_id").agg(last_side.alias("s")).select("clause_id", "s.*")
     reconciled = reviews.reconcile(reviews.human_reviews(silver, simulated), sides)
-    sinks.rebuild(reviews.overrides(reconciled), lake.path("overrides"))
-    overrides = spark.read.parquet(lake.path("overrides"))
+    recorded = lake.read(spark, "overrides", schemas.OVERRIDES)
+    sinks.append(reviews.overrides(reconciled, recorded=recorded), lake.path("overrides"))
+    overrides = lake.read(spark, "overrides", schemas.OVERRIDES)
     human_rows = ledger.not_yet_recorded(
         reviews.review_ledger_rows(reconciled, overrides, settings.run_id, settings.timestamp), known
     )
@@ -445,7 +448,7 @@ def review(
 
     # 7. The effective view.  Earlier runs' records come back from the ledger, refusals from now.
     now = decided_view(admitted)
-    earlier = state.join(now.select("clause_id"), "clause_id", "left_anti")
+    earlier = state.join(now.select(*ORDER), list(ORDER), "left_anti")
     decided = now.unionByName(earlier.select(*now.columns))
     superseded = lake.read(
         spark,

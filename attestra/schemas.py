@@ -74,3 +74,8 @@ SPANS = (
     "end_time string, duration_ms double, status string"
 )
 LOGS = "timestamp string, severity string, event string, body string, trace_id string, span_id string"
+
+OVERRIDES = (
+    "override_id string, clause_id string, agent string, reviewer string, date string, field string, model_value string, "
+    f"human_value string, rationale string, source string, findings array<{FINDING}>, seq bigint"
+)

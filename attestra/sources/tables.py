@@ -144,7 +144,9 @@ def read_registry_inventory(spark: SparkSession, path: str) -> DataFrame:
 
 
 def supersession_map(proposals: DataFrame) -> DataFrame:
-    """``superseded -> superseding`` from supersession candidates only."""
-    return proposals.where(F.col("kind") == "SUPERSESSION_CANDIDATE").select(
-        F.col("superseded_clause_id").alias("clause_id"), F.col("superseding_clause_id").alias("superseded_by")
+    """``superseded -> superseding`` from supersession candidates only, one row an id."""
+    return (
+        proposals.where(F.col("kind") == "SUPERSESSION_CANDIDATE")
+        .groupBy(F.col("superseded_clause_id").alias("clause_id"))
+        .agg(F.max("superseding_clause_id").alias("superseded_by"))
     )

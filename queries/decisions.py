@@ -4,8 +4,9 @@ from pyspark.sql import functions as F
 
 from attestra import schemas
 from attestra.functions import cost
-from attestra.operators import guardrails, ledger, register
+from attestra.operators import guardrails, ledger, register, reviews
 from attestra.plans import review
+from attestra.sources.tables import supersession_map
 from queries import query
 from queries import texts as x
 
@@ -70,6 +71,7 @@ def _(t):
     guarded = guardrails.guard_run(rows, ["clause_id"], max_tokens=1000)
     decided = guarded.where("admitted").select(
         "clause_id",
+        F.lit("").alias("record_hash"),
         F.lit("other").alias("review_category"),
         F.lit(1.0).alias("classification_confidence"),
         F.lit("rule").alias("classification_decided_by"),
@@ -83,6 +85,39 @@ def _(t):
     )
 
 
+@query(
+    "register_collisions",
+    """SELECT 'C' || o_custkey AS clause_id, 'h' || o_orderkey AS record_hash,
+  CASE WHEN o_orderkey % 3 = 0 THEN 'not_processed' ELSE 'proposed' END AS status,
+  CASE WHEN o_orderkey % 3 = 0 THEN 'none' ELSE 'low' END AS overall_severity, 'C' || (o_custkey + 1) AS superseded_by FROM orders""",
+)
+def _(t):
+    """Orders of a customer share an id and are told apart by their hash: every one has one row."""
+    key = F.concat(F.lit("C"), "o_custkey")
+    record = F.concat(F.lit("h"), "o_orderkey")
+    empty = F.lit(None).cast("string")
+    lineage = F.struct(
+        empty.alias("run_id"), empty.alias("source_file"), empty.alias("source_api_version"),
+        F.lit(None).cast("int").alias("record_index"), record.alias("record_hash"), empty.alias("ingested_at"),
+    )
+    rows = t.orders.select(
+        key.alias("clause_id"), empty.alias("contract_id"), empty.alias("client_name"), empty.alias("section_ref"),
+        empty.alias("clause_category"), lineage.cast(schemas.LINEAGE).alias("_lineage"),
+    )
+    decided = t.orders.where("o_orderkey % 3 <> 0").select(
+        key.alias("clause_id"), record.alias("record_hash"), empty.alias("review_category"),
+        F.lit(None).cast("double").alias("classification_confidence"), empty.alias("classification_decided_by"),
+        F.lit(None).cast(f"array<{schemas.FINDING}>").alias("findings"), F.lit("low").alias("overall_severity"),
+        F.lit("proposed").alias("status"),
+    )
+    candidates = t.orders.select(
+        F.lit("SUPERSESSION_CANDIDATE").alias("kind"), key.alias("superseded_clause_id"),
+        F.concat(F.lit("C"), F.col("o_custkey") + 1).alias("superseding_clause_id"),
+    )
+    gold = register.register(rows, decided, supersession_map(candidates))
+    return gold.select("clause_id", F.col("lineage.record_hash").alias("record_hash"), "status", "overall_severity", "superseded_by")
+
+
 @query(
     "escalation_queue",
     f"""WITH {x.FINDINGS_CTE} SELECT clause_id, 'clause_classifier' AS agent, 'category_outside_review_taxonomy' AS reason
@@ -188,6 +223,35 @@ def _(t):
     return ledger.not_yet_recorded(arriving, known).select("seq")
 
 
+@query(
+    "repeated_reviews",
+    """WITH r AS (SELECT *, year(o_orderdate) < 1996 AS early FROM orders WHERE o_orderkey % 7 = 0),
+n AS (SELECT *, CASE WHEN early THEN 0 ELSE (SELECT count(*) FROM r WHERE early) END
+  + row_number() OVER (PARTITION BY early ORDER BY o_orderkey) AS seq FROM r)
+SELECT 'OVR-C' || (o_custkey % 50) || '-' || printf('%02d', seq) AS override_id, o_orderkey::VARCHAR AS rationale, seq::BIGINT AS seq,
+  true AS recorded FROM n""",
+)
+def _(t):
+    """Two runs over the reviews of few people: the second sees all reviews again.  Ids of the first stay, and
+    every review of the same reviewer on the same record is a ledger row of its own."""
+    text = lambda value: F.lit(value).cast("string")
+    met = t.orders.where("o_orderkey % 7 = 0").select(
+        F.concat(F.lit("C"), F.col("o_custkey") % 50).alias("clause_id"), F.lit("ann").alias("reviewer"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"), F.lit("accept").alias("action"),
+        F.concat(F.lit("risk.findings.f"), "o_orderkey").alias("field"), text(None).alias("human_value"),
+        F.col("o_orderkey").cast("string").alias("rationale"), F.lit("simulated").alias("source"), F.lit(1).alias("_source"),
+        F.lit("").alias("_key"), F.col("o_orderkey").alias("_pos"), F.lit(None).cast(f"array<{schemas.FINDING}>").alias("findings"),
+        F.lit("high").alias("model_value"), F.lit("override").alias("outcome"), text(None).alias("inferred_field"),
+        (F.year("o_orderdate") < 1996).alias("early"),
+    )
+    first = reviews.overrides(met.where("early"))
+    second = reviews.overrides(met, recorded=first)
+    known = reviews.review_ledger_rows(met.limit(0), first, "one", "t")
+    kept = ledger.not_yet_recorded(reviews.review_ledger_rows(met.limit(0), first.unionByName(second), "two", "t"), known)
+    rows = known.unionByName(kept).select(F.get_json_object("human_decision", "$.override_id").alias("override_id"), F.lit(True).alias("recorded"))
+    return first.unionByName(second).select("override_id", "rationale", "seq").join(rows, "override_id")
+
+
 @query("ledger_counts", "SELECT event_type AS agent, count(*) AS records FROM events GROUP BY 1")
 def _(t):
     return ledger.counts(t.events.select(F.col("event_type").alias("agent")), "agent")
@@ -198,7 +262,7 @@ def _(t):
     "SELECT DISTINCT 'C' || o_custkey AS clause_id FROM orders WHERE o_orderstatus <> 'O'",
 )
 def _(t):
-    return ledger.completed(order_ledger(t.orders))
+    return ledger.completed(order_ledger(t.orders)).select("clause_id")
 
 
 @query(
