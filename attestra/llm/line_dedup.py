@@ -9,9 +9,9 @@ difference of their signatures); none of this can drop a similar pair.  The word
 left are read again from the texts and compared exactly.
 
 Words shared by many sets: their sets are dealt into blocks of bounded size, and pairs of blocks are
-compared in different tasks.  For each set and shared word only its earliest partner is verified at
-first, so groups of near copies cost a row a member; sets whose earliest partners all turn out
-dissimilar are compared with all others in a second round.
+compared in different tasks.  For each set and shared word only the few partners with the nearest
+signatures are verified at first, so groups of near copies cost a few rows a member; sets whose nearest
+partners all turn out dissimilar are compared with all others in a second round.
 """
 
 from __future__ import annotations
@@ -27,7 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attestra.llm.common import own_columns, prepared, small_side, written
-from attestra.llm.tables import frequency_levels, presence, slots_of
+from attestra.llm.tables import frequency_levels, presence
+from attestra.llm.words import BITS, lines, mixed
 
 PAIRS = 1 << 20  # pairs that are compared at once
 PLACE = ("doc_id", "row_key", "line")
@@ -47,37 +48,27 @@ class Similarity:
     least_words: int = 5
     bits: int = 20  # slots of the table of word frequencies
     block: int = 2048  # sets that share a word and are compared in one task
+    nearest: int = 3  # partners of a set and shared word that are verified in the first round
 
 
 DEFAULT = Similarity()
 
 
-def lines_of(text: str | None) -> list[str]:
-    return text.split("\n") if text is not None else []
-
-
 def words_of(line: bytes) -> set[bytes]:
     """``line`` is UTF-8; ASCII letters are lower-cased, ASCII white space separates words."""
     return set(line.lower().split())
 
 
-def _hashes(words: list[bytes]) -> np.ndarray:
-    digest = xxhash.xxh64_intdigest
-    return np.array([digest(w) for w in words], dtype=np.uint64)
+def _slots(words: np.ndarray, bits: int) -> np.ndarray:
+    return (words >> np.uint64(BITS - bits)).astype(np.int64)
 
 
 def _count_words(batches: Iterator[pa.RecordBatch], least: int, bits: int) -> Iterator[pa.RecordBatch]:
     """For each slot, in how many lines of the task one of its words occurs."""
     counts = np.zeros(1 << bits, np.int64)
     for batch in batches:
-        for text in batch.column("text").to_pylist():
-            words: list[bytes] = []
-            for line in (text or "").encode().split(b"\n"):
-                found = words_of(line)
-                if len(found) >= least:
-                    words.extend(found)
-            if words:
-                np.add.at(counts, slots_of(_hashes(words), bits), 1)
+        for found in lines(batch.column("text")):
+            counts += np.bincount(_slots(found.at_least(least).words, bits), minlength=1 << bits)
     used = np.nonzero(counts)[0]
     for at in range(0, len(used), 1 << 16):
         part = used[at : at + (1 << 16)]
@@ -91,39 +82,34 @@ def prefix_length(size: int, how: Similarity) -> int:
 def _describe(batches: Iterator[pa.RecordBatch], levels, how: Similarity) -> Iterator[pa.RecordBatch]:
     """Every line with enough words: where it is, its set's digest, signature and first words."""
     levels = levels.value
+    one = np.uint64(1)
     for batch in batches:
-        rows: list[tuple] = []
-        texts = batch.column("text").to_pylist()
-        for doc_id, key, text in zip(batch.column("doc_id").to_pylist(), batch.column("row_key").to_pylist(), texts, strict=True):
-            sizes, numbers, words = [], [], []
-            for number, line in enumerate((text or "").encode().split(b"\n")):
-                found = words_of(line)
-                if len(found) >= how.least_words:
-                    sizes.append(len(found))
-                    numbers.append(number)
-                    words.extend(found)
-            if not sizes:
+        for found in lines(batch.column("text")):
+            found = found.at_least(how.least_words)
+            if not len(found.sizes):
                 continue
-            hashes = _hashes(words)
-            size = np.array(sizes)
-            starts = np.concatenate([[0], np.cumsum(size)[:-1]])
-            owner = np.repeat(np.arange(len(size)), size)
-            k1 = np.add.reduceat(hashes, starts).view(np.int64)
-            k2 = np.bitwise_xor.reduceat(hashes * np.uint64(0x9E3779B97F4A7C15) ^ (hashes >> np.uint64(29)), starts).view(np.int64)
-            bit = np.uint64(1) << (hashes & np.uint64(63))
-            low = (hashes >> np.uint64(6)) & np.uint64(1) == 0
-            s1 = np.bitwise_xor.reduceat(np.where(low, bit, np.uint64(0)), starts).view(np.int64)
-            s2 = np.bitwise_xor.reduceat(np.where(low, np.uint64(0), bit), starts).view(np.int64)
-            order = np.lexsort((hashes, levels[slots_of(hashes, how.bits)], owner))
-            token = (hashes[order] >> np.uint64(20)).astype(np.uint32).view(np.int32)
-            for k, n in enumerate(sizes):
-                at = starts[k]
-                first = token[at : at + prefix_length(n, how)]
-                rows.append((doc_id, key, numbers[k], k1[k], k2[k], n, s1[k], s2[k], first))
-        if rows:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), LINES, strict=True)], schema=LINES
-            )
+            words, owner, sizes = found.words, found.owner, found.sizes
+            starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+            k1 = np.add.reduceat(mixed(words, 1), starts)
+            spread = mixed(words, 2)
+            k2 = np.add.reduceat(spread, starts)
+            bit = one << (spread & np.uint64(63))
+            low = (spread >> np.uint64(6)) & one == 0
+            s1 = np.bitwise_xor.reduceat(np.where(low, bit, np.uint64(0)), starts)
+            s2 = np.bitwise_xor.reduceat(np.where(low, np.uint64(0), bit), starts)
+            # Rarest first, within each line.
+            level = levels[_slots(words, how.bits)].astype(np.uint64)
+            tail = words & np.uint64((1 << 36) - 1)
+            order = np.sort((owner.astype(np.uint64) << np.uint64(44)) | (level << np.uint64(36)) | tail)
+            lengths = prefix_length(sizes, how)
+            first = np.arange(len(words)) - np.repeat(starts, sizes) < np.repeat(lengths, sizes)
+            tokens = (order[first] & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
+            prefix = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)), pa.array(tokens))
+            place = pa.array(found.text)
+            columns = [batch.column("doc_id").take(place), batch.column("row_key").take(place), pa.array(found.number.astype(np.int32))]
+            columns += [pa.array(k.view(np.int64)) for k in (k1, k2)] + [pa.array(sizes.astype(np.int32))]
+            columns += [pa.array(k.view(np.int64)) for k in (s1, s2)] + [prefix]
+            yield pa.RecordBatch.from_arrays(columns, schema=LINES)
 
 
 def _needed(a, b, how: Similarity) -> np.ndarray:
@@ -137,10 +123,10 @@ class _Bucket:
     def __init__(self, columns: dict[str, np.ndarray], how: Similarity):
         self.c, self.how = columns, how
 
-    def passing(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Pairs of rows of one group that pass all filters, in parts."""
+    def passing(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Pairs of rows of one group that pass all filters, and the difference of their signatures, in parts."""
         c, how = self.c, self.how
-        group, size = c["group"], c["size"].astype(np.int64)
+        group, size = c["group"], c["size"]
         # Sizes are at most p/q apart: the partners after a row end where the size passes n * q / p.
         reach = size * how.q // how.p
         widest = int(size.max()) * how.q // how.p + 2
@@ -157,20 +143,22 @@ class _Bucket:
             yield self._filtered(i, j)
             at = to
 
-    def _filtered(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _filtered(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         c = self.c
-        need = _needed(c["size"][i].astype(np.int64), c["size"][j].astype(np.int64), self.how)
-        common = 1 + np.minimum(c["size"][i] - c["pos"][i], c["size"][j] - c["pos"][j]) - 1
+        need = _needed(c["size"][i], c["size"][j], self.how)
+        common = np.minimum(c["size"][i] - c["pos"][i], c["size"][j] - c["pos"][j])
         differ = np.bitwise_count(c["s1"][i] ^ c["s1"][j]).astype(np.int64) + np.bitwise_count(c["s2"][i] ^ c["s2"][j])
-        good = (common >= need) & (differ <= c["size"][i] + c["size"][j] - 2 * need) & (c["own"][i] + c["own"][j] == c["both"][i])
-        return i[good], j[good]
+        # Between two blocks only sets of different blocks are compared.
+        apart = ~c["mixed"][i] | (c["side"][i] != c["side"][j])
+        good = (common >= need) & (differ <= c["size"][i] + c["size"][j] - 2 * need) & apart
+        return i[good], j[good], differ[good]
 
 
 def _candidates(batches: Iterator[pa.RecordBatch], how: Similarity, every: bool) -> Iterator[pa.RecordBatch]:
-    """Pairs ``later, earlier, more``: for each set and group its earliest partner and whether it has others.
+    """Pairs ``later, earlier, more``: for each set and group its nearest partners and whether it has others.
 
-    With ``every``, all partners of the sets that are flagged ``open``.  Input is sorted by group (``token,
-    low, high``); rows are held until their group is complete.
+    With ``every``, all partners of the sets that are flagged ``open``.  Input is sorted by group (``key``);
+    rows are held until their group is complete.
     """
     held: list[pa.RecordBatch] = []
     size = 0
@@ -178,38 +166,32 @@ def _candidates(batches: Iterator[pa.RecordBatch], how: Similarity, every: bool)
     def answer(table: pa.Table) -> pa.RecordBatch:
         c = {n: table.column(n).to_numpy() for n in table.column_names}
         c["s1"], c["s2"] = c["s1"].view(np.uint64), c["s2"].view(np.uint64)
-        new = (np.diff(c["token"]) != 0) | (np.diff(c["low"]) != 0) | (np.diff(c["high"]) != 0)
-        c["group"] = np.concatenate([[0], np.cumsum(new)]).astype(np.int64)
-        order = np.lexsort((c["id"], c["size"], c["group"]))
+        c["size"], rest = c["pack"] >> 32, c["pack"] & 0xFFFFFFFF
+        c["pos"], c["mixed"], c["side"] = rest >> 2, (rest & 2) > 0, (rest & 1) > 0
+        c["group"] = np.concatenate([[0], np.cumsum(np.diff(c["key"]) != 0)]).astype(np.int64)
+        order = np.lexsort((c["size"], c["group"]))
         c = {n: v[order] for n, v in c.items()}
-        # Inside one block all pairs count, between two blocks those of different blocks only.
-        c["own"] = np.where(c["low"] == c["high"], 0, (c["block"] == c["high"]).astype(np.int64))
-        c["both"] = (c["low"] != c["high"]).astype(np.int64)
         found: list[np.ndarray] = []
-        for i, j in _Bucket(c, how).passing():
+        for i, j, differ in _Bucket(c, how).passing():
             a, b = c["id"][i], c["id"][j]
             later, earlier = np.maximum(a, b), np.minimum(a, b)
-            group = c["group"][i]
+            use = later != earlier
             if every:
-                flag = np.where(a > b, c["open"][i], c["open"][j])
-                later, earlier, group = later[flag], earlier[flag], group[flag]
-            distinct = later != earlier
-            found.append(np.stack([group[distinct], later[distinct], earlier[distinct]]))
+                use &= np.where(a > b, c["open"][i], c["open"][j])
+            found.append(np.stack([c["group"][i], later, earlier, differ, np.zeros_like(later)])[:, use])
             if not every and sum(f.shape[1] for f in found) > 4 * PAIRS:
-                found = [_earliest(np.concatenate(found, axis=1))]
-        pairs = np.concatenate(found, axis=1) if found else np.zeros((3, 0), np.int64)
+                found = [_nearest(np.concatenate(found, axis=1), how.nearest)]
+        pairs = np.concatenate(found, axis=1) if found else np.zeros((5, 0), np.int64)
         if not every:
-            pairs = _earliest(pairs)
-        more = pairs[3] if len(pairs) > 3 else np.zeros(pairs.shape[1], np.int64)
+            pairs = _nearest(pairs, how.nearest)
         return pa.RecordBatch.from_arrays(
-            [pa.array(pairs[1]), pa.array(pairs[2]), pa.array(more > 0)], ["later", "earlier", "more"]
+            [pa.array(pairs[1]), pa.array(pairs[2]), pa.array(pairs[4] > 0)], ["later", "earlier", "more"]
         )
 
     def ends_at(table: pa.Table) -> int:
         """Rows before the last group, which may go on in the next batch."""
-        keys = [table.column(n).to_numpy() for n in ("token", "low", "high")]
-        same = np.logical_and.reduce([k == k[-1] for k in keys])
-        other = np.nonzero(~same)[0]
+        keys = table.column("key").to_numpy()
+        other = np.nonzero(keys != keys[-1])[0]
         return int(other[-1]) + 1 if len(other) else 0
 
     for batch in batches:
@@ -226,24 +208,27 @@ def _candidates(batches: Iterator[pa.RecordBatch], how: Similarity, every: bool)
         yield answer(pa.Table.from_batches(held))
 
 
-def _earliest(pairs: np.ndarray) -> np.ndarray:
-    """Of rows ``group, later, earlier[, more]`` the earliest of each (group, later), and how many others it has."""
-    more = pairs[3] if len(pairs) > 3 else np.zeros(pairs.shape[1], np.int64)
-    order = np.lexsort((pairs[2], pairs[1], pairs[0]))
-    group, later, earlier, more = pairs[0][order], pairs[1][order], pairs[2][order], more[order]
-    if not len(group):
-        return np.zeros((4, 0), np.int64)
-    first = np.concatenate([[True], (group[1:] != group[:-1]) | (later[1:] != later[:-1])])
-    starts = np.nonzero(first)[0]
-    others = np.add.reduceat(more, starts) + np.diff(np.append(starts, len(group))) - 1
-    return np.stack([group[starts], later[starts], earlier[starts], others])
+def _nearest(pairs: np.ndarray, count: int) -> np.ndarray:
+    """Of rows ``group, later, earlier, differ, more`` the nearest of each (group, later); ``more`` of the first
+    counts what is left out."""
+    if not pairs.shape[1]:
+        return pairs
+    pairs = pairs[:, np.lexsort((pairs[2], pairs[3], pairs[1], pairs[0]))]
+    group, later = pairs[0], pairs[1]
+    starts = np.nonzero(np.concatenate([[True], (group[1:] != group[:-1]) | (later[1:] != later[:-1])]))[0]
+    sizes = np.diff(np.append(starts, len(group)))
+    rank = np.arange(len(group)) - np.repeat(starts, sizes)
+    left_out = np.add.reduceat(pairs[4], starts) + np.maximum(sizes - count, 0)
+    pairs[4] = 0
+    pairs[4, starts] = left_out
+    return pairs[:, rank < count]
 
 
 def _wanted_slot(doc_id: int | None, key: int, line: int, bits: int) -> int:
     return xxhash.xxh64_intdigest(f"{doc_id},{key},{line}") >> (64 - bits)
 
 
-def _slots(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
+def _place_slots(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = zip(*[batch.column(n).to_pylist() for n in PLACE], strict=True)
         yield pa.RecordBatch.from_arrays([pa.array([_wanted_slot(*r, bits) for r in rows], pa.int32())], ["slot"])
@@ -297,30 +282,41 @@ class _Join:
         return written(ranged.withColumn("id", F.monotonically_increasing_id()), "sets")
 
     def words(self, sets: DataFrame) -> DataFrame:
-        """One row for each set and each word of its prefix, dealt into pairs of blocks where a word has many."""
+        """``key, id, pack, s1, s2``: one row for each set and each word of its prefix.
+
+        ``key`` is the word and, where many sets share it, a pair of blocks; ``pack`` is the size, the place
+        of the word, whether the pair is of two blocks and whether the set is in the higher one.
+        """
         rows = sets.select("id", "size", "s1", "s2", F.posexplode("prefix").alias("pos", "token"))
         hot = rows.groupBy("token").count().where(F.col("count") > self.how.block)
-        hot = written(hot.select("token", F.ceil(F.col("count") / self.how.block).cast("int").alias("blocks")), "hot")
+        # Pairs are numbered in 32 bits: beyond 60,000 blocks these grow instead of their number.
+        blocks = F.least(F.ceil(F.col("count") / self.how.block), F.lit(60_000)).cast("int")
+        hot = written(hot.select("token", blocks.alias("blocks")), "hot")
         rows = rows.join(small_side(hot, row_bytes=16), "token", "left")
         rows = rows.withColumn("block", F.when(F.col("blocks").isNull(), 0).otherwise(F.pmod(F.xxhash64("id"), "blocks")).cast("int"))
         other = F.when(F.col("blocks").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1))
         rows = rows.withColumn("other", F.explode(other))
+        low, high = F.least("block", "other").cast("long"), F.greatest("block", "other").cast("long")
+        pair = F.expr("(cast(greatest(block, other) as long) * (greatest(block, other) + 1L)) div 2") + low
+        mark = F.when(low != high, 2).otherwise(0) + F.when((low != high) & (F.col("block") > F.col("other")), 1).otherwise(0)
         return rows.select(
-            "token", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "id", "size", "pos", "s1", "s2"
+            F.shiftleft(F.col("token").cast("long"), 32).bitwiseOR(pair).alias("key"),
+            "id",
+            F.shiftleft(F.col("size").cast("long"), 32).bitwiseOR(F.shiftleft(F.col("pos").cast("long"), 2)).bitwiseOR(mark.cast("long")).alias("pack"),
+            "s1",
+            "s2",
         )
 
     def candidates(self, words: DataFrame, every: bool = False) -> DataFrame:
-        key = ["token", "low", "high"]
-        dealt = words.repartition(*key).sortWithinPartitions(*key)
-        found = dealt.mapInArrow(partial(_candidates, how=self.how, every=every), "later long, earlier long, more boolean")
-        return found
+        dealt = words.repartition("key").sortWithinPartitions("key")
+        return dealt.mapInArrow(partial(_candidates, how=self.how, every=every), "later long, earlier long, more boolean")
 
     def verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """The similar ones of distinct ``later, earlier`` pairs, by the words themselves."""
         how, bits = self.how, 23
         ids = pairs.select(F.explode(F.array("later", "earlier")).alias("id")).distinct()
         places = written(ids.join(sets.select("id", "size", *PLACE), "id"), "places")
-        slots = places.select(*PLACE).mapInArrow(partial(_slots, bits=bits), "slot int")
+        slots = places.select(*PLACE).mapInArrow(partial(_place_slots, bits=bits), "slot int")
         wanted = self.spark.sparkContext.broadcast(presence(slots, bits))
         fetched = self.texts.mapInArrow(
             partial(_fetch, wanted=wanted, bits=bits, least=how.least_words),
@@ -346,9 +342,10 @@ class _Join:
         if left.isEmpty():
             return good
         # The rest: all partners of the sets that are still open, but for those just refused.
-        flagged = words.join(left.withColumn("open", F.lit(True)), "id", "left").withColumn("open", F.coalesce("open", F.lit(False)))
-        tokens = flagged.where("open").select("token").distinct()
-        every = self.candidates(flagged.join(tokens, "token", "left_semi"), every=True)
+        left = small_side(left, row_bytes=16).withColumn("open", F.lit(True))
+        keys = small_side(written(words.join(left, "id", "left_semi").select("key").distinct(), "keys"), row_bytes=16)
+        asked = words.join(keys, "key", "left_semi").join(left, "id", "left")
+        every = self.candidates(asked.withColumn("open", F.coalesce("open", F.lit(False))), every=True)
         again = every.select("later", "earlier").distinct().join(pairs, ["later", "earlier"], "left_anti")
         more = self.verified(written(again, "pairs"), sets)
         return good.union(more.select(F.col("later").alias("id"))).distinct()
