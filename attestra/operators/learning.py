@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from attestra import fixed_values as fixed
@@ -82,15 +82,15 @@ def bumped_version(version: Column) -> Column:
     return F.concat(parts[0], F.lit("."), (minor + 1).cast("string"), F.lit(".0"))
 
 
-def check_approval(proposals: DataFrame, wanted: str, approved_by: str | None) -> DataFrame:
+def check_approval(proposals: DataFrame, wanted: str, approved_by: str | None) -> Row:
     """The proposal to apply, or an error: it must exist, be pending and have an approver."""
     if not approved_by:
         raise ValueError("an approver must be named; use policy_diff to look at the change")
-    chosen = proposals.where(F.col("proposal_id") == wanted)
-    states = [r["status"] for r in chosen.select("status").limit(2).collect()]
+    found = proposals.where(F.col("proposal_id") == wanted).limit(2).collect()
+    states = [r["status"] for r in found]
     if states != ["PENDING_HUMAN_APPROVAL"]:
         raise ValueError(f"{wanted}: expected one pending proposal, found {states}")
-    return chosen
+    return found[0]
 
 
 def policy_diff(policy_rows: DataFrame, proposal: DataFrame, evidence: DataFrame) -> DataFrame:
@@ -119,16 +119,21 @@ def apply_proposal(
     ``approvals``, ``proposals`` (with the new status) and ``ledger``, each to be appended.
     """
     chosen = check_approval(proposals, proposal_id, approved_by)
+    # One proposal and one standard: their values are literals below, nothing is joined to them.
     reference = F.concat_ws(".", "section", "key")
-    known = policy_rows.withColumn("standard_reference", reference).join(chosen, "standard_reference", "left_semi")
-    if known.isEmpty():
+    known = policy_rows.where(reference == chosen["standard_reference"])
+    standards = known.select("section", "key", bumped_version(F.col("version")).alias("next")).limit(2).collect()
+    if not standards:
         raise ValueError(f"{proposal_id}: the policy has no such standard")
     new_version = bumped_version(F.col("version"))
     policy = policy_rows.withColumn("version", new_version)
-    exceptions = evidence.where(F.col("proposal_id") == proposal_id).join(
-        known.select(new_version.alias("version"), "section", "key", F.lit(proposal_id).alias("proposal_id")),
-        "proposal_id",
-    ).select("version", "section", "key", F.col("seq").alias("position"), F.col("exception").alias("text"))
+    exceptions = evidence.where(F.col("proposal_id") == proposal_id).select(
+        F.lit(standards[0]["next"]).alias("version"),
+        F.lit(standards[0]["section"]).alias("section"),
+        F.lit(standards[0]["key"]).alias("key"),
+        F.col("seq").alias("position"),
+        F.col("exception").alias("text"),
+    )
     change = known.select(
         F.lit(proposal_id).alias("proposal_id"),
         F.col("version").alias("version_from"),
@@ -136,7 +141,9 @@ def apply_proposal(
         "section",
         "key",
         "value",
-    ).join(chosen.select("proposal_id", "summary", "occurrences"), "proposal_id")
+        F.lit(chosen["summary"]).alias("summary"),
+        F.lit(chosen["occurrences"]).cast("bigint").alias("occurrences"),
+    )
     history = change.select(
         F.col("version_to").alias("version"),
         F.lit(timestamp).alias("date"),
@@ -144,7 +151,7 @@ def apply_proposal(
         "proposal_id",
         F.coalesce(F.nullif(F.lit(rationale), F.lit("")), F.col("summary")).alias("note"),
     )
-    approvals = change.select(
+    approved = change.select(
         F.concat(F.lit("APR-"), "proposal_id").alias("approval_id"),
         F.lit(timestamp).alias("timestamp"),
         "proposal_id",
@@ -153,13 +160,17 @@ def apply_proposal(
         "version_from",
         "version_to",
         "occurrences",
+        "section",
+        "key",
+        "value",
     )
+    approvals = approved.drop("section", "key", "value")
     applied = proposals.withColumn(
         "status",
         F.when(F.col("proposal_id") == proposal_id, "APPROVED_AND_APPLIED").otherwise(F.col("status")),
     )
     ledger = ledger_rows(
-        approvals.join(change.select("proposal_id", "section", "key", "value"), "proposal_id"),
+        approved,
         agent="human_approval",
         action="apply_learning_proposal",
         clause_id=F.lit("-"),
