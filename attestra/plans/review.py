@@ -47,7 +47,7 @@ class Settings:
     run_id: str
     timestamp: str
     policy: Policy = BASELINE
-    model_name: str = "keyword-evidence"
+    model_name: str = "external"
     classifier: Prompt = Prompt("classifier.v1", "Classify this clause.\n\nCLAUSE TEXT:\n{clause_text}\n")
     assessor: Prompt = Prompt(
         "risk_flagger.v1",
@@ -72,14 +72,23 @@ class Settings:
 
 def _call(
     rows: DataFrame, name: str, needed: str, prompt: Column, version: str, answer: str, settings: Settings,
-    cache: DataFrame | None,
+    cache: DataFrame | None, model: bool,
 ) -> DataFrame:
     """Attach one model call: content, cache key, who decided, usage.
 
     ``answer`` is a column of fresh model text.  Rows that do not need the call carry no key and
-    join nothing; without a cache no key is worked out at all.
+    join nothing; without a cache no key is worked out at all.  Without ``model`` there is no call: the
+    answer is the built-in evidence, which has no prompt, no usage and no place in the cache.
     """
     wanted = F.col(needed)
+    if not model:
+        return (
+            rows.withColumn(f"{name}_key", F.lit(None).cast("string"))
+            .withColumn(f"{name}_content", F.when(wanted, F.col(answer)))
+            .withColumn(f"{name}_hit", F.lit(False))
+            .withColumn(f"{name}_usage", cost.no_usage())
+            .withColumn(needed, F.lit(False))
+        )
     keyed = rows.withColumn("_prompt", F.when(wanted, prompt))
     key = cost.cache_key(F.col("_prompt"), F.lit(settings.model_name), F.lit(version))
     keyed = (
@@ -107,13 +116,20 @@ def _call(
     )
 
 
+def _decider(name: str, model_outputs: DataFrame | None) -> Column:
+    if model_outputs is None:
+        return F.lit("evidence")
+    return F.when(F.col(f"{name}_hit"), "cache").otherwise("model")
+
+
 def assess(
     silver: DataFrame, settings: Settings, cache: DataFrame | None = None, model_outputs: DataFrame | None = None
 ) -> DataFrame:
     """Scope, classification, rule findings and the second pass for every record.
 
-    ``model_outputs`` (``clause_id, classification, assessment`` as model text) replaces the
-    built-in keyword and wording evidence.  Without cache and model outputs this is map-only.
+    ``model_outputs`` (``clause_id, classification, assessment`` as model text) are decided by ``model`` (or
+    ``cache``) and cost what their tokens cost.  Without them the built-in keyword and wording evidence
+    decides, booked as ``evidence`` and free of charge; this is map-only.
     """
     rows = silver.withColumn("record_hash", F.coalesce("_lineage.record_hash", F.lit(""))).withColumn(
         "scope_reason", classify.scope_refusal(F.col("clause_text"))
@@ -142,14 +158,15 @@ def assess(
         "_class_text",
         settings,
         cache,
+        model_outputs is not None,
     )
     parsed = residue.parse_classification(F.col("class_content"))
     rows = classify.classify(
         rows,
         prefer_rules=settings.prefer_rules,
         # Our own fresh answers are structs already; only texts from elsewhere are parsed.
-        model=parsed if model_outputs is not None else F.when(F.col("class_hit"), parsed).otherwise(F.col("_own_class")),
-        model_decided_by=F.when(F.col("class_hit"), "cache").otherwise("model"),
+        model=parsed if model_outputs is not None else F.col("_own_class"),
+        model_decided_by=_decider("class", model_outputs),
     ).withColumn("review_category", F.when(in_scope, F.col("classification.category")))
 
     # The sweep for precedents covers refused records too, under their source's own category; a
@@ -177,7 +194,7 @@ def assess(
         lambda f: F.concat(F.lit("- ["), f["severity"], F.lit("] "), f["risk"], F.lit(" ("), f["standard_reference"], F.lit(")")),
     )
     existing = F.coalesce(F.nullif(F.array_join(lines, "\n"), F.lit("")), F.lit("(none)"))
-    rows = rows.withColumn("_risk_needed", gated)
+    rows = rows.withColumn("_risk_needed", gated).withColumn("_gated_risk", gated)
     if model_outputs is None:
         rows = rows.withColumn("_own_risk", F.when(gated, residue.narrative_assessment(lowered)))
         rows = rows.withColumn("_risk_text", F.to_json("_own_risk"))
@@ -197,13 +214,14 @@ def assess(
         "_risk_text",
         settings,
         cache,
+        model_outputs is not None,
     )
     parsed = residue.parse_assessment(F.col("risk_content"))
     rows = residue.merge_assessment(
         rows,
-        parsed if model_outputs is not None else F.when(F.col("risk_hit"), parsed).otherwise(F.col("_own_risk")),
-        F.col("_risk_needed"),
-        model_decided_by=F.when(F.col("risk_hit"), "cache").otherwise("model"),
+        parsed if model_outputs is not None else F.col("_own_risk"),
+        F.col("_gated_risk"),
+        model_decided_by=_decider("risk", model_outputs),
     )
     return rows.withColumn(
         "tokens", F.col("class_usage.total_tokens") + F.col("risk_usage.total_tokens")
@@ -212,7 +230,7 @@ def assess(
         F.col("class_usage.cost_usd").cast("decimal(28,8)") + F.col("risk_usage.cost_usd").cast("decimal(28,8)"),
     ).withColumn(
         "failed", in_scope & F.col("classification").isNull()
-    ).drop("_class_text", "_risk_text", "_own_class", "_own_risk")
+    ).drop("_class_text", "_risk_text", "_own_class", "_own_risk", "_gated_risk")
 
 
 def _classification_payload() -> Column:
@@ -241,7 +259,7 @@ def decision_rows(admitted: DataFrame, settings: Settings) -> DataFrame:
         lineage=F.col("_lineage"),
     )
     by_model = lambda col: F.col(col) == "model"
-    not_rule = lambda col: F.col(col) != "rule"
+    by_text = lambda col: F.col(col).isin("model", "cache")
     classified = ledger.ledger_rows(
         reviewed,
         agent="clause_classifier",
@@ -250,7 +268,7 @@ def decision_rows(admitted: DataFrame, settings: Settings) -> DataFrame:
         status=F.col("class_status"),
         model_output=_classification_payload(),
         effective_value=_classification_payload(),
-        prompt_version=F.when(not_rule("class_decided_by"), settings.classifier.version),
+        prompt_version=F.when(by_text("class_decided_by"), settings.classifier.version),
         model_name=F.when(by_model("class_decided_by"), settings.model_name),
         usage=F.col("class_usage"),
         detail=F.col("class_reason"),
@@ -265,7 +283,7 @@ def decision_rows(admitted: DataFrame, settings: Settings) -> DataFrame:
         status=F.col("risk_status"),
         model_output=_assessment_payload(),
         effective_value=_assessment_payload(),
-        prompt_version=F.when(not_rule("risk_decided_by"), settings.assessor.version),
+        prompt_version=F.when(by_text("risk_decided_by"), settings.assessor.version),
         model_name=F.when(by_model("risk_decided_by"), settings.model_name),
         usage=F.col("risk_usage"),
         detail=F.col("risk_reason"),

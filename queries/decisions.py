@@ -146,7 +146,7 @@ def _(t):
     "decision_ledger",
     f"""WITH {x.FINDINGS_CTE} SELECT 'clause_classifier' AS agent, 'classify_clause' AS action, 'rule' AS decided_by,
   CASE WHEN source_category = 'security_clearance' THEN 'escalated' ELSE 'proposed' END AS status, count(*) AS records FROM c GROUP BY ALL
-UNION ALL SELECT 'risk_flagger', 'assess_risk', CASE WHEN review_category IN ('scope_of_work', 'other') THEN 'rule' ELSE 'model' END, 'proposed', count(*) FROM c GROUP BY ALL""",
+UNION ALL SELECT 'risk_flagger', 'assess_risk', CASE WHEN review_category IN ('scope_of_work', 'other') THEN 'rule' ELSE 'evidence' END, 'proposed', count(*) FROM c GROUP BY ALL""",
 )
 def _(t):
     rows = assessed(t).withColumn("processed_before", F.lit(0).cast("bigint"))

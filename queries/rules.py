@@ -292,12 +292,13 @@ def _(t):
   (CASE WHEN fault THEN 1 ELSE 0 END)::INTEGER AS dropped_findings,
   {x.SEVERITY_NAME}[greatest(top, CASE WHEN discretion THEN 2 ELSE 0 END) + 1] AS overall_severity,
   CASE WHEN discretion THEN 0.7::DOUBLE ELSE 1.0::DOUBLE END AS risk_confidence,
-  CASE WHEN review_category IN ('scope_of_work', 'other') THEN 'rule' ELSE 'model' END AS risk_decided_by,
+  CASE WHEN review_category IN ('scope_of_work', 'other') THEN 'rule' ELSE 'evidence' END AS risk_decided_by,
   greatest(top, CASE WHEN discretion THEN 2 ELSE 0 END) >= 3 AS review_required FROM c""",
 )
 def _(t):
     merged = residue.merge_assessment(
-        findings(t), residue.narrative_assessment(F.lower("clause_text")), classify.risk_bearing(F.col("review_category"))
+        findings(t), residue.narrative_assessment(F.lower("clause_text")), classify.risk_bearing(F.col("review_category")),
+        model_decided_by=F.lit("evidence"),
     )
     return merged.select(
         "clause_id", F.size("findings").alias("findings"), "dropped_findings", "overall_severity", "risk_confidence",

@@ -177,3 +177,17 @@ def labels():
         standards = EXPECTED.get(n, [])
         out.append((c["clause_id"], CATEGORY.get(c["_category"], c["_category"]), bool(standards), standards, "note"))
     return out
+
+
+def given_outputs(silver):
+    """Model texts as they would come from outside: here the keyword and wording evidence, written out."""
+    from pyspark.sql import functions as F
+
+    from attestra.operators import classify, residue
+
+    text = F.lower(F.coalesce("clause_text", F.lit("")))
+    return silver.select(
+        "clause_id",
+        F.to_json(classify.by_keywords(text)).alias("classification"),
+        F.to_json(residue.narrative_assessment(text)).alias("assessment"),
+    )

@@ -33,7 +33,8 @@ def lake(spark, tmp_path_factory):
 def reviewed(spark, lake):
     simulated = spark.createDataFrame(corpus.SIMULATED, corpus.SIMULATED_DDL)
     settings = review.Settings("review_1", "2026-01-07T10:00:00.000Z")
-    review.review(spark, lake, settings, simulated)
+    outputs = corpus.given_outputs(spark.read.schema(schemas.SILVER).parquet(lake.path("silver")))
+    review.review(spark, lake, settings, simulated, outputs)
     return lake
 
 

@@ -85,15 +85,16 @@ def test_two_files_in_one_landing_still_report_drift(spark, silver_lake):
 
 def test_halt_accounts_for_everything_and_resume_needs_an_acknowledgement(spark, silver_lake):
     tight = review.Settings("run_a", "2026-01-07T10:00:00.000Z", max_tokens=400, use_cache=False)
-    gold = review.review(spark, silver_lake, tight)
+    outputs = corpus.given_outputs(spark.read.schema(schemas.SILVER).parquet(silver_lake.path("silver")))
+    gold = review.review(spark, silver_lake, tight, model_outputs=outputs)
     states = {r["status"]: r["count"] for r in gold.groupBy("status").count().collect()}
     assert sum(states.values()) == 20 and 0 < states["not_processed"] < 20
     seen = {r["clause_id"]: len(r["findings"]) for r in gold.where("status <> 'not_processed'").collect()}
 
     again = review.Settings("run_b", "2026-01-08T10:00:00.000Z", use_cache=False)
     with pytest.raises(RuntimeError, match="acknowledge"):
-        review.review(spark, silver_lake, again)
-    gold = review.review(spark, silver_lake, again, acknowledged="looked at it")
+        review.review(spark, silver_lake, again, model_outputs=outputs)
+    gold = review.review(spark, silver_lake, again, model_outputs=outputs, acknowledged="looked at it")
     rows = {r["clause_id"]: r for r in gold.collect()}
     assert len(rows) == 20 and all(r["status"] != "not_processed" for r in rows.values())
     # Findings from before the halt are still there, and what needs a person still says so.
@@ -126,9 +127,10 @@ def test_cached_decisions_cost_nothing(spark, silver_lake):
     silver = spark.read.schema(schemas.SILVER).parquet(silver_lake.path("silver"))
     empty = spark.createDataFrame([], schemas.CACHE)
     settings = review.Settings("c", "t")
-    first = review.assess(silver, settings, empty)
+    outputs = corpus.given_outputs(silver)
+    first = review.assess(silver, settings, empty, outputs)
     store = first.where("risk_key is not null").select(F.col("risk_key").alias("key"), F.col("risk_content").alias("value"))
-    second = review.assess(silver, settings, store)
+    second = review.assess(silver, settings, store, outputs)
     assert first.agg(F.sum("tokens")).first()[0] > 0
     assert second.agg(F.sum("tokens")).first()[0] == 0
     same = lambda df: {r["clause_id"]: (r["overall_severity"], len(r["findings"])) for r in df.collect()}
@@ -136,6 +138,20 @@ def test_cached_decisions_cost_nothing(spark, silver_lake):
     assert {r["risk_decided_by"] for r in second.collect()} == {"rule", "cache"}
 
 
+def test_evidence_is_no_model_call(spark, silver_lake):
+    silver = spark.read.schema(schemas.SILVER).parquet(silver_lake.path("silver"))
+    settings = review.Settings("e", "t")
+    with_texts = review.assess(silver, settings, model_outputs=corpus.given_outputs(silver))
+    rows = review.assess(silver, settings, spark.createDataFrame([], schemas.CACHE))
+    view = lambda df: {r["clause_id"]: (r["overall_severity"], len(r["findings"])) for r in df.collect()}
+    assert view(rows) == view(with_texts)
+    found = rows.collect()
+    assert {r["risk_decided_by"] for r in found} == {"rule", "evidence"}
+    assert all(r["tokens"] == 0 and r["risk_key"] is None and r["class_key"] is None for r in found)
+    booked = review.decision_rows(rows.withColumn("processed_before", F.lit(0).cast("bigint")), settings)
+    assert booked.where("model_name is not null or prompt_version is not null or usage.total_tokens > 0").count() == 0
+
+
 def test_sources(spark, tmp_path, silver_lake):
     policy = {"version": "2.0.0", "standards": {"payment_terms": {"max_days_to_pay": {"value": 45, "severity_if_breached": "low"}}}}
     (tmp_path / "policy.json").write_text(json.dumps(policy))
