@@ -30,7 +30,8 @@ WINDOW = 15
 LEAST_EQUAL = 12
 SHORTEST = 5  # words of the shortest item that is looked for
 MARKS = b".,;:!?\"'()[]"
-BITS = 22
+BITS = 22  # slots of the table
+PARTS = 3  # parts of a hash that must all be in the table
 RUN = 128  # places of hits that share one excerpt of the text
 
 ITEM = pa.schema([("item_id", pa.int64()), ("words", pa.list_(pa.int64()))])
@@ -71,6 +72,11 @@ def seeds(hashes: np.ndarray, shape: tuple[np.ndarray, np.ndarray]) -> np.ndarra
     return total * np.uint64(0x9E3779B97F4A7C15)
 
 
+def _slot(found: np.ndarray, part: int) -> np.ndarray:
+    """The slot of one part of each hash; part 0 are the highest bits."""
+    return ((found >> np.uint64(64 - BITS - 21 * part)) & np.uint64((1 << BITS) - 1)).astype(np.int64)
+
+
 def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         words = [word_hashes(t).view(np.int64) for t in batch.column("text").to_pylist()]
@@ -104,6 +110,8 @@ def _find(batches: Iterator[pa.RecordBatch], table, short: list[int]) -> Iterato
         for shape in forms:
             made = seeds(every, shape)
             at = np.nonzero(table[slots_of(made, BITS)])[0]
+            for part in range(1, PARTS):
+                at = at[table[_slot(made[at], part)]]
             at = at[at + shape[0][-1] < ends[owner[at]]]  # inside one text
             found.append((at, made[at]))
         at = np.concatenate([f[0] for f in found])
@@ -177,7 +185,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     made = written(items.select("item", "words").mapInArrow(_item_seeds, "seed long, item long, at int"), "seeds")
     size = F.size("words")
     short = sorted(r.n for r in items.where(size < WINDOW).select(size.alias("n")).distinct().collect())  # ten at most
-    table = presence(made.select(F.shiftrightunsigned("seed", 64 - BITS).cast("int").alias("slot")), BITS)
+    parts = [F.shiftrightunsigned("seed", 64 - BITS - 21 * k).bitwiseAND(F.lit((1 << BITS) - 1)).cast("int") for k in range(PARTS)]
+    table = presence(made.select(F.explode(F.array(*parts)).alias("slot")), BITS)
     table = spark.sparkContext.broadcast(table)
 
     texts = own_columns(docs, "doc_id", "text").withColumn("row_key", F.xxhash64(F.coalesce("text", F.lit(""))))

@@ -4,8 +4,8 @@ Words are runs of letters and digits, lower-cased.  Windows of eight words start
 shingles (five words; a template of fewer words is one shingle) get ``BANDS`` minima, one a band.  A
 window retrieves a template when a band's minimum equals that of a window of the template; template
 windows start at every word, so a window inside a copy has an equal one.  A window with Jaccard ``j`` to
-a template window is retrieved with probability ``1 - (1 - j) ** BANDS``: 0.999999 for the least case, one
-of the four shingles of a window in common.  A retrieved template is verified around the window: the
+a template window is retrieved with probability ``1 - (1 - j) ** BANDS``: 0.999999 with one of the four
+shingles of a window in common, 0.9998 for a template of three words (one of six).  A retrieved template is verified around the window: the
 share of its shingles found there must reach ``CONTAINED``.
 
 A band's minimum is the hash of a shingle, so a window that has none of the shingles that are a minimum
