@@ -165,12 +165,15 @@ def disclosures(docs: DataFrame, found: DataFrame, how: Disclosure = DEFAULT) ->
     copies = copies.select(F.xxhash64("text").alias("key"), F.crc32(F.col("text").cast("binary")).alias("key2"))
     copies = copies.groupBy("key", "key2").agg(F.count("*").alias("copies"))
     here = written(here.join(copies, ["key", "key2"]), "mentions")
+    some_here = small_side(here, row_bytes=48)
 
     terms = words.withColumn("term", _term(F.col("word"))).where("term <> ''")
     run = F.regexp_extract("word", TERM, 0)
     terms = terms.withColumn("start", F.col("start") + F.instr("word", run) - 1).withColumn("end", F.col("start") + F.length(run))
     terms = terms.select("key", "key2", "context", "term", "start", "end")
-    near = here.join(terms.select("key", "key2", "context", "term").distinct(), ["key", "key2", "context"])
+    # Only contexts that mention an identifier are left, then each of their terms counts once.
+    near = terms.join(some_here, ["key", "key2", "context"])
+    near = near.select("key", "key2", "context", "term", "entity", "copies").distinct()
     alike = F.xxhash64("key", "context")
     pairs = near.groupBy("entity", "term").agg(F.sum("copies").alias("n_ct"), F.min(alike).alias("a"), F.max(alike).alias("b"))
     pairs = written(pairs.where((F.col("n_ct") >= how.least_contexts) & (F.col("a") != F.col("b"))).drop("a", "b"), "pairs")
@@ -189,9 +192,10 @@ def disclosures(docs: DataFrame, found: DataFrame, how: Disclosure = DEFAULT) ->
     pmi = F.log2(F.lit(float(total)) * F.col("n_ct") / (F.col("n_c").cast("double") * F.col("n_t")))
     share = F.when(content > 0, pmi / content).otherwise(0.0)
     scored = written(scored.withColumn("share", share).where(F.col("share") >= how.generalise).select("entity", "term", "share"), "scored")
-    told = near.select("key", "key2", "context", "term", "entity").join(scored, ["entity", "term"])
-    told = told.groupBy("key", "key2", "context", "term").agg(F.max("share").alias("share"))
-    spans = terms.join(told, ["key", "key2", "context", "term"])
+    wide = 48 + F.octet_length("term")
+    told = near.join(small_side(scored, wide), ["entity", "term"])
+    told = written(told.groupBy("key", "key2", "context", "term").agg(F.max("share").alias("share")), "told")
+    spans = terms.join(small_side(told, wide), ["key", "key2", "context", "term"])
     kind = F.when(F.col("share") >= how.remove, "removed").otherwise("general")
     return spans.select("key", "key2", kind.alias("kind"), "start", "end")
 
