@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attestra.llm.common import own_columns, prepared, small_side, written
+from attestra.llm.encoding import release
 from attestra.llm.tables import presence, slots_of
 
 MASKS = ("11001010011", "11010001101", "10101100101", "10001101101", "11011100001")
@@ -98,6 +99,7 @@ def _item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _find(batches: Iterator[pa.RecordBatch], table, short: list[int]) -> Iterator[pa.RecordBatch]:
     """Excerpts of texts with the places of hashes that a test item may have."""
+    release()
     table, forms = table.value, shapes(short)
     for batch in batches:
         texts = [word_hashes(t) for t in batch.column("text").to_pylist()]

@@ -27,7 +27,8 @@ GAPS = re.compile(r"\s\s")
 BOUNDARY = re.compile(r"(?<=\S)(?=\s)")
 BLOCK = 1 << 20  # characters that are cut into words at once
 LONGEST = 64  # characters of a word that is worth keeping
-KEPT = 600_000  # words of one generation of the cache
+KEPT = 500_000  # words of one generation of the cache
+SLICE = 4096  # words that the library encodes at once
 
 
 class Encoder:
@@ -43,8 +44,11 @@ class Encoder:
         self.older: dict[str, bytes] = {}
 
     def by_library(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+        out = []
+        for at in range(0, len(texts), SLICE):  # the library's own results are much larger than the ids
+            found = self.tokenizer.encode_batch_fast(texts[at : at + SLICE], add_special_tokens=False)
+            out += [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+        return out
 
     def words(self, text: str) -> list[str]:
         """Keys of the words of a text whose ids, joined, are the text's."""
@@ -198,3 +202,8 @@ def encoder(path: str) -> Encoder:
     if path not in _encoders:
         _encoders[path] = kind(path)(path)
     return _encoders[path]
+
+
+def release() -> None:
+    """Give up the caches: workers outlive a job, and the next operator may need their memory."""
+    _encoders.clear()

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attestra.llm.common import own_columns, prepared, small_side, written
+from attestra.llm.encoding import release
 from attestra.llm.tables import frequency_levels, presence
 from attestra.llm.words import BITS, lines, mixed
 
@@ -65,6 +66,7 @@ def _slots(words: np.ndarray, bits: int) -> np.ndarray:
 
 def _count_words(batches: Iterator[pa.RecordBatch], least: int, bits: int) -> Iterator[pa.RecordBatch]:
     """For each slot, in how many lines of the task one of its words occurs."""
+    release()
     counts = np.zeros(1 << bits, np.int64)
     for batch in batches:
         for found in lines(batch.column("text")):

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from attestra.llm.common import own_columns, prepared, small_side, written
+from attestra.llm.encoding import release
 
 SYMBOLS = "#*$%&|<>"
 GAPS = " \t\n\v\f\r"
@@ -69,6 +70,7 @@ def measures(text: str | None) -> tuple[int, ...]:
 
 
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    release()
     for batch in batches:
         rows = [measures(t) for t in batch.column("text").to_pylist()]
         columns = np.array(rows, np.int64).reshape(-1, len(COUNTS)).T
@@ -81,6 +83,7 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _measured(texts: pd.Series) -> pd.DataFrame:
+    release()
     return pd.DataFrame([measures(t) for t in texts], columns=list(COUNTS), dtype="int64")
 
 

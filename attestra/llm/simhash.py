@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from attestra.llm.common import own_columns, prepared, small_side, written
 from attestra.llm.components import components
+from attestra.llm.encoding import release
 
 SEED = 42
 QUARTERS = 4
@@ -48,6 +49,7 @@ def fingerprint(text: str | None, shingle: int = 3, seed: int = SEED) -> int:
 
 
 def _fingerprints(batches: Iterator[pa.RecordBatch], shingle: int, seed: int) -> Iterator[pa.RecordBatch]:
+    release()
     for batch in batches:
         found = np.array([fingerprint(t, shingle, seed) for t in batch.column("text").to_pylist()], dtype="<u8")
         yield pa.RecordBatch.from_arrays(
