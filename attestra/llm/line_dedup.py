@@ -245,8 +245,8 @@ def _fetch(batches: Iterator[pa.RecordBatch], wanted, bits: int, least: int) ->
         for doc_id, key, text in zip(batch.column("doc_id").to_pylist(), batch.column("row_key").to_pylist(), texts, strict=True):
             for number, line in enumerate((text or "").encode().split(b"\n")):
                 if len(line) >= 2 * least - 1 and wanted[_wanted_slot(doc_id, key, number, bits)]:
-                    out.append((doc_id, key, number, sorted(words_of(line))))
-        types = [pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.binary())]
+                    out.append((doc_id, key, number, [w.decode() for w in sorted(words_of(line))]))
+        types = [pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.string())]
         columns = zip(*out, strict=True) if out else [[]] * 4
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], [*PLACE, "words"])
 
@@ -322,7 +322,7 @@ class _Join:
         wanted = self.spark.sparkContext.broadcast(presence(slots, bits))
         fetched = self.texts.mapInArrow(
             partial(_fetch, wanted=wanted, bits=bits, least=how.least_words),
-            "doc_id long, row_key long, line int, words array<binary>",
+            "doc_id long, row_key long, line int, words array<string>",
         )
         # Rows equal in id and text are read twice.
         found = places.alias("p").join(fetched.alias("f"), _on_place("p", "f")).select("p.id", "f.words")
