@@ -167,12 +167,16 @@ def near_duplicates(docs: DataFrame, radius: int = 2, shingle: int = 3, seed: in
 
 
 def one_of_each(docs: DataFrame, radius: int = 2, shingle: int = 3, seed: int = SEED) -> DataFrame:
-    """``docs`` with its own columns and one row of each component: the one with the smallest ``doc_id``.
+    """``docs`` with its own columns and one row of each component, see ``first_of_each``."""
+    return first_of_each(docs, written(near_duplicates(docs, radius, shingle, seed), "classes"))
+
+
+def first_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """One row of each ``root`` of the written ``found`` (``doc_id, row_key, root``): the one with the smallest ``doc_id``.
 
     Ties are broken by a hash of the text; of rows that agree in both, any one stays.  A null ``doc_id``
     stays only where a component has no other.
     """
-    found = written(near_duplicates(docs, radius, shingle, seed), "classes")
     place = F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "row_key")
     first = found.groupBy("root").agg(F.min(place).alias("first"))
     one = first.select(F.col("first.doc_id").alias("_id"), F.col("first.row_key").alias("_key"))
