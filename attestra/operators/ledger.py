@@ -73,17 +73,24 @@ def record_hash() -> Column:
     return F.coalesce("lineage.record_hash", F.lit(""))
 
 
+def record_lineage(record: Column) -> Column:
+    """A lineage that says only which record a row is about; null for all records of its id."""
+    return F.when(record.isNotNull(), F.from_json(F.to_json(F.struct(record.alias("record_hash"))), schemas.LINEAGE))
+
+
 def _identified(ledger: DataFrame) -> DataFrame:
     parts = [F.coalesce(F.get_json_object("human_decision", f"$.{n}"), F.lit("")) for n in DECISION]
     version = F.coalesce("firm_standards_version", F.lit(""))
-    return ledger.withColumn("_identity", F.struct("clause_id", "action", record_hash(), version, *parts))
+    return ledger.withColumn("_identity", F.struct("clause_id", "action", version, *parts)).withColumn("_hash", record_hash())
 
 
 def not_yet_recorded(arriving: DataFrame, ledger: DataFrame) -> DataFrame:
     """Rows the ledger does not hold yet: another record, action or policy version, or for human decisions
-    another reviewer, field, date, source or value."""
-    known = _identified(ledger).select("_identity")
-    return _identified(arriving).join(known, "_identity", "left_anti").select(*arriving.columns)
+    another reviewer, field, date, source or value.  A recorded human decision without a record stands for all of its id."""
+    every = (F.col("_hash") == "") & F.col("human_decision").isNotNull()
+    known = _identified(ledger).select(F.col("_identity").alias("_known"), F.col("_hash").alias("_record"), every.alias("_every"))
+    same = (F.col("_identity") == F.col("_known")) & ((F.col("_hash") == F.col("_record")) | F.col("_every"))
+    return _identified(arriving).join(known, same, "left_anti").select(*arriving.columns)
 
 
 def latest(ledger: DataFrame, keys: Sequence[str] = ("clause_id", "action"), order: Sequence[str] = ("seq",)) -> DataFrame:

@@ -127,7 +127,8 @@ def assess(
 ) -> DataFrame:
     """Scope, classification, rule findings and the second pass for every record.
 
-    ``model_outputs`` (``clause_id, classification, assessment`` as model text) are decided by ``model`` (or
+    ``model_outputs`` (``clause_id, classification, assessment`` as model text; those with a ``record_hash`` are
+    for that record only and go first, of several the greatest texts count) are decided by ``model`` (or
     ``cache``) and cost what their tokens cost.  Without them the built-in keyword and wording evidence
     decides, booked as ``evidence`` and free of charge; this is map-only.
     """
@@ -137,10 +138,12 @@ def assess(
     text = F.coalesce("clause_text", F.lit(""))
     lowered = F.lower(text)
     if model_outputs is not None:
-        offered = model_outputs.select(
-            "clause_id", F.col("classification").alias("_class_text"), F.col("assessment").alias("_risk_text")
-        ).dropDuplicates(["clause_id"])
-        rows = rows.join(offered, "clause_id", "left")
+        texts = F.max(F.struct(F.col("classification").alias("_class_text"), F.col("assessment").alias("_risk_text")))
+        named = model_outputs.withColumn("record_hash", reviews.named_record(model_outputs))
+        own = named.where("record_hash is not null").groupBy(*ORDER).agg(texts.alias("_own"))
+        every = named.where("record_hash is null").groupBy("clause_id").agg(texts.alias("_every"))
+        rows = rows.join(own, list(ORDER), "left").join(every, "clause_id", "left")
+        rows = rows.withColumn("_given", F.coalesce("_own", "_every")).select("*", "_given.*").drop("_own", "_every", "_given")
     in_scope = F.col("scope_reason").isNull()
     ruled = F.coalesce(
         classify.review_category(F.col("clause_category")).isNotNull() & F.lit(settings.prefer_rules), F.lit(False)
@@ -439,9 +442,7 @@ def review(
     known = lake.read(spark, "ledger", schemas.LEDGER)
     state = ledger.rehydrate(known.where(F.col("agent").isin("clause_classifier", "risk_flagger")), ("timestamp", "seq"))
     sides = state.where("overall_severity is not null").join(ledger.completed(known), list(ORDER), "left_semi")
-    # A review names an id: where records share one, it meets the last of them.
-    last_side = F.max_by(F.struct("findings", "overall_severity", F.col("status").alias("risk_status")), "record_hash")
-    sides = sides.groupBy("clause_id").agg(last_side.alias("s")).select("clause_id", "s.*")
+    sides = sides.select(*ORDER, "findings", "overall_severity", F.col("status").alias("risk_status"))
     reconciled = reviews.reconcile(reviews.human_reviews(silver, simulated), sides)
     recorded = lake.read(spark, "overrides", schemas.OVERRIDES)
     sinks.append(reviews.overrides(reconciled, recorded=recorded), lake.path("overrides"))

@@ -77,5 +77,5 @@ LOGS = "timestamp string, severity string, event string, body string, trace_id s
 
 OVERRIDES = (
     "override_id string, clause_id string, agent string, reviewer string, date string, field string, model_value string, "
-    f"human_value string, rationale string, source string, findings array<{FINDING}>, seq bigint"
+    f"human_value string, rationale string, source string, findings array<{FINDING}>, seq bigint, record_hash string"
 )
