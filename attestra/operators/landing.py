@@ -10,12 +10,13 @@ from attestra.functions.json_values import record_hash
 from attestra.session import broadcast_if_small, cut_lineage, text_bytes
 
 
-def envelope(records: DataFrame, ingested_at: Column, attempt: int = 1) -> DataFrame:
+def envelope(records: DataFrame, ingested_at: Column, attempt: int | Column = 1) -> DataFrame:
     """Metadata wraps the record and is never merged into it.
 
     ``records``: ``run_id, source_file, source_sha256, source_api_version, record_index,
-    payload, schema_fingerprint``.
+    payload, schema_fingerprint``, and ``record_hash`` where it is known already.
     """
+    known = "record_hash" in records.columns
     return records.select(
         F.struct(
             F.lit(fixed.CONTRACT_VERSION).alias("contract_version"),
@@ -25,11 +26,11 @@ def envelope(records: DataFrame, ingested_at: Column, attempt: int = 1) -> DataF
             F.col("source_api_version"),
             ingested_at.alias("ingested_at"),
             F.col("record_index"),
-            record_hash(F.col("payload")).alias("record_hash"),
+            (F.col("record_hash") if known else record_hash(F.col("payload"))).alias("record_hash"),
             F.col("schema_fingerprint"),
         ).alias("_bronze"),
         F.col("payload"),
-        F.lit(attempt).alias("attempt"),
+        (F.lit(attempt) if isinstance(attempt, int) else attempt).alias("attempt"),
         F.substring(ingested_at, 1, 10).alias("ingest_date"),
         F.col("run_id"),
     )

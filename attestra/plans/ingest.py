@@ -5,60 +5,93 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from attestra import fixed_values as fixed
 from attestra import schemas
-from attestra.operators import drift, landing, registry
+from attestra.operators import drift, landing, quarantine, registry
 from attestra.operators.inventory import fingerprint, inventory
 from attestra.plans.lake import Lake
 from attestra.session import broadcast_if_small, cut_lineage, text_bytes
 from attestra.sources import sinks
-from attestra.sources.documents import explode_records, file_documents, parse_documents, snapshot_sources
+from attestra.sources.documents import checked_records, records_only, snapshot_sources, split_documents
 
-BRONZE_TABLE = f"{schemas.BRONZE}, attempt int, ingest_date string, run_id string"
+BRONZE_TABLE = f"{schemas.BRONZE}, attempt int, run_id string, ingest_date string, landing string"
 DRIFT_EVENTS = (
     "run_id string, source string, kind string, severity string, path string, detail string, "
     "action_required string, confidence double, evidence string"
 )
+DOCUMENT_KEYS = ("run_id", "source_file", "source_sha256")
 
 
-def ingest(spark: SparkSession, lake: Lake, paths: str | list[str], ingested_at: str, restart: bool = False) -> DataFrame:
+def ingest(
+    spark: SparkSession, lake: Lake, paths: str | list[str], ingested_at: str, restart: bool = False, strict_enum: bool = False
+) -> DataFrame:
     """Land every document under ``paths``; returns the manifests of the runs landed now.
 
-    Run ids come from file content, so files that are already complete are skipped.
-    ``restart`` lands them again as a new attempt; earlier attempts are kept.
+    Run ids come from file content, so files that were landed before are skipped.
+    ``restart`` lands them again as a new attempt; earlier attempts are kept.  ``strict_enum`` compares values
+    of identical shapes too.
     """
-    return land_files(spark, lake, snapshot_sources(spark, paths), ingested_at, restart)
+    return land_files(spark, lake, snapshot_sources(spark, paths), ingested_at, restart, strict_enum)
 
 
-def land_files(spark: SparkSession, lake: Lake, files: DataFrame, ingested_at: str, restart: bool = False) -> DataFrame:
-    complete = lake.runs(spark).where(F.col("status") == "complete").select("run_id")
+def land_files(
+    spark: SparkSession, lake: Lake, files: DataFrame, ingested_at: str, restart: bool = False, strict_enum: bool = False
+) -> DataFrame:
+    """Snapshot, one parse, Bronze, rejects, manifests, drift.
+
+    The exact bytes are kept first and everything else reads them.  They are split and checked once; that
+    table serves the shapes, Bronze, the rejects and the counts.  A record that cannot be landed is a row of
+    ``rejects`` with its reason, bytes and place: it stops neither its file nor the others.
+    """
+    listed = files.groupBy("run_id").agg(F.min("path").alias("path"))
     attempt = 1
     if restart:
         attempt = (lake.runs(spark).agg(F.max("attempt").alias("a")).first()["a"] or 0) + 1
     else:
-        files = files.join(complete, "run_id", "left_anti")
-    sinks.land_snapshots(files, ingested_at, lake.path("source_snapshots"))
-    documents = parse_documents(file_documents(files))
-    heads = documents.drop("records")
-    records = explode_records(documents, "run_id", "source_file", "source_sha256", "source_api_version")
+        landed = lake.runs(spark).where(F.col("status").isin("complete", "quarantined")).select("run_id")
+        listed = listed.join(landed, "run_id", "left_anti")
+    listed = cut_lineage(listed)
+    count, mark = listed.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("run_id"))).first()
+    if not count:
+        return spark.createDataFrame([], schemas.RUNS)
+    name = f"{attempt}-{count}-{mark % (1 << 64):016x}"
+
+    arriving = files.join(broadcast_if_small(listed.select("path"), text_bytes("path")), "path", "left_semi")
+    kept = arriving.select(*DOCUMENT_KEYS, "length", "content", F.lit(ingested_at).alias("ingested_at"), F.lit(name).alias("landing"))
+    sinks.land(kept, lake.path("source_snapshots"))
+    kept = lake.read(spark, "source_snapshots", schemas.SNAPSHOTS).where(F.col("landing") == name)
+    split = cut_lineage(checked_records(split_documents(kept, DOCUMENT_KEYS)))
+    records = records_only(split)
 
     shapes = inventory(records, ["run_id"])
     # One row per run landed now: its bytes are added up before it is broadcast, so that records are not shuffled.
     prints = cut_lineage(fingerprint(shapes, ["run_id"]).select("run_id", "schema_fingerprint"))
     stamped = records.join(broadcast_if_small(prints, text_bytes("run_id", "schema_fingerprint")), "run_id", "left")
-    bronze = landing.envelope(stamped, F.lit(ingested_at), attempt)
-    if restart:
-        # A new attempt is added next to the old ones.
-        sinks.append(bronze, lake.path("bronze"), ("ingest_date", "run_id"))
-    else:
-        sinks.land_bronze(bronze, lake.path("bronze"))
+    bronze = landing.envelope(stamped, F.lit(ingested_at), attempt).withColumn("landing", F.lit(name))
+    sinks.land(bronze, lake.path("bronze"), "ingest_date")
+    sinks.land(quarantine.rejects(split, ingested_at, attempt, name), lake.path("rejects"))
+
+    manifests = cut_lineage(manifest(spark, lake, split, prints, ingested_at, attempt, name))
+    sinks.append(manifests, lake.path("runs"))
+    # The drift step runs after the data is safely in place.
+    detect(spark, lake, manifests, shapes, ingested_at, strict_enum)
+    return manifests
+
 
-    landed = spark.read.schema(BRONZE_TABLE).parquet(lake.path("bronze")).where(
-        (F.col("ingest_date") == ingested_at[:10]) & (F.col("attempt") == attempt)
+def manifest(spark: SparkSession, lake: Lake, split: DataFrame, prints: DataFrame, ingested_at: str, attempt: int, name: str) -> DataFrame:
+    """What became of each run of a landing: records in the source are those written and those rejected."""
+    day = F.col("ingest_date") == ingested_at[:10]
+    written = lake.read(spark, "bronze", BRONZE_TABLE).where(day & (F.col("landing") == name))
+    counted = landing.run_manifest(written)
+    refused = split.where(F.col("reason").isNotNull()).groupBy("run_id").agg(
+        F.count("record_index").alias("records_rejected"), F.lit(True).alias("_refused")
     )
-    counted = landing.run_manifest(landed)
+    heads = split.where(F.col("record_index").isNull() & F.col("reason").isNull())
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
-    manifests = (
+    nothing = F.col("_refused") & F.col("records_written").isNull()
+    return (
         heads.join(counted, "run_id", "left")
+        .join(refused, "run_id", "left")
         .join(prints, "run_id", "left")
         .select(
             "run_id",
@@ -67,20 +100,46 @@ def land_files(spark: SparkSession, lake: Lake, files: DataFrame, ingested_at: s
             "source_sha256",
             "source_api_version",
             F.lit(ingested_at).alias("ingested_at"),
-            F.lit("complete").alias("status"),
+            F.when(nothing, "quarantined").otherwise("complete").alias("status"),
             "records_in_source",
             zero("records_written"),
             zero("unique_record_hashes"),
             zero("duplicates_from_replay"),
             "schema_fingerprint",
+            F.lit(fixed.CONTRACT_VERSION).alias("contract_version"),
             "source",
+            "source_metadata",
+            F.lit(ingested_at).alias("completed_at"),
+            zero("records_rejected"),
+            F.lit(fixed.DELIVERY_GUARANTEE).alias("delivery_guarantee"),
+            F.lit(name).alias("landing"),
         )
     )
-    # The drift step runs after the data is safely in place.
-    manifests = cut_lineage(manifests)
-    sinks.append(manifests.drop("source"), lake.path("runs"))
-    detect(spark, lake, manifests, shapes, ingested_at)
-    return manifests
+
+
+def open_rejects(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Rejects that no correction has landed yet."""
+    return quarantine.still_open(lake.read(spark, "rejects", schemas.REJECTS), lake.read(spark, "reject_resolutions", schemas.RESOLUTIONS))
+
+
+def resubmit(spark: SparkSession, lake: Lake, corrections: DataFrame, resolved_at: str) -> DataFrame:
+    """Land corrected records under the run, file and place of their rejects; returns a row per correction.
+
+    Corrections are checked like any record.  What fails stays open; what was landed before lands no more.
+    """
+    tried = cut_lineage(quarantine.corrected(open_rejects(spark, lake), corrections))
+    count, mark = tried.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("reject_id", "payload"))).first()
+    name = f"resubmitted-{count}-{(mark or 0) % (1 << 64):016x}"
+    prints = lake.runs(spark).groupBy("run_id", "attempt").agg(F.max("schema_fingerprint").alias("schema_fingerprint"))
+    good = tried.where(F.col("reason").isNull()).join(prints, ["run_id", "attempt"], "left")
+    rows = landing.envelope(good, F.lit(resolved_at), F.col("attempt")).withColumn("landing", F.lit(name))
+    sinks.land(rows, lake.path("bronze"), "ingest_date")
+    outcome = tried.select(
+        "reject_id", "corrected_by", F.lit(resolved_at).alias("resolved_at"),
+        F.when(F.col("reason").isNull(), "landed").otherwise("rejected").alias("outcome"), "reason", "record_hash",
+    )
+    sinks.append(outcome, lake.path("reject_resolutions"))
+    return cut_lineage(outcome)
 
 
 def detect(spark: SparkSession, lake: Lake, manifests: DataFrame, shapes: DataFrame, ingested_at: str, strict_enum: bool = False) -> DataFrame:

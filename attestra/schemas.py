@@ -10,8 +10,19 @@ BRONZE = f"_bronze struct<{', '.join(p.strip().replace(' ', ':', 1) for p in BRO
 RUNS = (
     "run_id string, attempt int, source_file string, source_sha256 string, source_api_version string, "
     "ingested_at string, status string, records_in_source bigint, records_written bigint, "
-    "unique_record_hashes bigint, duplicates_from_replay bigint, schema_fingerprint string"
+    "unique_record_hashes bigint, duplicates_from_replay bigint, schema_fingerprint string, "
+    "contract_version string, source string, source_metadata string, completed_at string, "
+    "records_rejected bigint, delivery_guarantee string, landing string"
 )
+SNAPSHOTS = (
+    "source_file string, source_sha256 string, run_id string, length bigint, content binary, ingested_at string, landing string"
+)
+REJECTS = (
+    "reject_id string, run_id string, attempt int, source_file string, source_sha256 string, source_api_version string, "
+    "ingested_at string, record_index bigint, byte_offset bigint, bytes bigint, reason string, raw binary, landing string"
+)
+CORRECTIONS = "reject_id string, payload string, corrected_by string"
+RESOLUTIONS = "reject_id string, corrected_by string, resolved_at string, outcome string, reason string, record_hash string"
 
 INVENTORY = "path string, types array<string>, present_count bigint, null_count bigint, values array<string>"
 

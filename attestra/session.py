@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,24 +43,25 @@ def local_session(cores: int | str = 8, partitions: int = 8, memory: str = "8g")
     return configure(spark)
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder the cluster names; fall back to a local one in local mode only."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        context.setCheckpointDir(shared)
-    elif context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
-    else:
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the one every executor can reach; in local mode, without one, a temporary folder.
+
+    That is ``spark.checkpoint.dir``, or the folder the context was given.  Files there must outlive whatever
+    reads them; whoever owns the folder clears it.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+        base = tempfile.mkdtemp(prefix="run-")
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and read it back from there."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` to the shared folder as Parquet and read it back: later steps repeat nothing and prune columns."""
+    folder = shared_folder(df.sparkSession, "step")
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
 def broadcast_if_small(df: DataFrame, row_bytes: Column, max_bytes: int = 8 << 20) -> DataFrame:

@@ -6,28 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def land_bronze(bronze: DataFrame, path: str) -> None:
-    """Write a landing under ``ingest_date=/run_id=``.
+def land(rows: DataFrame, path: str, *partitions: str) -> None:
+    """Write a landing under ``.../landing=<id>``, replacing what the same landing wrote before.
 
-    Only the partitions of the arriving runs are replaced, so landing the same file again
-    leaves the same table.  Rows are not shuffled by run: a run that holds a third of the
-    table is written by all of its tasks.
+    The id follows from the runs that are landed together, so landing the same files again leaves the same
+    table.  Rows are not shuffled by run: a run that holds a third of the table is written by all of its
+    tasks, and a million small files make one folder.
     """
     (
-        bronze.write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("ingest_date", "run_id")
-        .parquet(path)
-    )
-
-
-def land_snapshots(files: DataFrame, ingested_at: str, path: str) -> None:
-    """Keep the exact source bytes next to the records, one partition per run."""
-    (
-        files.select("source_file", "source_sha256", "length", "content", F.lit(ingested_at).alias("ingested_at"), "run_id")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run_id")
+        .partitionBy(*partitions, "landing")
         .parquet(path)
     )
 

@@ -37,7 +37,7 @@ def completed_only(bronze: DataFrame, runs: DataFrame, run_col: str = "run_id")
 
 def read_bronze(spark: SparkSession, path: str, runs_path: str | None = None) -> DataFrame:
     """Landed records, oldest run first by (ingest_date, run_id, record_index) when sorted."""
-    ddl = f"{schemas.BRONZE}, attempt int, ingest_date string, run_id string"
+    ddl = f"{schemas.BRONZE}, attempt int, run_id string, ingest_date string, landing string"
     bronze = spark.read.schema(ddl).parquet(path)
     if runs_path is None:
         return bronze

@@ -45,18 +45,19 @@ def start_landing(
     folder: str,
     clock: Callable[[int], str],
     control_path: str | None = None,
+    strict_enum: bool = False,
 ) -> StreamingQuery:
     """Land all files that are there now, then stop (``availableNow``).
 
-    The stream's checkpoint remembers the files; the run id makes a replayed batch replace
-    itself.  ``clock`` gives the ingestion time of a batch by its number.
+    The stream's checkpoint remembers the files; the landing's name, which follows from its runs, makes a
+    replayed batch replace itself.  ``clock`` gives the ingestion time of a batch by its number.
     """
 
     def land(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         if is_paused(session, control_path):
             raise PausedByOperator(f"paused before batch {batch_id}")
-        land_files(session, lake, batch, clock(batch_id))
+        land_files(session, lake, batch, clock(batch_id), strict_enum=strict_enum)
 
     return (
         stream_documents(spark, folder)
@@ -68,10 +69,15 @@ def start_landing(
 
 
 def run_landing(
-    spark: SparkSession, lake: Lake, folder: str, clock: Callable[[int], str], control_path: str | None = None
+    spark: SparkSession,
+    lake: Lake,
+    folder: str,
+    clock: Callable[[int], str],
+    control_path: str | None = None,
+    strict_enum: bool = False,
 ) -> str:
     """Run one landing to its end; ``complete`` or ``paused``."""
-    query = start_landing(spark, lake, folder, clock, control_path)
+    query = start_landing(spark, lake, folder, clock, control_path, strict_enum)
     try:
         query.awaitTermination()
     except StreamingQueryException as stopped:

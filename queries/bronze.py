@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from attestra.functions import json_values
 from attestra.operators import landing
-from attestra.sources.documents import explode_documents
+from attestra.sources.documents import checked_records, records_only, split_documents
 from attestra.sources.tables import completed_only
 from queries import query
 
@@ -153,7 +153,8 @@ WHERE o_orderstatus = 'O' OR (o_orderstatus = 'F' AND i = 0)""",
 )
 def _(t):
     documents = t.spread("orders").select("o_orderkey", F.expr(DOCUMENT).alias("document"))
-    return explode_documents(documents).select(
+    split = split_documents(documents.withColumn("content", F.col("document").cast("binary")), ("o_orderkey",))
+    return records_only(checked_records(split)).select(
         "o_orderkey",
         "source",
         "source_api_version",
