@@ -109,3 +109,35 @@ def nth_in_group(
         .where(F.col("_row") == F.col("_local"))
         .select(*df.columns)
     )
+
+
+def beside(
+    df: DataFrame,
+    group: Sequence[str],
+    order: Sequence[str],
+    values: Mapping[str, Column],
+    after: bool = False,
+    ranges: int | None = None,
+) -> DataFrame:
+    """Add ``values`` of the row before (or ``after``) each row in ``order`` within its group; null at the ends.
+
+    ``order`` must be total within the group.  Rows are cut into ranges of (group, order); what a range
+    cannot see is the nearest row of the range next door, one row per range, which is carried over.  A group of any
+    size is spread over many tasks.  Columns that ``values`` name and the table has are replaced.
+    """
+    cut = with_range(df, [*group, *order], ranges)
+    value = F.struct(*[c.alias(n) for n, c in values.items()])
+    inside = Window.partitionBy(*group, RANGE).orderBy(*order)
+    near = (F.lead if after else F.lag)(value).over(inside)
+    place = F.struct(*[F.col(c) for c in (*group, *order)])
+    own = F.struct(F.struct(*[F.col(c) for c in group], F.lit(0).alias("_0")).alias("group"), value.alias("value"))
+    edges = cut.groupBy(RANGE).agg((F.min_by if after else F.max_by)(own, place).alias("_own"))
+    # One row per range.
+    along = Window.partitionBy(F.lit(0)).orderBy(RANGE)
+    edges = edges.select(RANGE, (F.lead if after else F.lag)("_own").over(along).alias("_edge"))
+    same = F.col("_edge").isNotNull()
+    for c in group:
+        same = same & F.col(c).eqNullSafe(F.col(f"_edge.group.`{c}`"))
+    joined = cut.join(F.broadcast(edges), RANGE, "left")
+    joined = joined.withColumn("_near", F.coalesce(near, F.when(same, F.col("_edge.value"))))
+    return joined.select(*[c for c in df.columns if c not in values], *[F.col(f"_near.`{n}`").alias(n) for n in values])

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from attestra.operators.ordering import beside
+
 REGISTRY_COLUMNS = (
     "source",
     "api_version",
@@ -33,14 +35,9 @@ def baseline(batches: DataFrame, registry: DataFrame, strict_enum: bool = False)
         F.lit(-1).cast("bigint").alias("seq"),
     )
     arriving = batches.select("source", "api_version", "fingerprint", "run_id", F.col("seq").cast("bigint").alias("seq"))
-    # One row per batch of a source: a list of landings, not of records.
-    before = Window.partitionBy("source").orderBy("seq")
-    chained = landed.unionByName(arriving).select(
-        "source",
-        "run_id",
-        "seq",
-        *[F.lag(c).over(before).alias(f"previous_{c}") for c in ("api_version", "fingerprint", "run_id", "seq")],
-    )
+    # A source may land any number of batches: the one before is carried over order ranges.
+    before = {f"previous_{c}": F.col(c) for c in ("api_version", "fingerprint", "run_id", "seq")}
+    chained = beside(landed.unionByName(arriving), ["source"], ["seq"], before).select("source", "run_id", "seq", *before)
     same = (F.col("previous_version") == F.col("api_version")) & (
         F.col("previous_fingerprint") == F.col("fingerprint")
     )

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attestra import fixed_values as fixed
 from attestra import schemas
 from attestra.operators import drift, landing, quarantine, registry
 from attestra.operators.inventory import fingerprint, inventory
+from attestra.operators.ordering import number_rows
 from attestra.plans.lake import Lake
 from attestra.session import broadcast_if_small, cut_lineage, text_bytes
 from attestra.sources import sinks
@@ -146,18 +147,17 @@ def detect(spark: SparkSession, lake: Lake, manifests: DataFrame, shapes: DataFr
     """Compare each landed run with the one before it from its source; update the registry."""
     known = lake.snapshot(spark, "registry", schemas.REGISTRY)
     known_paths = lake.snapshot(spark, "registry_inventory", schemas.REGISTRY_INVENTORY)
-    # Runs landed together follow each other by file name, then run id (a short list).
-    seq = F.row_number().over(Window.partitionBy("source").orderBy("source_file", "run_id"))
-    batches = manifests.select(
+    # Runs landed together follow each other by file name, then run id.
+    batches = number_rows(manifests, ["source_file", "run_id"], "seq", ["source"]).select(
         "source",
         F.col("source_api_version").alias("api_version"),
         F.col("schema_fingerprint").alias("fingerprint"),
         "run_id",
         F.col("records_in_source").alias("record_count"),
         "ingested_at",
-        seq.cast("bigint").alias("seq"),
+        "seq",
     )
-    batches = registry.baseline(batches, known, strict_enum)
+    batches = cut_lineage(registry.baseline(batches, known, strict_enum))
     fields = ("path", "types", "present_count", "null_count", "values")
     changed = batches.where(F.col("baseline_kind") == "diff")
     new = shapes.join(changed.select("run_id"), "run_id", "left_semi").select("run_id", *fields)

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from attestra import fixed_values as fixed
 from attestra import schemas
-from attestra.operators import landing, silver, supersession
+from attestra.operators import history, landing, silver, supersession
 from attestra.plans.ingest import BRONZE_TABLE
 from attestra.plans.lake import Lake
 from attestra.sources import sinks
@@ -33,6 +34,38 @@ def normalise(spark: SparkSession, lake: Lake, aliases: dict[str, str]) -> DataF
     return written
 
 
+HISTORY = f"{schemas.SILVER}, valid_from string, valid_to string, change_hash string, landed string, changed boolean, generation long"
+REPLACED = "clause_id string, generation long, by long"
+GENERATIONS = "generation long, committed_at string"
+
+
+def silver_history(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Every version of every clause with the time it was valid (``valid_to`` null: current)."""
+    rows = lake.read(spark, "silver_history", HISTORY)
+    replaced = lake.read(spark, "silver_history_replaced", REPLACED)
+    return history.current_rows(rows, replaced, lake.read(spark, "silver_history_generations", GENERATIONS), "clause_id")
+
+
+def update_history(spark: SparkSession, lake: Lake, committed_at: str, arriving: DataFrame | None = None) -> DataFrame:
+    """Merge Silver (or the rows of it that ``arriving`` gives) into its history; returns the history.
+
+    A clause is valid from its last modification, or from its landing where it does not say.  Only clauses
+    with a version that the history lacks are written again.  The generation's row is written last: a merge
+    that broke off counts for nothing, and the next one replaces it.
+    """
+    rows = arriving if arriving is not None else spark.read.schema(schemas.SILVER).parquet(lake.path("silver"))
+    landed = F.col("_lineage.ingested_at")
+    content = [*fixed.SILVER_ORDER, "_unmapped_fields"]
+    new = history.versions(rows, "clause_id", F.coalesce("last_modified", landed), content, landed)
+    generation = (lake.read(spark, "silver_history_generations", GENERATIONS).agg(F.max("generation").alias("g")).first()["g"] or 0) + 1
+    merged, replaced = history.merge(silver_history(spark, lake), new, "clause_id")
+    named = merged.withColumn("generation", F.lit(generation).cast("bigint"))
+    sinks.replace_partition(named, lake.path("silver_history"), "generation")
+    sinks.replace_partition(replaced.withColumn("by", F.lit(generation).cast("bigint")), lake.path("silver_history_replaced"), "by")
+    sinks.append(spark.createDataFrame([(generation, committed_at)], GENERATIONS), lake.path("silver_history_generations"))
+    return silver_history(spark, lake)
+
+
 def propose_supersessions(spark: SparkSession, lake: Lake) -> DataFrame:
     """Write the proposals; Silver is left as it is."""
     written = spark.read.schema(schemas.SILVER).parquet(lake.path("silver"))

@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 import json
-import sys
 from collections.abc import Iterator, Sequence
 from functools import partial
-from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +12,7 @@ from pyspark.sql import functions as F
 
 from attestra.functions.binding import bind
 from attestra.functions.json_values import run_id
+from attestra.session import reachable
 from attestra.sources.splitting import pieces
 
 RECORDS_FIELD = "clauses"
@@ -130,23 +129,13 @@ def split_documents(documents: DataFrame, keys: Sequence[str], records_field: st
     ``reason`` and its bytes in ``raw``; parts that belong to no record have no index.  No document fails
     the others, whatever it holds; null content is an empty document.
     """
-    _reachable(documents.sparkSession)
+    reachable(documents.sparkSession)
     asked = documents.select(*keys, "content")
     own = [f"`{f.name}` {f.dataType.simpleString()}" for f in asked.schema if f.name != "content"]
     ddl = ", ".join([*own, *[f"`{n}` {kind}" for n, (kind, _) in SPLIT.items()]])
     return asked.mapInArrow(partial(_split, records_field=records_field), ddl)
 
 
-def _reachable(spark: SparkSession) -> None:
-    """Workers import this package from where the driver did."""
-    root = str(Path(__file__).resolve().parents[2])
-    known = spark.sparkContext.environment.get("PYTHONPATH", "")
-    if root not in known.split(":"):
-        spark.sparkContext.environment["PYTHONPATH"] = ":".join(filter(None, [known, root]))
-    if root not in sys.path:
-        sys.path.insert(0, root)
-
-
 def _outcome(canonical: Column, payload: Column) -> Column:
     """``record_hash`` and ``reason`` of a payload from its canonical form (null: it is no VARIANT)."""
     valid = F.from_json(payload, "map<string,string>", {"maxStringLen": str(2**31 - 1)}).isNotNull()

@@ -13,12 +13,12 @@ def land(rows: DataFrame, path: str, *partitions: str) -> None:
     table.  Rows are not shuffled by run: a run that holds a third of the table is written by all of its
     tasks, and a million small files make one folder.
     """
-    (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partitions, "landing")
-        .parquet(path)
-    )
+    replace_partition(rows, path, *partitions, "landing")
+
+
+def replace_partition(df: DataFrame, path: str, *partitions: str) -> None:
+    """Write the partitions that ``df`` holds; others stay."""
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path))
 
 
 def append(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from attestra.functions import json_values
-from attestra.operators import landing
+from attestra.operators import landing, quarantine
 from attestra.sources.documents import checked_records, records_only, split_documents
 from attestra.sources.tables import completed_only
 from queries import query
@@ -175,3 +175,52 @@ def _(t):
     return t.documents.select(
         "doc_id", digest.alias("source_sha256"), json_values.run_id(path, digest).alias("run_id")
     )
+
+
+# A user's events as one document.  Errors lost their closing brace, sign-ups hold a word that is no JSON
+# value, views name a field twice: each is a reject of its own kind, and the records around them are landed.
+BROKEN = """CASE event_type
+  WHEN 'error' THEN concat('{"event_id":', CAST(event_id AS STRING), ',"props":', replace(props, ' ', ''))
+  WHEN 'signup' THEN concat('{"event_id":', CAST(event_id AS STRING), ',"value":nil}')
+  WHEN 'view' THEN concat('{"event_id":', CAST(event_id AS STRING), ',"event_id":0}')
+  ELSE concat('{"event_id":', CAST(event_id AS STRING), ',"props":', replace(props, ' ', ''), '}') END"""
+REJECTED = f"""r AS (SELECT user_id, event_type, event_id, {BROKEN} AS text,
+  row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS from_end FROM events)"""
+
+
+def broken_documents(t):
+    records = t.events.select("user_id", F.struct("event_id", F.expr(BROKEN).alias("text")).alias("r"))
+    listed = records.groupBy("user_id").agg(F.sort_array(F.collect_list("r")).alias("rs"))
+    text = F.concat(F.lit('{"metadata":{"source":"events"},"clauses":['), F.array_join("rs.text", ","), F.lit("]}"))
+    return listed.select("user_id", text.cast("binary").alias("content"))
+
+
+@query(
+    "quarantine_rejects",
+    f"""WITH {REJECTED} SELECT user_id,
+  CASE event_type WHEN 'error' THEN 'unclosed_record' WHEN 'signup' THEN 'malformed_record' ELSE 'duplicate_fields' END AS reason,
+  count(*) AS records,
+  CAST(sum(strlen(text) + CASE WHEN event_type = 'error' AND from_end = 1 THEN 2 ELSE 0 END) AS BIGINT) AS bytes
+FROM r WHERE event_type IN ('error', 'signup', 'view') GROUP BY ALL""",
+)
+def _(t):
+    split = checked_records(split_documents(broken_documents(t), ("user_id",)))
+    refused = split.where("record_index is not null and reason is not null")
+    return quarantine.reject_counts(refused, "user_id").drop("parts")
+
+
+@query(
+    "quarantine_manifest",
+    f"""WITH {REJECTED} SELECT user_id, count(*) AS records_in_source,
+  count(*) FILTER (event_type IN ('click', 'purchase')) AS records_written,
+  count(*) FILTER (event_type NOT IN ('click', 'purchase')) AS records_rejected
+FROM r GROUP BY user_id""",
+)
+def _(t):
+    split = checked_records(split_documents(broken_documents(t), ("user_id",)))
+    records = F.count_if(F.col("record_index").isNotNull() & F.col("reason").isNull())
+    return split.groupBy("user_id").agg(
+        F.max("records_in_source").alias("records_in_source"),
+        records.alias("records_written"),
+        F.count_if(F.col("record_index").isNotNull() & F.col("reason").isNotNull()).alias("records_rejected"),
+    )

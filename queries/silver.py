@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from attestra.functions import json_values
-from attestra.operators import landing, silver
+from attestra.operators import history, landing, silver
+from attestra.session import cut_lineage
 from queries import query
 
 CONTRACT = silver.Contract(
@@ -160,3 +161,48 @@ def _(t):
     }
     rows = t.spread("customer").select("c_custkey", F.to_json(F.struct("*")).alias("payload"))
     return contract_violations(rows, schema, "c_custkey")
+
+
+# An order is a version of its customer's account, valid from its date.  Finished orders arrive first; open ones
+# come later and are dated between them.
+ACCOUNT = """v AS (
+  SELECT o_custkey, o_orderdate, o_orderpriority FROM orders
+  QUALIFY row_number() OVER (PARTITION BY o_custkey, o_orderdate ORDER BY o_orderkey DESC) = 1
+), c AS (
+  SELECT *, lag(o_orderpriority) OVER (PARTITION BY o_custkey ORDER BY o_orderdate) IS DISTINCT FROM o_orderpriority AS changed FROM v
+), h AS (
+  SELECT o_custkey, o_orderpriority, o_orderdate AS valid_from,
+    lead(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate) AS valid_to
+  FROM c WHERE changed
+)"""
+
+
+def account_history(t):
+    orders = t.orders.select("o_custkey", "o_orderdate", "o_orderpriority", "o_orderkey", "o_orderstatus")
+    arriving = [
+        history.versions(part, "o_custkey", F.col("o_orderdate"), ["o_orderpriority"], F.col("o_orderkey"))
+        for part in (orders.where("o_orderstatus = 'F'"), orders.where("o_orderstatus <> 'F'"))
+    ]
+    first = history.intervals(arriving[0], "o_custkey").withColumn("generation", F.lit(0))
+    first = cut_lineage(first)
+    merged, replaced = history.merge(first, arriving[1], "o_custkey")
+    kept = first.join(replaced, ["o_custkey", "generation"], "left_anti").drop("generation")
+    return kept.unionByName(merged)
+
+
+@query("silver_history", f"""WITH {ACCOUNT} SELECT o_custkey, o_orderpriority, strftime(valid_from, '%Y-%m-%d') AS valid_from,
+  strftime(valid_to, '%Y-%m-%d') AS valid_to FROM h""")
+def _(t):
+    held = account_history(t).where("changed")
+    days = [F.date_format(c, "yyyy-MM-dd").alias(c) for c in ("valid_from", "valid_to")]
+    return held.select("o_custkey", "o_orderpriority", *days)
+
+
+@query(
+    "silver_as_of",
+    f"""WITH {ACCOUNT} SELECT o_orderpriority, count(*) AS accounts FROM h
+WHERE valid_from <= TIMESTAMP '1998-07-01' AND (valid_to IS NULL OR valid_to > TIMESTAMP '1998-07-01') GROUP BY 1""",
+)
+def _(t):
+    held = history.as_of(account_history(t), F.lit("1998-07-01").cast("timestamp"))
+    return held.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("accounts"))
