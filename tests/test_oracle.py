@@ -19,7 +19,11 @@ def con():
     return oracle.connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_every_sql_has_its_query():
+    assert set(ORACLE) <= set(QUERIES)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query(spark, con, name):
     df = QUERIES[name](spark, SF_DIR)
     assert oracle.compare(df, con, ORACLE[name]) is None
