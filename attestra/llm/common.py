@@ -3,14 +3,12 @@
 from __future__ import annotations
 
 import os
-import tempfile
-import uuid
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attestra.session import configure
+from attestra.session import configure, shared_folder
 
 # Words are separated by the six ASCII white-space characters only.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -21,6 +19,7 @@ def prepared(spark: SparkSession) -> SparkSession:
     """Runtime settings, small Arrow batches (texts are long), and workers that can import this package."""
     configure(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
     root = str(Path(__file__).resolve().parents[2])
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in known.split(os.pathsep):
@@ -32,23 +31,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepared(spark).read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below ``spark.checkpoint.dir``; in local mode, without that setting, a temporary one.
-
-    Its files must outlive the query, whose result reads them; whoever owns the folder clears it.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="run-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: later steps never repeat what made it."""
     folder = shared_folder(df.sparkSession, name)
-    df.write.parquet(folder)
+    # Writers hold a group of rows in memory before it goes out.
+    df.write.option("parquet.block.size", 16 << 20).parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 

@@ -15,19 +15,22 @@ from __future__ import annotations
 import json
 import os
 import re
-from collections.abc import Iterable, Iterator
+import sys
+from array import array
+from collections.abc import Iterator
 
 import numpy as np
 
 # Python counts four control characters as white space that the tokenizers do not: texts that hold one
 # are encoded whole.
-UNSURE = re.compile("[\x1c-\x1f]")
+UNSURE = "\x1c\x1d\x1e\x1f"
 PIECE = re.compile(r"\s*\S+|\s+")
 GAPS = re.compile(r"\s\s")
 BOUNDARY = re.compile(r"(?<=\S)(?=\s)")
 BLOCK = 1 << 20  # characters that are cut into words at once
 LONGEST = 64  # characters of a word that is worth keeping
-KEPT = 500_000  # words of one generation of the cache
+KEPT = 800_000  # words of one generation of the cache, some 150 bytes each
+BIG_ENDIAN = sys.byteorder == "big" or array("I").itemsize != 4
 SLICE = 4096  # words that the library encodes at once
 
 
@@ -42,12 +45,13 @@ class Encoder:
         # The newer and the older generation: when the newer is full it becomes the older.
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.kept = KEPT
 
     def by_library(self, texts: list[str]) -> list[bytes]:
         out = []
         for at in range(0, len(texts), SLICE):  # the library's own results are much larger than the ids
             found = self.tokenizer.encode_batch_fast(texts[at : at + SLICE], add_special_tokens=False)
-            out += [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+            out += [np.array(e.ids, dtype="<u4").tobytes() for e in found] if BIG_ENDIAN else [array("I", e.ids).tobytes() for e in found]
         return out
 
     def words(self, text: str) -> list[str]:
@@ -62,15 +66,13 @@ class Encoder:
         """What the library encodes for a word that has no parts."""
         raise NotImplementedError
 
-    def _learn(self, words: Iterable[str]) -> dict[str, bytes]:
+    def _learn(self, words: set[str]) -> dict[str, bytes]:
         """Make sure that ``known`` has the words; return those that are too long to keep."""
-        if len(self.known) > KEPT:
+        if len(self.known) > self.kept:
             self.known, self.older = {}, self.known
         known, older = self.known, self.older
         single, joined = set(), {}
-        for word in words:
-            if word in known:
-                continue
+        for word in words.difference(known):
             if word in older:
                 known[word] = older[word]
                 continue
@@ -101,7 +103,7 @@ class Encoder:
         for k, text in enumerate(texts):
             if not text:
                 out[k] = b""
-            elif UNSURE.search(text):
+            elif any(c in text for c in UNSURE):
                 out[k] = self.by_library([text])[0]
             elif len(text) > BLOCK:
                 out[k] = b"".join([self._joined(self.words(block)) for block in blocks(text)])
@@ -111,7 +113,7 @@ class Encoder:
         known = self.known
         for k, words in cut:
             try:
-                out[k] = b"".join([known[w] for w in words])
+                out[k] = b"".join(map(known.__getitem__, words))
             except KeyError:
                 out[k] = b"".join([once[w] if w in once else known[w] for w in words])
         return out
@@ -197,10 +199,11 @@ def kind(path: str) -> type[Encoder]:
 _encoders: dict[str, Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """The worker's encoder for a tokenizer file; its cache serves all tasks of the worker."""
+def encoder(path: str, kept: int = KEPT) -> Encoder:
+    """The worker's encoder for a tokenizer file; its cache of ``kept`` words serves all tasks of the worker."""
     if path not in _encoders:
         _encoders[path] = kind(path)(path)
+    _encoders[path].kept = kept
     return _encoders[path]
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from attestra.llm.common import own_columns, prepared, small_side, written
-from attestra.llm.encoding import encoder
+from attestra.llm.encoding import KEPT, encoder
 
 PIECES = "doc_id long, start long, length long, doc_tokens long, ids binary, task int, place long"
 
@@ -29,8 +29,8 @@ def binary_lengths(tokens: int, longest: int) -> list[int]:
     return [longest] * full + [1 << b for b in range(longest.bit_length() - 2, -1, -1) if rest >> b & 1]
 
 
-def _cut(batches: Iterator[pa.RecordBatch], path: str, end_id: int, longest: int) -> Iterator[pa.RecordBatch]:
-    encode, task, places = encoder(path), TaskContext.get().partitionId(), Counter()
+def _cut(batches: Iterator[pa.RecordBatch], path: str, end_id: int, longest: int, kept: int) -> Iterator[pa.RecordBatch]:
+    encode, task, places = encoder(path, kept), TaskContext.get().partitionId(), Counter()
     end = end_id.to_bytes(4, "little")
     schema = pa.schema(
         [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("doc_tokens", pa.int64())]
@@ -51,10 +51,10 @@ def _cut(batches: Iterator[pa.RecordBatch], path: str, end_id: int, longest: int
         )
 
 
-def pack(docs: DataFrame, path: str, end_id: int = 0, longest: int = 1024) -> DataFrame:
+def pack(docs: DataFrame, path: str, end_id: int = 0, longest: int = 1024, kept: int = KEPT) -> DataFrame:
     """Sequences of documents: ``sequence_id, length, offset, doc_id, start, doc_tokens, ids``.
 
-    ``docs`` has ``doc_id`` and ``text``; ``longest`` is a power of two.  A null text is empty and
+    ``docs`` has ``doc_id`` and ``text``; ``longest`` is a power of two; ``kept`` bounds the words that a worker keeps.  A null text is empty and
     gives the end id alone; repeated rows are documents of their own; a null ``doc_id`` stays null; an
     empty table gives no rows.  ``ids`` holds little-endian unsigned 32-bit integers.  Longer buckets
     have the lower sequence ids.
@@ -65,7 +65,7 @@ def pack(docs: DataFrame, path: str, end_id: int = 0, longest: int = 1024) -> Da
     if longest < 1 or longest & (longest - 1):
         raise ValueError("longest must be a power of two")
     prepared(docs.sparkSession)
-    cut = partial(_cut, path=path, end_id=end_id, longest=longest)
+    cut = partial(_cut, path=path, end_id=end_id, longest=longest, kept=kept)
     pieces = written(own_columns(docs, "doc_id", "text").mapInArrow(cut, PIECES).sortWithinPartitions("length"), "pieces")
     counts = pieces.groupBy("length", "task").agg((F.max("place") + 1).alias("n"))
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from attestra.functions.binding import evaluated_once
 from attestra.llm.common import own_columns, prepared, small_side, written
 from attestra.llm.encoding import release
 
@@ -216,5 +217,6 @@ def keep_good(docs: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
     measured = F.pandas_udf(_measured, ", ".join(f"{c} long" for c in COUNTS))
     row = F.struct(*[docs[f"`{c}`"].alias(c) for c in docs.columns]).alias("_row")
     rows = docs.select(row, docs["lang"].alias("lang"), docs["source"].alias("source"), measured(docs["text"]).alias("_m"))
-    rows = rows.select("_row", "lang", "source", "_m.*").withColumn("base_failed", _base_failed())
+    # Else the filter below is pushed under the measures with a second copy of them.
+    rows = evaluated_once(rows).select("_row", "lang", "source", "_m.*").withColumn("base_failed", _base_failed())
     return _judged(rows, fences).where("kept").select("_row.*")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attestra.llm.common import documents, prepared, shared_folder
+from attestra.llm.common import documents, prepared
 from attestra.llm.conversation_trie import prefix_trie, turns_of
 from attestra.llm.decontamination import overlaps
 from attestra.llm.hard_negatives import integer_rows, mine
@@ -24,6 +24,7 @@ from attestra.llm.sharding import shard
 from attestra.llm.simhash import near_duplicates
 from attestra.llm.token_counts import count_tokens
 from attestra.llm.token_files import read_token_files, write_token_files
+from attestra.session import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}

@@ -47,7 +47,7 @@ def stable(text: str, offsets: list[tuple[int, int]], ids: list[int], start: int
         at = offsets[k][0]
         if at > hi:
             break
-        if 0 < at < len(text) and text[at].isspace() and not text[at - 1].isspace() and not UNSURE.match(text[at]):
+        if 0 < at < len(text) and text[at].isspace() and not text[at - 1].isspace() and text[at] not in UNSURE:
             if not places or places[-1][0] != at:
                 places.append((at, k))
     out = []
