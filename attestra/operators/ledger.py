@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from attestra import schemas
 from attestra.functions.cost import no_usage
 
+# Where ledger rows are stored: a check under one policy version reads that version's folders.
+PARTITIONS = ("firm_standards_version", "run_id")
+
 # What makes a human decision another one, next to the record, the action and the policy version.
 DECISION = ("reviewer", "field", "date", "source", "human_value")
 
@@ -43,6 +46,7 @@ def ledger_rows(
     seq: Column | None = None,
 ) -> DataFrame:
     """Project rows into the ledger schema; payloads are JSON texts side by side."""
+    record = F.lit(None) if lineage is None else lineage["record_hash"]
     return rows.select(
         F.lit(timestamp).alias("timestamp"),
         F.lit(agent).alias("agent"),
@@ -65,9 +69,21 @@ def ledger_rows(
         _column(lineage, schemas.LINEAGE).alias("lineage"),
         _column(detail, "string").alias("detail"),
         _column(seq, "bigint").alias("seq"),
+        idempotency_key(clause_id, record, F.lit(action), _column(prompt_version, "string"), F.lit(firm_standards_version)).alias(
+            "idempotency_key"
+        ),
     )
 
 
+def idempotency_key(clause_id: Column, record: Column, action: Column, prompt_version: Column, policy_version: Column) -> Column:
+    """The identity of a decision: the same record under the same prompt and policy is the same work.
+
+    A decision without a prompt (by rule or evidence) does not depend on one.
+    """
+    parts = [F.coalesce(c.cast("string"), F.lit("")) for c in (clause_id, record, action, prompt_version, policy_version)]
+    return F.sha2(F.to_json(F.array(*parts)), 256)
+
+
 def record_hash() -> Column:
     """The hash of the record a ledger row is about; empty where the row carries no lineage."""
     return F.coalesce("lineage.record_hash", F.lit(""))
@@ -80,12 +96,12 @@ def record_lineage(record: Column) -> Column:
 
 def _identified(ledger: DataFrame) -> DataFrame:
     parts = [F.coalesce(F.get_json_object("human_decision", f"$.{n}"), F.lit("")) for n in DECISION]
-    version = F.coalesce("firm_standards_version", F.lit(""))
-    return ledger.withColumn("_identity", F.struct("clause_id", "action", version, *parts)).withColumn("_hash", record_hash())
+    versions = [F.coalesce(c, F.lit("")) for c in ("firm_standards_version", "prompt_version")]
+    return ledger.withColumn("_identity", F.struct("clause_id", "action", *versions, *parts)).withColumn("_hash", record_hash())
 
 
 def not_yet_recorded(arriving: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Rows the ledger does not hold yet: another record, action or policy version, or for human decisions
+    """Rows the ledger does not hold yet: another record, action, prompt or policy version, or for human decisions
     another reviewer, field, date, source or value.  A recorded human decision without a record stands for all of its id."""
     every = (F.col("_hash") == "") & F.col("human_decision").isNotNull()
     known = _identified(ledger).select(F.col("_identity").alias("_known"), F.col("_hash").alias("_record"), every.alias("_every"))
@@ -108,6 +124,30 @@ def skip_done(rows: DataFrame, done: DataFrame, *keys: str) -> DataFrame:
     return rows.join(done.select(*on), on, "left_anti")
 
 
+def decided_under(ledger: DataFrame, order: Sequence[str] = ("timestamp", "seq")) -> DataFrame:
+    """Per record with an assessment: its category and the policy and prompts of its last decisions."""
+    about = F.struct("firm_standards_version", "prompt_version", F.get_json_object("effective_value", "$.category").alias("category"))
+    position = F.struct(*order)
+
+    def last(action: str) -> Column:
+        mine = F.col("action") == action
+        return F.max_by(F.when(mine, about), F.when(mine, position))
+
+    found = (
+        ledger.where(F.col("action").isin("classify_clause", "assess_risk"))
+        .groupBy("clause_id", record_hash().alias("record_hash"))
+        .agg(last("classify_clause").alias("c"), last("assess_risk").alias("a"))
+    )
+    return found.where(F.col("a").isNotNull()).select(
+        "clause_id",
+        "record_hash",
+        F.col("c.category").alias("category"),
+        F.col("a.firm_standards_version").alias("policy_version"),
+        F.col("c.prompt_version").alias("classifier_prompt"),
+        F.col("a.prompt_version").alias("assessor_prompt"),
+    )
+
+
 def completed(ledger: DataFrame) -> DataFrame:
     """Records with an assessment in the ledger: the checkpoint, derived instead of stored."""
     assessed = ledger.where(F.col("action") == "assess_risk")

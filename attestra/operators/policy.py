@@ -51,6 +51,11 @@ class Policy:
         changed = replace(self.standards[reference], value=value)
         return replace(self, standards={**self.standards, reference: changed})
 
+    def changed(self, other: Policy) -> set[str]:
+        """References whose standard differs in anything that a rule or a finding reads."""
+        told = lambda s: None if s is None else replace(s, rationale=None)
+        return {r for r in {*self.standards, *other.standards} if told(self.get(r)) != told(other.get(r))}
+
     @staticmethod
     def of(version: str, standards: list[Standard]) -> Policy:
         return Policy(version, {s.reference: s for s in standards})

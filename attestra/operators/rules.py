@@ -208,6 +208,11 @@ def extended_rules(category: str, rule: Rule, policy: Policy = BASELINE, base: R
     return out
 
 
+def affected_categories(changed: set[str], rules: RuleSet = RULES) -> set[str]:
+    """The review categories whose records a change of these standards can touch."""
+    return {category for category, entries in rules.items() if any(r.reference in changed for r in entries)}
+
+
 def _read(category: Column, lowered: Column, rules: RuleSet) -> dict[str, Column]:
     """What each rule reads, only for rows of its category."""
     return {

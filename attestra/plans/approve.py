@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from attestra import schemas
 from attestra.operators import learning
+from attestra.operators.ledger import PARTITIONS
 from attestra.operators.policy import BASELINE, Policy
 from attestra.plans.lake import Lake
 from attestra.session import cut_lineage
@@ -39,6 +40,6 @@ def approve(
     lake.add_snapshot(ready["policy"], "policy", timestamp)
     sinks.append(ready["exceptions"], lake.path("policy_exceptions"))
     sinks.append(ready["history"], lake.path("policy_history"))
-    sinks.append(ready["ledger"], lake.path("ledger"), ("run_id",))
+    sinks.append(ready["ledger"], lake.path("ledger"), PARTITIONS)
     sinks.append(ready["approvals"], lake.path("approvals"))
     return current_policy(spark, lake)

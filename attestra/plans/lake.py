@@ -38,5 +38,9 @@ class Lake:
             .parquet(self.path(table))
         )
 
+    def silver(self, spark: SparkSession) -> DataFrame:
+        """Silver with the place of each row (null in a table that is not stored by place)."""
+        return spark.read.schema(f"{schemas.SILVER}, {schemas.SILVER_PLACE}").parquet(self.path("silver"))
+
     def runs(self, spark: SparkSession) -> DataFrame:
         return self.read(spark, "runs", schemas.RUNS)

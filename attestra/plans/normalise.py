@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from attestra import fixed_values as fixed
 from attestra import schemas
-from attestra.operators import history, landing, silver, supersession
+from attestra.operators import classify, history, landing, silver, supersession
 from attestra.plans.ingest import BRONZE_TABLE
 from attestra.plans.lake import Lake
 from attestra.sources import sinks
@@ -24,8 +24,13 @@ def normalise(spark: SparkSession, lake: Lake, aliases: dict[str, str]) -> DataF
     """Rebuild Silver from all completed runs; returns it as written."""
     bronze = completed_bronze(spark, lake)
     unique = landing.dedupe_replays(bronze)
-    sinks.rebuild(silver.to_silver(unique, aliases), lake.path("silver"))
-    written = spark.read.schema(schemas.SILVER).parquet(lake.path("silver"))
+    place = {
+        "review_group": F.coalesce(classify.review_category(F.col("clause_category")), F.lit("other")),
+        "landed_on": F.coalesce(F.substring("_lineage.ingested_at", 1, 10), F.lit("")),
+    }
+    # Stored by category and day: a review reads the text of the places that hold open records only.
+    sinks.rebuild(silver.to_silver(unique, aliases).withColumns(place), lake.path("silver"), partition_by=tuple(place))
+    written = lake.silver(spark).drop(*place)
     sinks.rebuild(silver.normalisation_report(bronze, written), lake.path("normalisation_report"))
     sinks.rebuild(silver.null_counts(written, fixed.SILVER_ORDER), lake.path("null_counts"))
     sinks.rebuild(silver.issues(written), lake.path("normalisation_issues"))
@@ -53,7 +58,7 @@ def update_history(spark: SparkSession, lake: Lake, committed_at: str, arriving:
     with a version that the history lacks are written again.  The generation's row is written last: a merge
     that broke off counts for nothing, and the next one replaces it.
     """
-    rows = arriving if arriving is not None else spark.read.schema(schemas.SILVER).parquet(lake.path("silver"))
+    rows = arriving if arriving is not None else lake.silver(spark)
     landed = F.col("_lineage.ingested_at")
     content = [*fixed.SILVER_ORDER, "_unmapped_fields"]
     new = history.versions(rows, "clause_id", F.coalesce("last_modified", landed), content, landed)
@@ -68,6 +73,6 @@ def update_history(spark: SparkSession, lake: Lake, committed_at: str, arriving:
 
 def propose_supersessions(spark: SparkSession, lake: Lake) -> DataFrame:
     """Write the proposals; Silver is left as it is."""
-    written = spark.read.schema(schemas.SILVER).parquet(lake.path("silver"))
+    written = lake.silver(spark)
     sinks.rebuild(supersession.proposals(written), lake.path("supersession_proposals"))
     return spark.read.parquet(lake.path("supersession_proposals"))

@@ -22,12 +22,14 @@ from attestra.operators import (
     ledger,
     precedents,
     register,
+    rereview,
     residue,
     reviews,
     rules,
 )
 from attestra.operators.policy import BASELINE, Policy
 from attestra.plans.lake import Lake
+from attestra.session import cut_lineage
 from attestra.sources import sinks
 from attestra.sources.tables import supersession_map
 
@@ -337,6 +339,111 @@ def decided_view(admitted: DataFrame) -> DataFrame:
     )
 
 
+POLICIES = f"{schemas.POLICY}"
+
+
+def remember_policy(spark: SparkSession, lake: Lake, policy: Policy) -> None:
+    """Keep the rows of every policy version that was used, for later comparisons."""
+    known = lake.read(spark, "policies_used", POLICIES)
+    if known.where(F.col("version") == policy.version).isEmpty():
+        sinks.append(policy.to_rows(spark), lake.path("policies_used"))
+
+
+def earlier_policies(spark: SparkSession, lake: Lake, policy: Policy) -> dict[str, Policy]:
+    """The other versions by name: a policy is a few dozen rows, its versions are approvals by hand."""
+    rows = lake.read(spark, "policies_used", POLICIES)
+    names = [r.version for r in rows.where(F.col("version") != policy.version).select("version").distinct().collect()]
+    return {name: Policy.from_rows(rows, name) for name in names}
+
+
+def record_keys(silver: DataFrame) -> DataFrame:
+    """Every record with its place: no text is read."""
+    return silver.select("clause_id", F.coalesce("_lineage.record_hash", F.lit("")).alias("record_hash"), "review_group", "landed_on").distinct()
+
+
+def last_assessed(spark: SparkSession, lake: Lake) -> DataFrame:
+    """The newest row of each record in the index of assessed records."""
+    rows = lake.read(spark, "assessed", schemas.ASSESSED)
+    rest = [c for c in rows.columns if c not in ORDER]
+    return rows.groupBy(*ORDER).agg(F.max_by(F.struct(*rest), F.struct("timestamp", "run_id")).alias("r")).select(*ORDER, "r.*")
+
+
+def assessed_rows(assessed: DataFrame, settings: Settings) -> DataFrame:
+    return assessed.select(
+        *ORDER, "review_group", "landed_on", F.col("source_review_category").alias("category"), "clean", "scope_reason",
+        F.lit(settings.policy.version).alias("policy_version"), F.lit(settings.timestamp).alias("timestamp"),
+        F.lit(settings.run_id).alias("run_id"),
+    )
+
+
+def open_records(
+    spark: SparkSession, lake: Lake, settings: Settings, keys: DataFrame, known: DataFrame, with_model: bool
+) -> DataFrame:
+    """Records without a decision that holds under the policy (and, with model texts, the prompts) of this run.
+
+    A decision of an earlier policy version holds if no standard that changed since applies to its category.
+    Refused records are not looked at again, whatever the policy: scope does not depend on it.
+    """
+    policy = settings.policy
+    touched = rereview.touched_since(policy, earlier_policies(spark, lake, policy))
+    decided = ledger.decided_under(known)
+    holds = rereview.still_holds(F.col("policy_version"), F.col("category"), policy.version, touched)
+    if with_model:
+        for column, prompt in (("classifier_prompt", settings.classifier), ("assessor_prompt", settings.assessor)):
+            holds = holds & (F.col(column).isNull() | (F.col(column) == prompt.version))
+    refused = last_assessed(spark, lake).where("scope_reason is not null").select(*ORDER)
+    return ledger.skip_done(ledger.skip_done(keys, decided.where(holds), *ORDER), refused, *ORDER)
+
+
+def in_places(silver: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of ``wanted`` records; only the places (category and day) that hold one are scanned."""
+    places = wanted.select("review_group", "landed_on").distinct().collect()  # a row for each category and day
+    here = F.lit(False)
+    days: dict[str | None, list] = {}
+    for p in places:
+        days.setdefault(p.review_group, []).append(p.landed_on)
+    for group, found in days.items():
+        on = F.col("landed_on").isNull() if None in found else F.lit(False)
+        on = on | F.col("landed_on").isin(*[d for d in found if d is not None])
+        here = here | (F.col("review_group").eqNullSafe(F.lit(group).cast("string")) & on)
+    asked = wanted.select("clause_id", F.col("record_hash").alias("_record"))
+    same = (silver["clause_id"].eqNullSafe(asked["clause_id"])) & (F.coalesce(silver["_lineage.record_hash"], F.lit("")) == F.col("_record"))
+    return silver.where(here).join(asked, same, "left_semi")
+
+
+def rereview_changes(
+    spark: SparkSession, lake: Lake, settings: Settings, first_day: str | None = None, last_day: str | None = None
+) -> DataFrame:
+    """What the policy of ``settings`` would change for records decided under other versions: nothing is written.
+
+    Only places with a record that a changed standard can touch are read, between the given days of landing.
+    """
+    silver, known = lake.silver(spark), lake.read(spark, "ledger", schemas.LEDGER)
+    policy = settings.policy
+    touched = rereview.touched_since(policy, earlier_policies(spark, lake, policy))
+    decided = ledger.decided_under(known)
+    moved = decided.where(~rereview.still_holds(F.col("policy_version"), F.col("category"), policy.version, touched))
+    keys = record_keys(silver)
+    if first_day is not None:
+        keys = keys.where(F.col("landed_on") >= first_day)
+    if last_day is not None:
+        keys = keys.where(F.col("landed_on") <= last_day)
+    wanted = cut_lineage(keys.join(moved, list(ORDER), "left_semi"))
+    rows = in_places(silver, wanted).withColumn("record_hash", F.coalesce("_lineage.record_hash", F.lit("")))
+    rows = rows.join(moved.select(*ORDER, F.col("category").alias("review_category"), "policy_version"), list(ORDER))
+    after = rules.with_findings(rows, policy).select(*ORDER, "findings")
+    # The second pass is not repeated: its findings name no standard of the policy and are left out here.
+    state = ledger.rehydrate(known.where(F.col("agent").isin("clause_classifier", "risk_flagger")), ("timestamp", "seq"))
+    named = F.filter("findings", lambda f: f["standard_reference"].isin(*sorted(rule_references())))
+    changes = rereview.finding_changes(state.select(*ORDER, named.alias("findings")), after)
+    versions = moved.select(*ORDER, F.col("policy_version").alias("version_from"), F.lit(policy.version).alias("version_to"))
+    return changes.join(versions, list(ORDER)).select(*[f.split()[0] for f in schemas.FINDING_CHANGES.split(", ")])
+
+
+def rule_references() -> set[str]:
+    return {rule.reference for entries in rules.RULES.values() for rule in entries}
+
+
 def review(
     spark: SparkSession,
     lake: Lake,
@@ -347,10 +454,11 @@ def review(
 ) -> DataFrame:
     """One review run over Silver; returns the published register.
 
-    Records with an assessment in the ledger are skipped and read back from it.  A run that
+    Records with a decision in the ledger that still holds (``open_records``) are skipped and read back from
+    it; their texts are not read.  A run that
     follows a halted one needs ``acknowledged``, which goes into the ledger.
     """
-    silver = spark.read.schema(schemas.SILVER).parquet(lake.path("silver"))
+    silver = lake.silver(spark)
     known = lake.read(spark, "ledger", schemas.LEDGER)
     halts = lake.read(spark, "halts", "run_id string, timestamp string, halt_reason string")
     last = halts.orderBy(F.desc("timestamp")).limit(1).collect()
@@ -360,22 +468,24 @@ def review(
         row = learning.acknowledge_halt(
             spark, settings.run_id, acknowledged, last[0]["halt_reason"], settings.timestamp
         )
-        sinks.append(row, lake.path("ledger"), ("run_id",))
+        sinks.append(row, lake.path("ledger"), ledger.PARTITIONS)
 
-    # 1. Assess everything once and keep it: all later steps read this table.
+    # 1. Assess the records that are not done yet and keep that: all later steps read this table.
     cache = lake.read(spark, "cache", schemas.CACHE) if settings.use_cache else None
+    remember_policy(spark, lake, settings.policy)
+    keys = record_keys(silver)
+    open_keys = cut_lineage(open_records(spark, lake, settings, keys, known, model_outputs is not None))
     table = lake.path(f"assessments/run={settings.run_id}")
-    sinks.rebuild(assess(silver, settings, cache, model_outputs), table)
+    sinks.rebuild(assess(in_places(silver, open_keys), settings, cache, model_outputs), table)
     assessed = spark.read.parquet(table)
 
-    # 2. Precedents from the clean records of the whole corpus.
-    index = assessed.where("clean").select(
-        F.col("source_review_category").alias("category"), F.col("clause_id").alias("precedent_id")
-    )
-    assessed = precedents.with_precedents(assessed, precedents.first_clean(index))
+    # 2. Precedents from the clean records of the whole corpus, of which only the open ones were read now.
+    sinks.replace_partition(assessed_rows(assessed, settings), lake.path("assessed"), "run_id")
+    index = last_assessed(spark, lake).join(keys, list(ORDER), "left_semi")
+    clean = index.where("clean").select("category", F.col("clause_id").alias("precedent_id"))
+    open_rows = precedents.with_precedents(assessed, precedents.first_clean(clean))
 
-    # 3. Guard the records that are not done yet.
-    open_rows = ledger.skip_done(assessed, ledger.completed(known), *ORDER)
+    # 3. Guard them.
     guarded_table = lake.path(f"guarded/run={settings.run_id}")
     sinks.rebuild(
         guardrails.guard_run(
@@ -401,8 +511,14 @@ def review(
     )
 
     # 4. Decisions, escalations, new cache entries.
+    before = ledger.rehydrate(known.where(F.col("agent").isin("clause_classifier", "risk_flagger")), ("timestamp", "seq"))
+    under = ledger.decided_under(known).select(*ORDER, F.col("policy_version").alias("version_from"))
+    usable = admitted.where(F.col("classification").isNotNull())
+    changes = rereview.finding_changes(before, usable.select(*ORDER, "findings")).join(under, list(ORDER))
+    changes = changes.withColumn("version_to", F.lit(settings.policy.version)).where("version_from <> version_to")
+    sinks.replace_partition(changes.withColumn("run_id", F.lit(settings.run_id)), lake.path("finding_changes"), "run_id")
     decisions = ledger.not_yet_recorded(decision_rows(admitted, settings), known)
-    sinks.append(decisions, lake.path("ledger"), ("run_id",))
+    sinks.append(decisions, lake.path("ledger"), ledger.PARTITIONS)
     # Refused records are looked at again in every run; they are queued once.
     queued = lake.read(spark, "escalations", "clause_id string, record_hash string, agent string, reason string, seq bigint")
     waiting = escalation_queue(admitted).join(queued, [*ORDER, "agent", "reason"], "left_anti")
@@ -450,7 +566,7 @@ def review(
     human_rows = ledger.not_yet_recorded(
         reviews.review_ledger_rows(reconciled, overrides, settings.run_id, settings.timestamp), known
     )
-    sinks.append(human_rows, lake.path("ledger"), ("run_id",))
+    sinks.append(human_rows, lake.path("ledger"), ledger.PARTITIONS)
 
     mine = lake.read(spark, "ledger", schemas.LEDGER).where(F.col("run_id") == settings.run_id)
     sinks.rebuild(ledger.counts(mine, "decided_by"), lake.path("decision_counts"))
@@ -469,6 +585,9 @@ def review(
     now = decided_view(admitted)
     earlier = state.join(now.select(*ORDER), list(ORDER), "left_anti")
     decided = now.unionByName(earlier.select(*now.columns))
+    # Records refused by an earlier run were not read again: they stay escalated.
+    refused = index.where("scope_reason is not null").join(decided.select(*ORDER), list(ORDER), "left_anti")
+    decided = decided.unionByName(refused.select(*ORDER, F.lit("escalated").alias("status")), allowMissingColumns=True)
     superseded = lake.read(
         spark,
         "supersession_proposals",

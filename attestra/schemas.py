@@ -47,6 +47,9 @@ SILVER = (
     f"review_history {REVIEW_HISTORY}, _unmapped_fields array<string>, _lineage {LINEAGE}"
 )
 
+# Where a Silver row is stored: its review category, and the day it was landed.
+SILVER_PLACE = "review_group string, landed_on string"
+
 FINDING = (
     "struct<risk:string,severity:string,confidence:double,standard_reference:string,"
     "observed:string,expected:string,suggested_alternative:string,precedent_clause_ids:array<string>>"
@@ -64,7 +67,17 @@ LEDGER = (
     "human_decision string, effective_value string, decided_by string, status string, "
     "run_id string, trace_id string, span_id string, prompt_version string, model_name string, "
     "rubric_version string, firm_standards_version string, "
-    f"usage {USAGE}, latency_ms double, lineage {LINEAGE}, detail string, seq bigint"
+    f"usage {USAGE}, latency_ms double, lineage {LINEAGE}, detail string, seq bigint, idempotency_key string"
+)
+# One row for each record a run has assessed: what later runs need to know without reading its text.
+ASSESSED = (
+    f"clause_id string, record_hash string, {SILVER_PLACE}, category string, clean boolean, "
+    "scope_reason string, policy_version string, timestamp string, run_id string"
+)
+FINDING_CHANGES = (
+    "clause_id string, record_hash string, version_from string, version_to string, standard_reference string, "
+    "change string, severity_before string, severity_after string, observed_before string, observed_after string, "
+    "expected_before string, expected_after string"
 )
 
 REVIEWS = (

@@ -26,9 +26,10 @@ def append(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
-def rebuild(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+def rebuild(df: DataFrame, path: str, fmt: str = "parquet", partition_by: tuple[str, ...] = ()) -> None:
     """Replace a table that is fully derived from others."""
-    df.write.mode("overwrite").format(fmt).save(path)
+    writer = df.write.mode("overwrite").format(fmt)
+    (writer.partitionBy(*partition_by) if partition_by else writer).save(path)
 
 
 def export_sorted(df: DataFrame, path: str, *order: str) -> None:

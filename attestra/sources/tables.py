@@ -50,7 +50,8 @@ def read_silver(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFra
         text = spark.read.text(path, wholetext=True)
         parsed = F.from_json("value", f"clauses array<struct<{_as_struct(schemas.SILVER)}>>")
         return text.select(F.inline(parsed["clauses"]))
-    return spark.read.schema(schemas.SILVER).format(fmt).load(path)
+    rows = spark.read.schema(schemas.SILVER).format(fmt).load(path)
+    return rows.drop("review_group", "landed_on")
 
 
 def _as_struct(ddl: str) -> str:
