@@ -15,8 +15,8 @@ def unicode_classes(pattern: str) -> str:
 
 
 def _group(text: Column, pattern: str, index: int = 1) -> Column:
-    """First match of ``pattern``, or null where nothing matches."""
-    return F.get(F.regexp_extract_all(text, F.lit(unicode_classes(pattern)), index), 0)
+    """First match of ``pattern``, or null where nothing matches (no group here can match nothing)."""
+    return F.nullif(F.regexp_extract(text, unicode_classes(pattern), index), F.lit(""))
 
 
 def _word_value(word: Column) -> Column:
@@ -33,36 +33,20 @@ def first_days(lowered: Column) -> Column:
 def nearest_days(lowered: Column, anchor: str, window: int = fixed.NEAREST_WINDOW) -> Column:
     """The day count that starts nearest to the first ``anchor``; ties go to the earlier one.
 
-    Only the ``window`` characters before and after the start of the anchor are read.  The
-    start of match i is the length of the text pieces up to it plus the matches before it.
+    Only the ``window`` characters before and after the start of the anchor are read.  One pattern runs as far
+    as it can before the anchor and so finds the last count there, one as little as it can behind it; a
+    count opens with a bracket and holds no other, so none reaches across the anchor.
     """
     at = F.instr(lowered, anchor)
     begin = F.greatest(F.lit(1), at - window)
-    segment = F.substring(lowered, begin, at + window - begin)
-    days = unicode_classes(fixed.DAYS)
-    found = F.struct(
-        (at - begin).alias("anchor"),
-        F.transform(F.split(segment, days, -1), lambda p: F.length(p)).alias("pieces"),
-        F.transform(F.regexp_extract_all(segment, F.lit(days), 0), lambda m: F.length(m)).alias("matches"),
-        F.regexp_extract_all(segment, F.lit(days), 1).alias("days"),
-    )
-
-    def total(lengths: Column, count: Column) -> Column:
-        return F.aggregate(F.slice(lengths, 1, count), F.lit(0), lambda acc, n: acc + n)
-
-    def nearest(f: Column) -> Column:
-        return F.array_min(
-            F.transform(
-                f["days"],
-                lambda d, i: F.struct(
-                    F.abs(total(f["pieces"], i + 1) + total(f["matches"], i) - f["anchor"]).alias("distance"),
-                    i.alias("i"),
-                    d.alias("days"),
-                ),
-            )
-        )["days"]
-
-    return F.when(at > 0, bind(found, nearest).try_cast("decimal(38,0)"))
+    before = F.substring(lowered, begin, at - begin)
+    behind = F.substring(lowered, at, F.lit(window))
+    counted = fixed.DAYS.replace("(\\d+)", "\\d+")
+    last = _group(before, f"(?s)^.*({counted}.*)$")
+    skipped = F.regexp_extract(behind, unicode_classes(f"(?s)^(.*?){counted}"), 1)
+    first = _group(behind, fixed.DAYS)
+    near = F.when(last.isNotNull() & (first.isNull() | (F.length(last) <= F.length(skipped))), _group(last, "^" + fixed.DAYS))
+    return F.when(at > 0, near.otherwise(first).try_cast("decimal(38,0)"))
 
 
 def liability_multiple(lowered: Column) -> Column:

@@ -51,13 +51,18 @@ def learning_proposals(
         F.lit("PENDING_HUMAN_APPROVAL").alias("status"),
         F.lit("adjust_firm_standard").alias("kind"),
         F.format_string(
-            "Reviewers overrode '%s' on %d clauses. The standard may be too absolute.",
+            fixed.PROPOSAL_SUMMARY,
             "standard_reference",
             "occurrences",
         ).alias("summary"),
         "standard_reference",
         "occurrences",
         "current_value",
+        # The exceptions to be added are the rows of ``proposal_evidence``.
+        F.to_json(F.struct(F.col("current_value").alias("value"), F.lit("proposal_evidence").alias("exceptions"))).alias("proposed_value"),
+        F.lit("policy").alias("target_file"),
+        F.lit(fixed.PROPOSAL_RATIONALE).alias("rationale"),
+        F.lit(fixed.PROPOSAL_RISK).alias("risk_if_applied"),
     )
 
 
@@ -70,7 +75,7 @@ def proposal_evidence(overrides: DataFrame, proposals: DataFrame) -> DataFrame:
         "override_id",
         "clause_id",
         F.format_string(
-            "Reviewed and accepted on %s by %s: %s", "clause_id", "reviewer", F.coalesce("rationale", F.lit(""))
+            fixed.EXCEPTION_TEXT, "clause_id", "reviewer", F.coalesce("rationale", F.lit(""))
         ).alias("exception"),
     )
 

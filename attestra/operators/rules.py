@@ -7,10 +7,13 @@ own category, and every value is read once per row, so a row pays for one catego
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from functools import reduce
+from typing import Any
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +23,7 @@ from attestra.functions import numbers, severity
 from attestra.functions.binding import evaluated_once
 from attestra.functions.text import fill
 from attestra.operators.policy import BASELINE, Policy
+from attestra.session import reachable
 
 
 Fired = tuple[Column, Column] | None
@@ -35,6 +39,9 @@ class Rule:
     reference: str
     fires: Callable[[Column, Column | None, Policy], Fired]
     seen: Callable[[Column], Column] | None = None
+    # Reads what ``seen`` leaves null, from the lower-cased texts of its category only: Arrow batches of texts in,
+    # numbers or null out.
+    read: Callable[[pd.Series], pd.Series] | None = None
 
 
 RuleSet = Mapping[str, "list[Rule]"]
@@ -213,16 +220,66 @@ def affected_categories(changed: set[str], rules: RuleSet = RULES) -> set[str]:
     return {category for category, entries in rules.items() if any(r.reference in changed for r in entries)}
 
 
+def sql_rule(reference: str, value: str, breach: str, shown: str = "CAST(value AS STRING)") -> Rule:
+    """A rule in SQL: ``value`` reads ``text`` (lower-cased), ``breach`` compares ``value`` with ``bound``, the policy's.
+
+    The expressions may call every function the session knows, registered ones too.
+    """
+    read = f"`_seen_{reference}`"
+
+    def fires(_text: Column, seen: Column, policy: Policy) -> Fired:
+        bound = policy.value(reference)
+        if bound is None:
+            return None
+        fired = F.expr(_named(breach, value=read, bound=_literal(bound)))
+        return fired, finding(reference, policy, F.expr(_named(shown, value=read)), F.lit(f"{bound}"))
+
+    return Rule(reference, fires, lambda _text: F.expr(_named(value, text="`_lowered`")))
+
+
+def _named(sql: str, **names: str) -> str:
+    """The expression with its variables replaced; quoted text is left alone."""
+    word = re.compile(r"'(?:[^'\\]|\\.)*'|\b(" + "|".join(names) + r")\b")
+    return word.sub(lambda m: names[m.group(1)] if m.group(1) else m.group(), sql)
+
+
+def _literal(value: Any) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'" if isinstance(value, str) else str(value)
+
+
 def _read(category: Column, lowered: Column, rules: RuleSet) -> dict[str, Column]:
     """What each rule reads, only for rows of its category."""
     return {
-        f"_seen_{rule.reference}": F.when(category == name, rule.seen(lowered))
+        f"_seen_{rule.reference}": F.when(category == name, rule.seen(lowered) if rule.seen else F.lit(None).cast("double"))
         for name, entries in rules.items()
         for rule in entries
-        if rule.seen is not None
+        if rule.seen is not None or rule.read is not None
     }
 
 
+def _read_on(category: Column, lowered: Column, rules: RuleSet) -> dict[str, Column]:
+    """The values that the columns left open, read in Arrow batches; other rows pass as nulls."""
+    out = {}
+    for name, entries in rules.items():
+        for rule in entries:
+            if rule.read is not None:
+                seen = F.col(f"`_seen_{rule.reference}`")
+                asked = F.when((category == name) & seen.isNull(), lowered)
+                out[f"_seen_{rule.reference}"] = F.coalesce(seen.cast("double"), F.pandas_udf(_on_texts(rule.read), "double")(asked))
+    return out
+
+
+def _on_texts(read: Callable[[pd.Series], pd.Series]) -> Callable[[pd.Series], pd.Series]:
+    def values(texts: pd.Series) -> pd.Series:
+        found = pd.Series([None] * len(texts), index=texts.index, dtype=object)
+        given = texts[texts.notna()]
+        if len(given):
+            found.loc[given.index] = read(given).astype(object)
+        return found.where(found.notna(), None)
+
+    return values
+
+
 def _fired(category: Column, lowered: Column, policy: Policy, rules: RuleSet) -> Column:
     """All findings of a row as an array, in rule order.  Unknown categories have none."""
     none = F.array().cast(f"array<{schemas.FINDING}>")
@@ -230,7 +287,7 @@ def _fired(category: Column, lowered: Column, policy: Policy, rules: RuleSet) ->
     for name, entries in rules.items():
         parts = []
         for rule in entries:
-            seen = None if rule.seen is None else F.col(f"`_seen_{rule.reference}`")
+            seen = None if rule.seen is None and rule.read is None else F.col(f"`_seen_{rule.reference}`")
             fired = rule.fires(lowered, seen, policy)
             if fired is not None:
                 # One-element arrays joined up stay in generated code; filtering nulls out of an
@@ -257,9 +314,13 @@ def with_findings(
     """
     lowered = F.col("_lowered")
     seen = _read(F.col(category), lowered, rules)
+    further = _read_on(F.col(category), lowered, rules)
+    if further:
+        reachable(rows.sparkSession)
     return evaluated_once(
         rows.withColumn("_lowered", F.lower(F.coalesce(F.col(text), F.lit(""))))
         .withColumns(seen)
+        .withColumns(further)
         .withColumn(output, _fired(F.col(category), lowered, policy, rules))
         .drop("_lowered", *seen)
     )

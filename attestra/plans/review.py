@@ -49,6 +49,7 @@ class Settings:
     run_id: str
     timestamp: str
     policy: Policy = BASELINE
+    rules: rules.RuleSet = field(default_factory=lambda: rules.RULES)  # see rules.extended_rules
     model_name: str = "external"
     classifier: Prompt = Prompt("classifier.v1", "Classify this clause.\n\nCLAUSE TEXT:\n{clause_text}\n")
     assessor: Prompt = Prompt(
@@ -180,7 +181,7 @@ def assess(
     rows = rows.withColumn("source_review_category", F.coalesce(source_category, F.lit("other"))).withColumn(
         "_rules_for", F.coalesce("review_category", source_category)
     )
-    rows = rules.with_findings(rows, settings.policy, category="_rules_for")
+    rows = rules.with_findings(rows, settings.policy, category="_rules_for", rules=settings.rules)
     agrees = F.coalesce(F.col("source_review_category") == F.col("_rules_for"), F.lit(False))
     clean = F.when(agrees, F.size("findings") == 0)
     if settings.prefer_rules:
@@ -188,7 +189,7 @@ def assess(
     else:
         # The model may have chosen another category: there the rules run again for the source's.
         rows = rows.withColumn("_again", F.when(~agrees, F.col("source_review_category")))
-        rows = rules.with_findings(rows, settings.policy, category="_again", output="_again_findings")
+        rows = rules.with_findings(rows, settings.policy, category="_again", rules=settings.rules, output="_again_findings")
         rows = rows.withColumn("clean", clean.otherwise(F.size("_again_findings") == 0)).drop(
             "_again", "_again_findings"
         )
@@ -299,20 +300,30 @@ def decision_rows(admitted: DataFrame, settings: Settings) -> DataFrame:
 
 
 def escalation_queue(admitted: DataFrame) -> DataFrame:
-    """Everything a person must look at: refusals, open categories, low confidence, bad output."""
+    """Everything a person must look at: refusals, open categories, low confidence, bad output; ``detail`` says why."""
+    refused = F.format_string(
+        "%s characters; texts from %s to %s characters are reviewed.",
+        F.length(F.coalesce("clause_text", F.lit(""))), F.lit(fixed.MIN_CLAUSE_CHARS), F.lit(fixed.MAX_CLAUSE_CHARS),
+    )
+    confidence = F.round("classification.confidence", 2).cast("string")
+    unclear = F.when(
+        F.col("class_reason") == "low_confidence_classification",
+        F.format_string("Read as %s with confidence %s.", F.col("classification.category"), confidence),
+    ).otherwise(F.format_string("Source category: %s.", F.coalesce("clause_category", F.lit("none"))))
+    weak = F.format_string("%s finding(s), worst %s.", F.size("findings"), F.coalesce("overall_severity", F.lit("none")))
     entries = F.array_compact(
         F.array(
             F.when(
                 F.col("scope_reason").isNotNull(),
-                F.struct(F.lit(0).alias("step"), F.lit("scope_guard").alias("agent"), F.col("scope_reason").alias("reason")),
+                F.struct(F.lit(0).alias("step"), F.lit("scope_guard").alias("agent"), F.col("scope_reason").alias("reason"), refused.alias("detail")),
             ),
             F.when(
                 F.col("scope_reason").isNull() & F.col("class_reason").isNotNull(),
-                F.struct(F.lit(1).alias("step"), F.lit("clause_classifier").alias("agent"), F.col("class_reason").alias("reason")),
+                F.struct(F.lit(1).alias("step"), F.lit("clause_classifier").alias("agent"), F.col("class_reason").alias("reason"), unclear.alias("detail")),
             ),
             F.when(
                 F.col("scope_reason").isNull() & F.col("classification").isNotNull() & F.col("risk_reason").isNotNull(),
-                F.struct(F.lit(2).alias("step"), F.lit("risk_flagger").alias("agent"), F.col("risk_reason").alias("reason")),
+                F.struct(F.lit(2).alias("step"), F.lit("risk_flagger").alias("agent"), F.col("risk_reason").alias("reason"), weak.alias("detail")),
             ),
         )
     )
@@ -385,7 +396,7 @@ def open_records(
     Refused records are not looked at again, whatever the policy: scope does not depend on it.
     """
     policy = settings.policy
-    touched = rereview.touched_since(policy, earlier_policies(spark, lake, policy))
+    touched = rereview.touched_since(policy, earlier_policies(spark, lake, policy), settings.rules)
     decided = ledger.decided_under(known)
     holds = rereview.still_holds(F.col("policy_version"), F.col("category"), policy.version, touched)
     if with_model:
@@ -420,7 +431,7 @@ def rereview_changes(
     """
     silver, known = lake.silver(spark), lake.read(spark, "ledger", schemas.LEDGER)
     policy = settings.policy
-    touched = rereview.touched_since(policy, earlier_policies(spark, lake, policy))
+    touched = rereview.touched_since(policy, earlier_policies(spark, lake, policy), settings.rules)
     decided = ledger.decided_under(known)
     moved = decided.where(~rereview.still_holds(F.col("policy_version"), F.col("category"), policy.version, touched))
     keys = record_keys(silver)
@@ -431,19 +442,16 @@ def rereview_changes(
     wanted = cut_lineage(keys.join(moved, list(ORDER), "left_semi"))
     rows = in_places(silver, wanted).withColumn("record_hash", F.coalesce("_lineage.record_hash", F.lit("")))
     rows = rows.join(moved.select(*ORDER, F.col("category").alias("review_category"), "policy_version"), list(ORDER))
-    after = rules.with_findings(rows, policy).select(*ORDER, "findings")
+    after = rules.with_findings(rows, policy, rules=settings.rules).select(*ORDER, "findings")
     # The second pass is not repeated: its findings name no standard of the policy and are left out here.
     state = ledger.rehydrate(known.where(F.col("agent").isin("clause_classifier", "risk_flagger")), ("timestamp", "seq"))
-    named = F.filter("findings", lambda f: f["standard_reference"].isin(*sorted(rule_references())))
+    references = {rule.reference for entries in settings.rules.values() for rule in entries}
+    named = F.filter("findings", lambda f: f["standard_reference"].isin(*sorted(references)))
     changes = rereview.finding_changes(state.select(*ORDER, named.alias("findings")), after)
     versions = moved.select(*ORDER, F.col("policy_version").alias("version_from"), F.lit(policy.version).alias("version_to"))
     return changes.join(versions, list(ORDER)).select(*[f.split()[0] for f in schemas.FINDING_CHANGES.split(", ")])
 
 
-def rule_references() -> set[str]:
-    return {rule.reference for entries in rules.RULES.values() for rule in entries}
-
-
 def review(
     spark: SparkSession,
     lake: Lake,
@@ -520,11 +528,11 @@ def review(
     decisions = ledger.not_yet_recorded(decision_rows(admitted, settings), known)
     sinks.append(decisions, lake.path("ledger"), ledger.PARTITIONS)
     # Refused records are looked at again in every run; they are queued once.
-    queued = lake.read(spark, "escalations", "clause_id string, record_hash string, agent string, reason string, seq bigint")
+    queued = lake.read(spark, "escalations", "clause_id string, record_hash string, agent string, reason string, detail string, seq bigint")
     waiting = escalation_queue(admitted).join(queued, [*ORDER, "agent", "reason"], "left_anti")
     sinks.append(
         reviews.escalation_ids(
-            waiting.select("clause_id", "record_hash", "step", "agent", "reason"), [*ORDER, "step"], queued
+            waiting.select("clause_id", "record_hash", "step", "agent", "reason", "detail"), [*ORDER, "step"], queued
         ),
         lake.path("escalations"),
     )
@@ -596,5 +604,36 @@ def review(
     gold = reviews.with_overrides(register.register(silver, decided, supersession_map(superseded)), overrides)
     sinks.rebuild(gold, lake.path("gold"))
     published = spark.read.parquet(lake.path("gold"))
-    sinks.rebuild(register.run_summary(published), lake.path("run_summary"))
+    sinks.rebuild(run_report(published, guarded, called, settings, model_outputs is not None), lake.path("run_summary"))
     return published
+
+
+def run_report(gold: DataFrame, guarded: DataFrame, called: DataFrame, settings: Settings, with_model: bool) -> DataFrame:
+    """The register's totals with what this run was and cost, in one row."""
+    stopped = guarded.agg(F.max("halt_reason").alias("halt_reason"))
+    fresh = F.when(~F.col("cache_hit"), F.col("u.total_tokens"))
+    dollars = F.when(~F.col("cache_hit"), F.col("u.cost_usd").cast("decimal(28,8)"))
+    spent = called.agg(
+        F.count(F.lit(1)).alias("model_calls"),
+        F.count_if("cache_hit").alias("cache_hits"),
+        F.count_if(~F.col("cache_hit")).alias("cache_misses"),
+        F.coalesce(F.sum(fresh), F.lit(0)).alias("total_tokens"),
+        F.coalesce(F.sum(dollars).cast("double"), F.lit(0.0)).alias("cost_usd"),
+    )
+    one = lambda df: df.withColumn("_one", F.lit(1))
+    told = {
+        "run_id": settings.run_id,
+        "generated_at": settings.timestamp,
+        "policy_version": settings.policy.version,
+        "model_name": settings.model_name if with_model else None,
+        "classifier_prompt": settings.classifier.version if with_model else None,
+        "assessor_prompt": settings.assessor.version if with_model else None,
+    }
+    joined = one(register.run_summary(gold)).join(one(stopped), "_one").join(one(spent), "_one").drop("_one")
+    return joined.withColumns(
+        {
+            **{name: F.lit(value).cast("string") for name, value in told.items()},
+            "status": F.when(F.col("halt_reason").isNull(), "complete").otherwise("halted"),
+            "cache_hit_rate": F.coalesce(F.try_divide("cache_hits", "model_calls"), F.lit(0.0)),
+        }
+    )

@@ -143,15 +143,15 @@ def _(t):
 
 
 EVENTS = f"""SELECT 'SUSPECTED_RENAME' AS kind, 'NEEDS_HUMAN_CONFIRMATION' AS severity, 'order_status -> status_code' AS path,
-  'Field ''order_status'' disappeared and ''status_code'' appeared carrying ' || CAST(floor(100 * {STATUS_SCORE}) AS BIGINT) || '% of the same values. This looks like a rename.' AS detail
-UNION ALL SELECT 'FIELD_REMOVED', 'INFO', 'order_status', 'Absent from the new batch, but explained by suspected rename to ''status_code''.'
-UNION ALL SELECT 'FIELD_REMOVED', 'BREAKING', 'clerk', 'Present in ' || (SELECT count(*) FROM v1) || ' records of the previous schema, absent from every record of this one. Downstream consumers that require this field will break; the value is not recoverable.'
-UNION ALL SELECT 'FIELD_ADDED', 'ADDITIVE', 'lines', 'New field of type array, present in ' || (SELECT count(*) FROM v2) || ' records. It carries 1 nested field(s). Landed in Bronze; not yet exposed in Silver.'
-UNION ALL SELECT 'FIELD_ADDED', 'ADDITIVE', 'tags', 'New field of type array, present in ' || (SELECT count(*) FROM v2) || ' records. It carries 1 nested field(s). Landed in Bronze; not yet exposed in Silver.'
-UNION ALL SELECT 'TYPE_CHANGED', 'BREAKING', 'order_key', 'Type changed from int to str.'
-UNION ALL SELECT 'NULLABILITY_CHANGED', 'WARN', 'priority', 'Previously never null; now null in ' || (SELECT count(*) FROM v2 WHERE o_orderstatus = 'P') || ' of ' || (SELECT count(*) FROM v2) || ' records.'
-UNION ALL SELECT 'ENUM_VALUE_ADDED', 'INFO', 'cust.tier', 'New value(s) not seen in the previous schema: C.'
-UNION ALL SELECT 'API_VERSION_CHANGED', 'INFO', 'metadata.api_version', 'Source declared api_version 2.1 -> 2.3.'"""
+  '''order_status'' is gone and ''status_code'' is new; they share ' || CAST(floor(100 * {STATUS_SCORE}) AS BIGINT) || '% of their values. Probably one field under two names.' AS detail
+UNION ALL SELECT 'FIELD_REMOVED', 'INFO', 'order_status', 'Not sent any more; its values seem to arrive as ''status_code''.'
+UNION ALL SELECT 'FIELD_REMOVED', 'BREAKING', 'clerk', (SELECT count(*) FROM v1) || ' records carried it before and none does now. Whoever reads it gets nothing.'
+UNION ALL SELECT 'FIELD_ADDED', 'ADDITIVE', 'lines', 'First seen now: type array, ' || (SELECT count(*) FROM v2) || ' records. 1 further path(s) below it. Kept as it came, not published.'
+UNION ALL SELECT 'FIELD_ADDED', 'ADDITIVE', 'tags', 'First seen now: type array, ' || (SELECT count(*) FROM v2) || ' records. 1 further path(s) below it. Kept as it came, not published.'
+UNION ALL SELECT 'TYPE_CHANGED', 'BREAKING', 'order_key', 'Was int, is str.'
+UNION ALL SELECT 'NULLABILITY_CHANGED', 'WARN', 'priority', 'Always had a value; ' || (SELECT count(*) FROM v2 WHERE o_orderstatus = 'P') || ' of ' || (SELECT count(*) FROM v2) || ' are null now.'
+UNION ALL SELECT 'ENUM_VALUE_ADDED', 'INFO', 'cust.tier', 'Values that did not occur before: C.'
+UNION ALL SELECT 'API_VERSION_CHANGED', 'INFO', 'metadata.api_version', 'Declared version: 2.1, now 2.3.'"""
 
 
 def events(t):
