@@ -123,8 +123,8 @@ def _template_bands(templates: DataFrame) -> DataFrame:
 def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES) -> DataFrame:
     """``doc_id, row_key, template, license, n_shingles, n_found, place``: one row for each text and template it holds.
 
-    ``template`` numbers the ``templates``; ``n_found`` is the most of its distinct shingles around one
-    window, ``place`` the word (from 0) at which the first such window starts.  Null and empty texts hold
+    ``template`` numbers the ``templates``; ``n_found`` is how many of its distinct shingles the
+    text holds, ``place`` the word (from 0) at which the first window starts that shares a band with it.  Null and empty texts hold
     none; repeated rows have rows each; an empty table gives none.
     """
     spark = prepared(docs.sparkSession)
@@ -151,12 +151,11 @@ def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES) ->
         )
         windows = windows.where(F.size("w") > 0).select("row", "window", F.explode(_minima(F.col("w"))).alias("b"))
         windows = windows.select("row", "window", "b.band", F.col("b.m.least").alias("least"))
-        retrieved = windows.join(mine, ["band", "least"]).select("row", "window", "template").distinct()
+        retrieved = windows.join(mine, ["band", "least"]).groupBy("row", "template").agg(F.min("window").alias("window"))
         around = retrieved.join(held.select("row", "doc_id", "row_key", F.col(f"s{n}").alias("s")), "row").join(F.broadcast(known), "template")
         reach = F.size("shingles")
-        first = F.greatest(F.lit(0), STRIDE * F.col("window") - reach)
-        part = F.slice("s", first + 1, STRIDE * F.col("window") + wide + reach - first)
-        hits = around.withColumn("n_found", F.size(F.array_intersect("shingles", part)))
+        # A window retrieves; what counts is the whole text, however its parts are spread.
+        hits = around.withColumn("n_found", F.size(F.array_intersect("shingles", "s")))
         hits = hits.where(F.col("n_found") >= CONTAINED * reach)
         hits = hits.select("row", "doc_id", "row_key", "template", "license", reach.alias("n_shingles"), "n_found", (STRIDE * F.col("window")).alias("place"))
         found = hits if found is None else found.union(hits)
