@@ -4,7 +4,8 @@ A mask marks six of eleven neighbouring words; the others may differ.  The five
 in any fifteen words of which three at most are substituted, one of them has a place that avoids the
 substitutions.  The marked words' hashes of test and training texts are joined, and around every hit the
 texts are compared word by word on that alignment: fifteen neighbouring words of which twelve or more
-are equal are an overlap.
+are equal are an overlap.  Items of five to fourteen words have masks over the whole item, which ignore blocks of
+it so that any words that may differ are ignored by one mask.
 
 A fixed-size table of the test hashes spares the training side from writing hashes that no test item
 has; what passes it is joined exactly.
@@ -14,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import partial
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -52,12 +54,29 @@ def _multipliers(n: int, salt: int) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(f"{salt},{k}") | 1 for k in range(n)], dtype=np.uint64)
 
 
+def needed(size: int) -> int:
+    """The equal words that a window of so many words needs."""
+    return -(-size * LEAST_EQUAL // WINDOW)
+
+
+def short_masks(size: int) -> list[np.ndarray]:
+    """Masks over a whole item of 5 to 14 words: any words that may differ lie in blocks that one of them ignores."""
+    wrong = size - needed(size)
+    blocks = np.array_split(np.arange(size), wrong + 2)
+    return [np.concatenate([b for k, b in enumerate(blocks) if k not in out]) for out in combinations(range(len(blocks)), wrong)]
+
+
+def shapes_of(size: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Offsets and multipliers of the masks for items of so many words."""
+    if size < WINDOW:
+        return [(m, _multipliers(len(m), 1000 * size + k)) for k, m in enumerate(short_masks(size))]
+    masks = [np.array([k for k, c in enumerate(m) if c == "1"]) for m in MASKS]
+    return [(m, _multipliers(len(m), salt)) for salt, m in enumerate(masks)]
+
+
 def shapes(short: list[int]) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Offsets and multipliers of the masks, and of whole short items by their number of words."""
-    masks = [np.array([k for k, c in enumerate(m) if c == "1"]) for m in MASKS] + [np.arange(n) for n in short]
-    return [(m, _multipliers(len(m), salt)) for salt, m in enumerate(masks[: len(MASKS)])] + [
-        (m, _multipliers(len(m), 1000 + len(m))) for m in masks[len(MASKS) :]
-    ]
+    """The masks for long items, and those for the short lengths that occur."""
+    return [shape for size in (WINDOW, *short) for shape in shapes_of(size)]
 
 
 def seeds(hashes: np.ndarray, shape: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
@@ -88,9 +107,10 @@ def _item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for item, words in zip(batch.column("item").to_pylist(), batch.column("words").to_pylist(), strict=True):
             hashes = np.array(words, np.int64).view(np.uint64)
-            short = [len(hashes)] if len(hashes) < WINDOW else []
-            for shape in shapes(short)[len(MASKS) if short else 0 :]:
+            for shape in shapes_of(len(hashes)):
                 found = seeds(hashes, shape)
+                if len(hashes) < WINDOW:
+                    found = found[:1]  # these masks span the whole item
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(found.view(np.int64)), pa.array(np.full(len(found), item)), pa.array(np.arange(len(found), dtype=np.int32))],
                     ["seed", "item", "at"],
@@ -149,7 +169,7 @@ def overlap(words: np.ndarray, first: int, item: np.ndarray, shift: int) -> tupl
         return None
     equal = words[lo - first : hi - first] == item[lo - shift : hi - shift]
     sums = np.concatenate([[0], np.cumsum(equal)])
-    good = np.nonzero(sums[window:] - sums[:-window] >= -(-window * LEAST_EQUAL // WINDOW))[0]
+    good = np.nonzero(sums[window:] - sums[:-window] >= needed(window))[0]
     if not len(good):
         return None
     start, end = int(good[0]), int(good[-1]) + window
@@ -176,8 +196,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     ``docs`` has ``doc_id, text``, ``benchmark`` has ``item_id, text``.  Places are words from 0, ``end``
     exclusive.  One row for each text and item: the first to the last word that overlaps cover, and the
-    equal words of the longest.  Items of equal words are one, under their smallest id.  Items of fewer
-    than fifteen words are found whole and exact; items of fewer than five, empty and null ones never.
+    equal words of the longest.  Items of equal words are one, under their smallest id.  Items of five to
+    fourteen words must be there whole, with the same share of equal words; items of fewer, empty and null ones are
+    never found.
     Null and empty documents have no rows; rows equal in id and text share theirs; empty tables give none.
     """
     spark = prepared(docs.sparkSession)
