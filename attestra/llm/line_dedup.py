@@ -1,7 +1,7 @@
 """Line dedup by an exact set-similarity join: a line that is similar to an earlier one is removed.
 
 A line is the set of its words (ASCII letters lower-cased).  Two lines are similar when the Jaccard
-similarity of their sets reaches the threshold ``p / q``.  Equal sets are collapsed first.  Words of a
+similarity of their sets reaches the threshold ``p / q``.  Equal sets are collapsed first (for lines of few words that is all).  Words of a
 set are ordered by rarity over all lines; similar sets share a word among their first ``n - ceil(n p/q)
 + 1`` ones, so only sets that share such a word are compared.  Pairs are dropped by length, by the place
 of the shared word, and by a 128-bit parity signature (the difference of two sets is at least the
@@ -42,7 +42,7 @@ KINDS = {"int64": "long", "int32": "int"}
 
 @dataclass(frozen=True)
 class Similarity:
-    """Jaccard of at least ``p / q``, between lines of at least ``least_words`` distinct words."""
+    """Jaccard of at least ``p / q``, between lines of at least ``least_words`` distinct words; shorter ones equal others."""
 
     p: int = 4
     q: int = 5
@@ -82,12 +82,12 @@ def prefix_length(size: int, how: Similarity) -> int:
 
 
 def _describe(batches: Iterator[pa.RecordBatch], levels, how: Similarity) -> Iterator[pa.RecordBatch]:
-    """Every line with enough words: where it is, its set's digest, signature and first words."""
+    """Every line with words: where it is, its set's digest and signature, and the first words of longer ones."""
     levels = levels.value
     one = np.uint64(1)
     for batch in batches:
         for found in lines(batch.column("text")):
-            found = found.at_least(how.least_words)
+            found = found.at_least(1)
             if not len(found.sizes):
                 continue
             words, owner, sizes = found.words, found.owner, found.sizes
@@ -103,7 +103,7 @@ def _describe(batches: Iterator[pa.RecordBatch], levels, how: Similarity) -> Ite
             level = levels[_slots(words, how.bits)].astype(np.uint64)
             tail = words & np.uint64((1 << 36) - 1)
             order = np.sort((owner.astype(np.uint64) << np.uint64(44)) | (level << np.uint64(36)) | tail)
-            lengths = prefix_length(sizes, how)
+            lengths = np.where(sizes >= how.least_words, prefix_length(sizes, how), 0)  # shorter ones only repeat
             first = np.arange(len(words)) - np.repeat(starts, sizes) < np.repeat(lengths, sizes)
             tokens = (order[first] & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
             prefix = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)), pa.array(tokens))
@@ -358,8 +358,8 @@ def similar_lines(docs: DataFrame, how: Similarity = DEFAULT) -> DataFrame:
 
     Lines are separated by ``\\n`` and ordered by ``doc_id`` (null first), a hash of the text
     (``row_key``) and their number.  A line with at least ``least_words`` distinct words is removed if an
-    earlier line is similar; whether that one is removed itself makes no difference.  Other lines,
-    blank ones among them, stay.  Rows equal in ``doc_id`` and text are one document here and lose the
+    earlier line is similar; whether that one is removed itself makes no difference.  A shorter line is removed
+    if an earlier one has the same words.  Blank lines stay.  Rows equal in ``doc_id`` and text are one document here and lose the
     same lines.  Null and empty texts lose none; an empty table gives no rows.
     """
     prepared(docs.sparkSession)
