@@ -15,6 +15,15 @@ WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
 
 
+# Workers give large arrays back to the system as soon as they are freed, instead of keeping their memory.
+WORKER = {
+    "MALLOC_ARENA_MAX": "1",
+    "MALLOC_MMAP_THRESHOLD_": str(2 << 20),
+    "MALLOC_TRIM_THRESHOLD_": str(4 << 20),
+    "ARROW_DEFAULT_MEMORY_POOL": "system",
+}
+
+
 def prepared(spark: SparkSession) -> SparkSession:
     """Runtime settings, small Arrow batches (texts are long), and workers that can import this package."""
     configure(spark)
@@ -24,6 +33,7 @@ def prepared(spark: SparkSession) -> SparkSession:
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in known.split(os.pathsep):
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [known, root]))
+    spark.sparkContext.environment.update(WORKER)
     return spark
 
 
