@@ -2,15 +2,15 @@
 
 import random
 from collections import Counter
+from itertools import combinations
 
-import duckdb
 import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 from attestra.llm import line_dedup
-from attestra.llm.decontamination import MASKS, SPAN, WINDOW, overlaps, without_benchmark
+from attestra.llm.decontamination import MASKS, SPAN, WINDOW, needed, overlaps, short_masks, without_benchmark
 from attestra.llm.licenses import TEMPLATES, scan
 from attestra.llm.line_dedup import Similarity, line_report, without_similar_lines
 from attestra.llm.queries import ORACLE, QUERIES
@@ -25,12 +25,13 @@ def plain_lines(rows, how):
         for k, line in enumerate((doc[1] or "").split("\n") if doc[1] is not None else []):
             lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in line)
             words = frozenset(w for w in "".join(" " if c in "\t\v\f\r" else c for c in lowered).split(" ") if w)
-            if len(words) >= how.least_words:
+            if words:
                 places.append((doc, k, words))
     removed: dict = {}
     seen: list[frozenset] = []
     for doc, k, words in places:
-        if any(how.q * len(words & s) >= how.p * len(words | s) for s in seen):
+        short = len(words) < how.least_words
+        if any(words == s if short else how.q * len(words & s) >= how.p * len(words | s) for s in seen if short or len(s) >= how.least_words):
             removed.setdefault(doc, []).append(k)
         seen.append(words)
     return removed
@@ -103,15 +104,12 @@ def test_texts_lose_their_lines(awkward, nothing):
 def test_queries_with_sql(spark, name):
     from tests import oracle
 
-    con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF_DIR}/documents.parquet')")
+    con = oracle.connect(SF_DIR)
     df = QUERIES[name](spark, SF_DIR)
     assert oracle.compare(df, con, ORACLE[name]) is None and oracle.compare_types(df, con, ORACLE[name]) is None
 
 
 def test_masks_meet_any_three_substitutions():
-    from itertools import combinations
-
     places = [[o + k for k, c in enumerate(m) if c == "1"] for m in MASKS for o in range(WINDOW - SPAN + 1)]
     assert all(any(not set(p) & set(s) for p in places) for s in combinations(range(WINDOW), 3))
 
@@ -136,7 +134,7 @@ def plain_overlaps(docs, items):
         words = code(plain_words(text))
         for item, item_id in coded:
             window = min(WINDOW, len(item))
-            need = 12 if len(item) >= WINDOW else len(item)
+            need = -(-window * 12 // 15)
             for shift in range(window - len(item), len(words) - window + 1):
                 lo, hi = max(0, shift), min(len(words), shift + len(item))
                 if hi - lo >= window:
@@ -175,6 +173,33 @@ def test_overlaps_against_all_alignments(spark):
     assert 100 not in gone and {200, 202, None} <= gone
 
 
+def test_short_masks_meet_all_that_may_differ():
+    for size in range(5, WINDOW):
+        masks = [set(m.tolist()) for m in short_masks(size)]
+        assert all(any(not m & set(s) for m in masks) for s in combinations(range(size), size - needed(size)))
+        assert min(map(len, masks)) >= 3
+
+
+def test_short_items_with_changed_words(spark):
+    rng = random.Random(8)
+    words = [f"s{k}" for k in range(80)]
+    prose = lambda n: [rng.choice(words) for _ in range(n)]
+    items = [(n, prose(n)) for n in range(3, 16)]
+    docs = []
+    for n, item in items:
+        for wrong in range(4):
+            for k in range(3):
+                part = list(item)
+                for place in rng.sample(range(n), min(wrong, n)):
+                    part[place] = "changed"
+                docs.append((n * 100 + wrong * 10 + k, " ".join(prose(rng.randint(0, 9)) + part + prose(rng.randint(0, 9)))))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    benchmark = spark.createDataFrame([(n, " ".join(w)) for n, w in items], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in overlaps(frame, benchmark).collect()}
+    assert got == plain_overlaps(docs, [(n, " ".join(w)) for n, w in items])
+    assert {(1420 + k, 14) for k in range(3)} <= got and not any(i < 5 for _, i in got)
+
+
 def test_overlaps_in_the_sample(sample, spark):
     items = spark.read.parquet(f"{SF_DIR}/benchmark.parquet")
     got = {(r.doc_id, r.item_id) for r in overlaps(sample, items).collect()}
@@ -202,6 +227,15 @@ def test_every_template_is_found_in_its_place(spark, nothing, awkward):
     assert scan(nothing).count() == 0 and scan(awkward).count() == 0
 
 
+def test_a_notice_in_two_parts_counts_as_a_whole(spark):
+    words = max((t for _, t in TEMPLATES), key=len).split()
+    template = next(k for k, (_, t) in enumerate(TEMPLATES) if t.split() == words)
+    cut = 6 * len(words) // 10
+    other = " ".join(f"o{k}" for k in range(300))
+    docs = spark.createDataFrame([(1, f"{' '.join(words[:cut])} {other} {' '.join(words[cut:])}"), (2, " ".join(words[:cut]))], "doc_id long, text string")
+    assert {(r.doc_id, r.template) for r in scan(docs).collect()} == {(1, template)}
+
+
 def test_a_long_template_with_changes(spark):
     words = TEMPLATES[2][1].split()
     near, far = list(words), list(words)
