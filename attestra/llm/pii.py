@@ -1,12 +1,13 @@
 """Personal data: identifiers by pattern, and the terms that reveal them by co-occurrence in the corpus.
 
-Identifiers (e-mail, IP, card and phone numbers) are found in whole texts.  Then every text is read in
-contexts of 64 words.  For an identifier ``c`` and a term ``t``, counts of contexts over all documents give
-how much of what is to know about ``c`` the term gives away:
+Identifiers (e-mail, IP, card and phone numbers) are found in whole texts.  Terms are all runs of letters and
+digits.  For an identifier ``c`` and a term ``t``, the windows of 32 runs on both sides of each mention of ``c``, and
+contexts of 64 runs over all documents, give how much of what is to know about ``c`` the term gives away:
 
     PMI(c; t) / IC(c) = log2(N n_ct / (n_c n_t)) / log2(N / n_c)
 
-which is 1 for a term that occurs with ``c`` only, and near 0 for a common word.  Terms beyond the upper
+which is 1 for a term that occurs with ``c`` only, and near 0 for a common word (``N``: contexts, ``n_t``: those with
+``t``, ``n_c``: mentions, ``n_ct``: those with ``t`` in the window).  Terms beyond the upper
 threshold are removed, those beyond the lower one are generalised.  DataFrame and SQL functions only.
 """
 
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from attestra.functions.binding import evaluated_once
-from attestra.llm.common import GAP, own_columns, prepared, small_side, written
+from attestra.llm.common import own_columns, prepared, small_side, written
 
 # The patterns match what their plain forms match; possessive runs and "not inside a run" only spare the
 # search from trying every place of a long run, and deep recursion.  ``\G`` is the end of the match before.
@@ -31,8 +32,9 @@ KINDS = ("email", "ip", "card", "phone", "general", "removed")
 PATTERNS = {"email": EMAIL, "ip": IP, "card": CARD, "phone": PHONE}
 PART = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 
-CONTEXT = 64
-TERM = r"\p{L}{3,}"
+RUN = r"[\p{L}\p{N}]++"
+CONTEXT = 64  # runs
+SHORTEST = 2  # characters of a term
 
 
 @dataclass(frozen=True)
@@ -117,74 +119,76 @@ def _identifiers(rows: DataFrame) -> DataFrame:
     )
 
 
-def _words(text: Column) -> Column:
-    return F.split(text, GAP)
-
-
-def _term(word: Column) -> Column:
-    """The first run of letters, lower-cased; empty for words with digits, which are no terms."""
-    return F.when(word.rlike("[0-9@]"), "").otherwise(F.lower(F.regexp_extract(word, TERM, 0)))
+def _runs(text: Column) -> Column:
+    """The terms of a text as they stand: all runs of letters and digits."""
+    return F.regexp_extract_all(text, F.lit(RUN), F.lit(0))
 
 
 def _contexts(docs: DataFrame) -> DataFrame:
-    """The distinct terms of every context of every document, one array a context."""
+    """The distinct terms of every context of every document, one array a context; an empty text is one context."""
     rows = own_columns(docs, "doc_id", "text").where("text is not null")
-    rows = evaluated_once(rows.select(_words(F.col("text")).alias("words")))
-    starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("words")), F.lit(CONTEXT))
-    return rows.select(F.explode(F.transform(starts, lambda k: F.slice("words", k, CONTEXT))).alias("words"))
+    rows = evaluated_once(rows.select(_runs(F.col("text")).alias("runs")))
+    starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("runs")), F.lit(CONTEXT))
+    each = rows.select(F.explode(F.transform(starts, lambda k: F.slice("runs", k, CONTEXT))).alias("runs"))
+    return each.select(F.array_distinct(F.split(F.lower(F.array_join("runs", " ")), " ")).alias("terms"))
 
 
 def _located(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """``key, key2, context, term, start, end`` of the terms of texts that hold an identifier, each text once."""
+    """``key, key2, at, run, start, end`` of the runs of texts that hold an identifier, each text once."""
     wanted = small_side(written(found.select("key", "key2").distinct(), "keys"), row_bytes=16)
     rows = own_columns(docs, "doc_id", "text").where("text is not null")
     rows = rows.select(F.xxhash64("text").alias("key"), F.crc32(F.col("text").cast("binary")).alias("key2"), "text")
     rows = rows.join(wanted, ["key", "key2"], "left_semi").groupBy("key", "key2").agg(F.first("text").alias("text"))
-    gaps = F.transform(F.regexp_extract_all("text", F.lit(GAP), F.lit(0)), lambda g: F.length(g))
-    rows = rows.select("key", "key2", F.posexplode(F.arrays_zip(_words(F.col("text")).alias("word"), gaps.alias("gap"))).alias("at", "x"))
-    rows = rows.select("key", "key2", "at", "x.word", (F.length("x.word") + F.coalesce("x.gap", F.lit(0))).alias("step"))
-    rows = rows.withColumn("start", _before("step", "key", "key2", order="at"))
-    return rows.select("key", "key2", F.expr(f"at div {CONTEXT}").alias("context"), "word", "start")
+    gaps = F.transform(F.split("text", RUN, -1), lambda g: F.length(g))
+    rows = rows.select("key", "key2", F.posexplode(F.arrays_zip(gaps.alias("gap"), _runs(F.col("text")).alias("run"))).alias("at", "x"))
+    rows = rows.where("x.run is not null").select("key", "key2", "at", "x.gap", "x.run", (F.col("x.gap") + F.length("x.run")).alias("step"))
+    rows = rows.withColumn("start", _before("step", "key", "key2", order="at") + F.col("gap"))
+    return rows.select("key", "key2", "at", "run", "start", (F.col("start") + F.length("run")).alias("end"))
 
 
 def disclosures(docs: DataFrame, found: DataFrame, how: Disclosure = DEFAULT) -> DataFrame:
-    """``key, key2, kind, start, end`` of the terms that reveal an identifier of their context.
+    """``key, key2, kind, start, end`` of the terms that reveal an identifier of their text.
 
-    ``found`` has the identifiers of the texts.  Every document counts, copies too; but terms whose
-    contexts with the identifier are all alike show no association.
+    ``found`` has the identifiers of the texts.  Co-occurrence is counted in a window around each mention, whose
+    terms count once; a term beyond a threshold is marked wherever a text with that identifier has it outside
+    identifiers.  Every document counts, copies too; but terms whose windows with the identifier are
+    all the same show no association.
     """
-    words = written(_located(docs, found), "located")
-    # The word in which an identifier starts gives its context.
-    marks = found.select("key", "key2", F.col("start").alias("place"), "entity", F.lit(1).alias("mark"))
-    lines = words.select("key", "key2", F.col("start").alias("place"), F.lit(None).cast("long").alias("entity"), F.lit(0).alias("mark"), "context")
-    both = lines.unionByName(marks, allowMissingColumns=True)
-    upto = Window.partitionBy("key", "key2").orderBy("place", "mark").rowsBetween(Window.unboundedPreceding, 0)
-    here = both.withColumn("context", F.last("context", ignorenulls=True).over(upto)).where("mark = 1")
-    here = here.select("key", "key2", F.coalesce("context", F.lit(0)).alias("context"), "entity").distinct()
+    runs = _located(docs, found)
+    lines = runs.select("key", "key2", F.col("start").alias("place"), F.lit(0).alias("mark"), "at", "end", "run", F.lit(None).cast("long").alias("entity"))
+    marks = found.select("key", "key2", F.col("start").alias("place"), F.lit(1).alias("mark"), F.lit(None).cast("int").alias("at"), "end", F.lit(None).cast("string").alias("run"), "entity")
+    upto = Window.partitionBy("key", "key2").orderBy("place", F.desc("mark"), "end").rowsBetween(Window.unboundedPreceding, 0)
+    seen = {
+        "index": F.coalesce(F.last("at", ignorenulls=True).over(upto) + 1, F.lit(0)),  # of the run that follows a mention
+        "covered": F.coalesce(F.max(F.when(F.col("mark") == 1, F.col("end"))).over(upto), F.lit(0)),
+    }
+    placed = written(lines.union(marks).withColumns(seen), "placed")
+    here = placed.where("mark = 1").select("key", "key2", "index", "entity").distinct()
     copies = own_columns(docs, "doc_id", "text").where("text is not null")
     copies = copies.select(F.xxhash64("text").alias("key"), F.crc32(F.col("text").cast("binary")).alias("key2"))
     copies = copies.groupBy("key", "key2").agg(F.count("*").alias("copies"))
     here = written(here.join(copies, ["key", "key2"]), "mentions")
-    some_here = small_side(here, row_bytes=48)
-
-    terms = words.withColumn("term", _term(F.col("word"))).where("term <> ''")
-    run = F.regexp_extract("word", TERM, 0)
-    terms = terms.withColumn("start", F.col("start") + F.instr("word", run) - 1).withColumn("end", F.col("start") + F.length(run))
-    terms = terms.select("key", "key2", "context", "term", "start", "end")
-    # Only contexts that mention an identifier are left, then each of their terms counts once.
-    near = terms.join(some_here, ["key", "key2", "context"])
-    near = near.select("key", "key2", "context", "term", "entity", "copies").distinct()
-    alike = F.xxhash64("key", "context")
+
+    terms = placed.where((F.col("mark") == 0) & (F.length("run") >= SHORTEST) & (F.col("covered") <= F.col("place")))
+    terms = terms.select("key", "key2", "at", F.lower("run").alias("term"), F.col("place").alias("start"), "end")
+    # A mention meets the terms of its own block of the text and of the two beside it.
+    around = F.explode(F.array(*[F.expr(f"`index` div {CONTEXT}") + k for k in (-1, 0, 1)])).alias("block")
+    some_here = small_side(here, row_bytes=48).select("key", "key2", "index", "entity", "copies", around)
+    near = terms.withColumn("block", F.expr(f"at div {CONTEXT}")).join(some_here, ["key", "key2", "block"])
+    near = near.where(F.abs(F.col("at") - F.col("index")) <= CONTEXT // 2)
+    near = near.select("key", "key2", "index", "term", "entity", "copies").distinct()
+    alike = F.xxhash64("key", "index")
     pairs = near.groupBy("entity", "term").agg(F.sum("copies").alias("n_ct"), F.min(alike).alias("a"), F.max(alike).alias("b"))
     pairs = written(pairs.where((F.col("n_ct") >= how.least_contexts) & (F.col("a") != F.col("b"))).drop("a", "b"), "pairs")
 
-    asked = written(pairs.select("term").distinct(), "asked")
-    contexts = evaluated_once(_contexts(docs).select(F.array_distinct(F.transform("words", _term)).alias("terms")))
+    # The empty term stands for every context: its count is their number.
+    every = F.lit("").alias("term")
+    asked = written(pairs.select("term").distinct().union(docs.sparkSession.range(1).select(every)), "asked")
     some = small_side(asked, row_bytes=32 + F.octet_length("term"))
-    every = contexts.select(F.explode("terms").alias("term"))
-    n_t = every.join(some, "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_t"))
-    total = own_columns(docs, "doc_id", "text").where("text is not null")
-    total = total.select(F.sum(F.ceil(F.size(_words(F.col("text"))) / CONTEXT)).alias("total")).first().total or 0
+    held = _contexts(docs).select(F.explode(F.array_union(F.array(F.lit("")), "terms")).alias("term"))
+    counted = written(held.join(some, "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_t")), "counted")
+    total = (counted.where("term = ''").first() or [None, 0])[1]
+    n_t = counted.where("term <> ''")
     n_c = here.groupBy("entity").agg(F.sum("copies").alias("n_c"))
 
     scored = pairs.join(n_t, "term").join(n_c, "entity")
@@ -193,9 +197,9 @@ def disclosures(docs: DataFrame, found: DataFrame, how: Disclosure = DEFAULT) ->
     share = F.when(content > 0, pmi / content).otherwise(0.0)
     scored = written(scored.withColumn("share", share).where(F.col("share") >= how.generalise).select("entity", "term", "share"), "scored")
     wide = 48 + F.octet_length("term")
-    told = near.join(small_side(scored, wide), ["entity", "term"])
-    told = written(told.groupBy("key", "key2", "context", "term").agg(F.max("share").alias("share")), "told")
-    spans = terms.join(small_side(told, wide), ["key", "key2", "context", "term"])
+    told = here.select("key", "key2", "entity").distinct().join(small_side(scored, wide), "entity")
+    told = written(told.groupBy("key", "key2", "term").agg(F.max("share").alias("share")), "told")
+    spans = terms.join(small_side(told, wide), ["key", "key2", "term"])
     kind = F.when(F.col("share") >= how.remove, "removed").otherwise("general")
     return spans.select("key", "key2", kind.alias("kind"), "start", "end")
 

@@ -6,6 +6,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import regex
 from pyspark.sql import functions as F
 
 from attestra.llm.pii import DEFAULT, KINDS, Disclosure, find, sanitised, told
@@ -43,34 +44,24 @@ def plain_base(text):
 
 
 def plain_added(texts, how):
-    """Spans of each distinct text, from the contexts of all texts."""
-    total, n_c, n_t, n_ct, where, spans = 0, Counter(), Counter(), Counter(), defaultdict(set), {}
+    """Spans of each distinct text, from the windows around the mentions and the contexts of all texts."""
+    total, n_c, n_t, n_ct, where, spans, held = 0, Counter(), Counter(), Counter(), defaultdict(set), {}, {}
     for text in texts:
         if text is None:
             continue
-        bounds = [0, *[x for m in re.finditer(r"[\x20\x09-\x0D]+", text) for x in m.span()], len(text)]
-        words = [(bounds[k], text[bounds[k] : bounds[k + 1]]) for k in range(0, len(bounds), 2)]
-        total += -(-len(words) // 64)
-        entities = defaultdict(set)
-        for kind, start, _, entity in plain_base(text):
-            last = max(k for k, (at, _) in enumerate(words) if at <= start)
-            entities[last // 64].add((kind, entity))
-        terms = defaultdict(set)
-        spans[text] = []
-        for k, (at, word) in enumerate(words):
-            if re.search("[0-9@]", word):
-                continue
-            if run := re.search(r"[^\W\d_]{3,}", word):
-                terms[k // 64].add(run.group().lower())
-                spans[text].append((k // 64, run.group().lower(), at + run.start(), at + run.end(), entities[k // 64]))
-        for c in entities.values():
-            n_c.update(c)
-        for ctx, ts in terms.items():
-            n_t.update(ts)
-            for c in entities[ctx]:
-                for t in ts:
-                    n_ct[c, t] += 1
-                    where[c, t].add((text, ctx))
+        runs = [(m.start(), m.end(), m.group().lower()) for m in regex.finditer(r"[\p{L}\p{N}]+", text)]
+        total += max(1, -(-len(runs) // 64))
+        for k in range(0, len(runs), 64):
+            n_t.update({t for _, _, t in runs[k : k + 64]})
+        base = plain_base(text)
+        mentions = {(sum(s < start for s, _, _ in runs), (kind, entity)) for kind, start, _, entity in base}
+        free = [(k, s, e, t) for k, (s, e, t) in enumerate(runs) if e - s >= 2 and not any(a <= s < b for _, a, b, _ in base)] if base else []
+        for index, c in mentions:
+            n_c[c] += 1
+            for t in {t for k, _, _, t in free if abs(k - index) <= 32}:
+                n_ct[c, t] += 1
+                where[c, t].add((text, index))
+        spans[text], held[text] = free, {c for _, c in mentions}
     share = {}
     for (c, t), n in n_ct.items():
         if n >= how.least_contexts and len(where[c, t]) > 1:
@@ -79,8 +70,8 @@ def plain_added(texts, how):
     out = {}
     for text, found in spans.items():
         rows = []
-        for _, term, start, end, near in found:
-            best = max((share.get((c, term), 0) for c in near), default=0)
+        for _, start, end, term in found:
+            best = max((share.get((c, term), 0) for c in held[text]), default=0)
             if best >= how.generalise:
                 rows.append(("removed" if best >= how.remove else "general", start, end))
         out[text] = sorted(rows, key=lambda r: (KINDS.index(r[0]), r[1]))
@@ -145,3 +136,15 @@ def test_terms_that_reveal(spark):
     assert all("[EMAIL]" in texts[k] and "Zebulon" not in texts[k] and "example" not in texts[k] for k in range(6))
     assert texts[300] == docs[156][1]
     check(frame, Disclosure(generalise=0.2, remove=0.5, least_contexts=2))
+
+
+def test_windows_cross_blocks_and_marks_reach_the_whole_text(spark):
+    """A name across any block edge, a user name with digits, both halves of a double name, and a second place far away."""
+    rng = random.Random(6)
+    words = [f"w{a}{b}" for a in "abcdefghij" for b in "abcdefghij"]
+    prose = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    docs = [(k, f"{prose(50 + 2 * k)} Smith-Jones {prose(4)} jsmith42 {prose(3)} smi@mail.example.org {prose(200)} Jones {prose(5)}") for k in range(8)]
+    docs += [(100 + k, prose(rng.randint(50, 400))) for k in range(120)]
+    added = check(spark.createDataFrame(docs, "doc_id long, text string").repartition(4))
+    for _, text in docs[:8]:
+        assert Counter(text[a:b] for _, a, b in added[text]) == {"Smith": 1, "Jones": 2, "jsmith42": 1}
