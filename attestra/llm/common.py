@@ -15,8 +15,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
 
 
-# Workers give large arrays back to the system as soon as they are freed, instead of keeping their memory.
-WORKER = {
+# Workers with these settings give arrays back to the system as soon as they are freed, at some cost in CPU.
+LEAN = {
     "MALLOC_ARENA_MAX": "1",
     "MALLOC_MMAP_THRESHOLD_": str(2 << 20),
     "MALLOC_TRIM_THRESHOLD_": str(4 << 20),
@@ -33,10 +33,14 @@ def prepared(spark: SparkSession) -> SparkSession:
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in known.split(os.pathsep):
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [known, root]))
-    spark.sparkContext.environment.update(WORKER)
     return spark
 
 
+def lean_workers(spark: SparkSession) -> None:
+    """For jobs of many steps, whose workers would keep what each step needed most."""
+    spark.sparkContext.environment.update(LEAN)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepared(spark).read.parquet(f"{sf_dir}/documents.parquet")
 
