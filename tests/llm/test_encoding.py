@@ -37,3 +37,24 @@ def test_long_words_long_texts_and_a_full_cache(name, monkeypatch):
 def test_kinds():
     kinds = [type(ENCODERS[n]) for n in NAMES]
     assert kinds == [encoding.ByteLevel, encoding.WordEnds]
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_the_model_alone_encodes_runs_of_latin_letters(name, monkeypatch):
+    encoding.release()
+    encoder = encoding.encoder(public_tokenizers.path(name))
+    asked = []
+    library = encoder.by_library
+    monkeypatch.setattr(encoder, "by_library", lambda texts: asked.extend(texts) or library(texts))
+    words = [f"{chr(a)}é{chr(b)}ßÞ{sign}" for a in range(97, 123) for b in range(97, 123) for sign in ("", "***", "<|", ",")]
+    text = " ".join(words)
+    assert encoder.encode_batch([text]) == [whole(name, text)]
+    assert len(asked) < 20
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_letters_and_signs_beside_each_other(name):
+    letters = [chr(c) for c in range(0x21, 0x250)]
+    signs = ["", "s", "́", *map(chr, range(33, 127)), "<|endoftext|>"]
+    texts = [" ".join(f"{c}x{s} x{c}{s} {s}{c}" for c in letters) for s in signs]
+    assert ENCODERS[name].encode_batch(texts) == [whole(name, t) for t in texts]
