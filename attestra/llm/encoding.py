@@ -178,12 +178,13 @@ class ByteLevel(Encoder):
         return words
 
     def parts(self, word: str) -> tuple[str, ...]:
-        if signed := SIGNED.fullmatch(word):
-            return signed[1], self.MARK + signed[2]
+        after = 2 if word.startswith(self.MARK) else 0
+        if signed := SIGNED.fullmatch(word, after):
+            return word[:after] + signed[1], self.MARK + signed[2]
         if _marked(word):
             return (*self.parts(word[:-1]), self.MARK + word[-1])
         if word[:1] == "\n" and len(word) > 1 and word[1] != " ":
-            return "\n", self.MARK + word[1:]
+            return "\n", *self.parts(self.MARK + word[1:])
         return (word,)
 
     def text(self, word: str) -> str:

@@ -58,3 +58,15 @@ def test_letters_and_signs_beside_each_other(name):
     signs = ["", "s", "́", *map(chr, range(33, 127)), "<|endoftext|>"]
     texts = [" ".join(f"{c}x{s} x{c}{s} {s}{c}" for c in letters) for s in signs]
     assert ENCODERS[name].encode_batch(texts) == [whole(name, t) for t in texts]
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_the_model_alone_encodes_runs_of_latin_letters_behind_line_breaks(name, monkeypatch):
+    encoding.release()
+    encoder = encoding.encoder(public_tokenizers.path(name))
+    asked = []
+    library = encoder.by_library
+    monkeypatch.setattr(encoder, "by_library", lambda texts: asked.extend(texts) or library(texts))
+    text = "\n".join(f"{chr(a)}é{chr(b)}ßÞ{sign}" for a in range(97, 123) for b in range(97, 123) for sign in ("", "***", "<|", ","))
+    assert encoder.encode_batch([text]) == [whole(name, text)]
+    assert len(asked) < 20
