@@ -14,6 +14,11 @@ def unicode_classes(pattern: str) -> str:
     return "(?U)" + pattern
 
 
+def _found(text: Column, pattern: str) -> Column:
+    """First match of ``pattern``, empty where nothing matches: no number, and searched for once only."""
+    return F.regexp_extract(text, unicode_classes(pattern), 1)
+
+
 def _group(text: Column, pattern: str, index: int = 1) -> Column:
     """First match of ``pattern``, or null where nothing matches (no group here can match nothing)."""
     return F.nullif(F.regexp_extract(text, unicode_classes(pattern), index), F.lit(""))
@@ -27,7 +32,7 @@ def _word_value(word: Column) -> Column:
 
 def first_days(lowered: Column) -> Column:
     """The first ``(N) [calendar|business] day(s)``."""
-    return _group(lowered, fixed.DAYS).try_cast("decimal(38,0)")
+    return _found(lowered, fixed.DAYS).try_cast("decimal(38,0)")
 
 
 def nearest_days(lowered: Column, anchor: str, window: int = fixed.NEAREST_WINDOW) -> Column:
@@ -57,8 +62,8 @@ def liability_multiple(lowered: Column) -> Column:
     return F.when(
         gated,
         F.coalesce(
-            _group(lowered, fixed.MULTIPLE_DIGITS).try_cast("double"),
-            _word_value(_group(lowered, fixed.MULTIPLE_WORD)).cast("double"),
+            _found(lowered, fixed.MULTIPLE_DIGITS).try_cast("double"),
+            _word_value(_found(lowered, fixed.MULTIPLE_WORD)).cast("double"),
             F.when(lowered.contains(fixed.MULTIPLE_ONE), F.lit(1.0)),
         ),
     )
@@ -66,13 +71,13 @@ def liability_multiple(lowered: Column) -> Column:
 
 def amount(lowered: Column, pattern: str) -> Column:
     """A number with thousands separators; null where the pattern does not match."""
-    return F.regexp_replace(_group(lowered, pattern), ",", "").try_cast("double")
+    return F.replace(_found(lowered, pattern), F.lit(","), F.lit("")).try_cast("double")
 
 
 def tail_years(lowered: Column) -> Column:
     """The years after completion, in digits or as a number word."""
     return bind(
-        _group(lowered, fixed.TAIL_YEARS),
+        _found(lowered, fixed.TAIL_YEARS),
         lambda token: F.when(token.rlike(unicode_classes(r"^\d+$")), token.try_cast("decimal(38,0)")).otherwise(
             _word_value(token).try_cast("decimal(38,0)")
         ),

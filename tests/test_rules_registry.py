@@ -1,9 +1,12 @@
 """Rules that users add, and the reports of a run and of an evaluation."""
 
+import re
+
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from attestra import fixed_values as fixed
 from attestra import schemas
 from attestra.functions import numbers
 from attestra.operators import rules
@@ -79,3 +82,21 @@ def test_the_evaluation_is_kept(spark, lake):
     assert modes == {"configured", "model_only"}
     evaluate.write_report(spark, lake, labels, "2026-01-10", model_only=True)
     assert spark.read.parquet(lake.path("eval_report")).count() == 2
+
+
+def test_tail_years_and_amounts_are_searched_for_once(spark):
+    texts = ["kept for 3 years following completion", "one - forty-five  years following\ncompletion", "x7 year following completion", "7x years following completion"]
+    texts += [" years following completion, 12 years following completion", "eleven12 years following completion", "some years", "٣ years following completion", "", None]
+    texts += ["up to 7.5% is retainage", "withhold 1.5%"]
+    lowered = F.col("t")
+    read = spark.createDataFrame([(t,) for t in texts], "t string").select(
+        "t", numbers.tail_years(lowered).cast("int").alias("years"), numbers.amount(lowered, r"up to\s+(\d+(?:\.\d+)?)%[^.]*retainage").alias("percent")
+    )
+    plan = read._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract(") == 2  # each value repeated its search to see whether it was empty
+    old = re.compile(r"([a-z\-]+|\d+)\s+years?\s+following\s+completion")
+    for row in read.collect():
+        found = old.search(row.t or "")
+        token = found and found[1]
+        assert row.years == (int(token) if token and token.isdigit() else fixed.NUMBER_WORDS.get(token))
+        assert row.percent == (7.5 if row.t == "up to 7.5% is retainage" else None)
