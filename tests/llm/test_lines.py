@@ -5,11 +5,12 @@ from collections import Counter
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from attestra.llm import line_dedup
+from attestra.llm import line_dedup, words
 from attestra.llm.decontamination import MASKS, SPAN, WINDOW, needed, overlaps, short_masks, without_benchmark
 from attestra.llm.licenses import TEMPLATES, scan
 from attestra.llm.line_dedup import Similarity, line_report, without_similar_lines
@@ -86,6 +87,42 @@ def test_second_round_finds_what_the_first_misses(spark):
     assert found
 
 
+def test_rows_of_words_are_dealt_many_at_once():
+    """A task gives one row a bucket, which holds every set and word of its prefix once, or once for each pair of blocks."""
+    how = Similarity(bits=4)
+    rng = np.random.default_rng(3)
+    lengths = rng.integers(0, 9, 3000)
+    prefix = line_dedup._binary(rng.integers(0, 1 << 32, lengths.sum(), dtype=np.uint32), lengths)
+    columns = [np.arange(3000), np.full(3000, 9, np.int32), *rng.integers(-9, 9, (2, 3000))]
+    sets = pa.RecordBatch.from_arrays([*map(pa.array, columns), prefix], ["id", "size", "s1", "s2", "prefix"])
+
+    class Blocks:
+        value = np.zeros(16, np.uint16)
+
+    Blocks.value[5] = 3
+    plain = np.concatenate([np.stack([c.to_numpy() for c in b.columns]) for b in line_dedup._word_rows(iter([sets]), Blocks, how)], axis=1)
+    dealt = [r for b in line_dedup._bucket_rows(iter([sets.slice(0, 1000), sets.slice(1000)]), Blocks, 3, how) for r in b.to_pylist()]
+    assert len(dealt) == len({r["bucket"] for r in dealt}) == 8
+    rows = np.concatenate([np.frombuffer(r["rows"], np.int64).reshape(5, -1) for r in dealt], axis=1)
+    assert sorted(rows.T.tolist()) == sorted(plain.T.tolist())
+    hot = (plain[0].view(np.uint64) >> np.uint64(60)) == 5
+    assert hot.sum() % 3 == 0 and (~hot).sum() + hot.sum() // 3 == lengths.sum()
+
+
+def test_words_and_lines_of_chunks(monkeypatch):
+    texts = ["Word w\nw b", None, "", "\n\n", "c" * 70 + " d\n" + "e f\n" * 40, "end\n", "next"]
+    for chunk in (16, 1 << 18):
+        monkeypatch.setattr(words, "CHUNK", chunk)
+        monkeypatch.setattr(words, "_powers", {})
+        column = pa.array(texts)
+        told = [len(t.split()) if t else 0 for t in texts]
+        assert sum(map(len, words.hashes(column))) == sum(told)
+        assert words.line_counts(column).tolist() == [0 if t is None else t.count("\n") + 1 for t in texts]
+        assert words.line_counts(column.slice(1, 3)).tolist() == [0, 1, 3]
+        found = [(int(t), int(n), int(s)) for x in words.lines(column) for t, n, s in zip(x.text, x.number, x.sizes, strict=True)]
+        assert found == [(k, n, len(set(w.lower().split()))) for k, t in enumerate(texts) for n, w in enumerate((t or "").split("\n")) if w.split()]
+
+
 def test_texts_lose_their_lines(awkward, nothing):
     small = awkward.where("text is null or length(text) < 5000")
     removed = plain_lines([(r.doc_id, r.text) for r in small.collect()], line_dedup.DEFAULT)
