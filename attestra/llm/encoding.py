@@ -16,6 +16,8 @@ of the time of the whole library's way.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import json
 import os
 import re
@@ -260,3 +262,6 @@ def encoder(path: str, kept: int = KEPT) -> Encoder:
 def release() -> None:
     """Give up the caches: workers outlive a job, and the next operator may need their memory."""
     _encoders.clear()
+    gc.collect()
+    if (trim := getattr(ctypes.CDLL(None), "malloc_trim", None)) is not None:
+        trim(0)  # freed blocks below others go back to the system too
